@@ -17,7 +17,7 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
 
 def words(text: Column, lowercase: bool = True) -> Column:
     """Array of word tokens; typographic apostrophes become plain ones."""
-    text = F.translate(text, "’", "'")
+    text = F.when(F.contains(text, F.lit("’")), F.replace(text, F.lit("’"), F.lit("'"))).otherwise(text)
     return find_all(F.lower(text) if lowercase else text, WORD)
 
 
@@ -26,9 +26,15 @@ def split_sentences(text: Column) -> Column:
     return F.transform(find_all(text, SENTENCE), lambda s: F.trim(s))
 
 
-def is_stop(token: Column, stop) -> Column:
+def is_stop(token: Column, stop, lowered: bool = False) -> Column:
     """Whether the lowercased token is in a list of stop words."""
-    return F.lower(token).isin(*stop)
+    return (token if lowered else F.lower(token)).isin(*stop)
+
+
+def is_content(token: Column, stop, lowered: bool = False) -> Column:
+    """Whether a token is a word: no punctuation, no plain number, no stop word."""
+    word = token.rlike(r"\p{L}") | (token.rlike(r"\p{N}") & ~is_numeric(token))
+    return word & ~is_stop(token, stop, lowered)
 
 
 def is_numeric(token: Column) -> Column:
@@ -61,7 +67,7 @@ def rule_lemma(token: Column, word_class: Column, endings=None) -> Column:
     endings = vocab.VERB_ENDINGS if endings is None else endings
     out = None
     for ending in sorted(endings, key=lambda s: (-len(s), s)):
-        hit = (word_class == "v") & token.endswith(ending) & (F.length(token) >= len(ending) + 2)
+        hit = token.endswith(ending) & (F.length(token) >= len(ending) + 2) & (word_class == "v")
         stem = F.left(token, F.length(token) - len(ending))
         out = F.when(hit, stem) if out is None else out.when(hit, stem)
     return token if out is None else out.otherwise(token)

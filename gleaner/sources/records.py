@@ -32,6 +32,12 @@ def with_id(df: DataFrame, key: str = "doc_id") -> DataFrame:
     return df if key in df.columns else df.select(F.monotonically_increasing_id().alias(key), "*")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Repartition by key when the table comes from fewer files than there are cores; larger tables stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def long_records(df: DataFrame, text: str = "text", min_length: int = MIN_RECORD_LENGTH) -> DataFrame:
     """Keep records whose text has at least `min_length` characters; missing text is dropped."""
     return df.filter(F.length(text) >= min_length)
@@ -65,9 +71,8 @@ def read_labeled(spark: SparkSession, path: str) -> DataFrame:
 
 def read_summary_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files, one row per file, line breaks replaced by spaces."""
-    return (spark.read.option("wholetext", True).text(path)
-            .withColumn("value", F.regexp_replace(F.rtrim(F.regexp_replace("value", r"\n$", "")), "\n", " "))
-            .withColumnRenamed("value", "text"))
+    text = F.regexp_replace(F.regexp_replace("value", r"\n$", ""), "\n", " ")
+    return spark.read.option("wholetext", True).text(path).withColumn("value", text).withColumnRenamed("value", "text")
 
 
 def write_json(df: DataFrame, path: str) -> None:
