@@ -50,11 +50,11 @@ def merge_collocations(bigrams: DataFrame, words: DataFrame, num_bigrams: int =
     first, second = (lambda b: F.split_part(b, F.lit(" "), F.lit(1))), (lambda b: F.split_part(b, F.lit(" "), F.lit(2)))
 
     def pick(state, bigram):
-        free = F.filter("words", lambda w: ~F.array_contains(state["used"], w))
-        take = ((first(bigram) != second(bigram)) & F.array_contains(free, first(bigram))
-                & F.array_contains(free, second(bigram)))
-        return F.when(take, F.struct(
-            F.concat(state["used"], F.array(first(bigram), second(bigram))).alias("used"),
+        a, b = first(bigram), second(bigram)
+        listed = F.array_contains("words", a) & F.array_contains("words", b)
+        unused = ~F.array_contains(state["used"], a) & ~F.array_contains(state["used"], b)
+        return F.when((a != b) & listed & unused, F.struct(
+            F.concat(state["used"], F.array(a, b)).alias("used"),
             F.concat(state["picked"], F.array(bigram)).alias("picked"))).otherwise(state)
 
     start = F.struct(nothing.alias("used"), nothing.alias("picked"))
