@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gleaner.functions import text as tx, vocab
 from gleaner.functions.joins import lookup_join
 from gleaner.functions.sampling import poisson
+from gleaner.sources.staging import stage
 
 SKIP_REACH = 5
 
@@ -36,11 +37,10 @@ def rouge(predicted: DataFrame, golden: DataFrame, kind=1, by=(), key: str = "do
     `by` (all rows when it is empty) are parts of one golden summary. The join is on (by, n-gram), so predicted and
     golden texts are never paired one by one.
     """
-    by = list(by)
-    tokens = rouge_tokens(F.col("text"), **options)
-    gold = (golden.select(*by, F.explode(_grams(tokens, kind)).alias("gram"))
+    by, tokens, grams = list(by), rouge_tokens(F.col("text"), **options), _grams(F.col("_tokens"), kind)
+    gold = (golden.select(*by, tokens.alias("_tokens")).select(*by, F.explode(grams).alias("gram"))
             .groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("gold_n")))
-    rows = predicted.select(key, *by, F.explode(_grams(tokens, kind)).alias("gram"))
+    rows = predicted.select(key, *by, tokens.alias("_tokens")).select(key, *by, F.explode(grams).alias("gram"))
     matched = lookup_join(rows, gold, [*by, "gram"])
     shared = (matched.groupBy(key, *by, "gram", "gold_n").agg(F.count(F.lit(1)).alias("n"))
               .select(key, *by, F.least("n", "gold_n").alias("hits")))
@@ -96,18 +96,15 @@ def rouge_bootstrap(scores: DataFrame, replicates: int = 1000, key: str = "doc_i
                        F.round(F.col("cuts")[1], 6).alias("high"))
 
 
-def _numbered(grams: Column) -> Column:
-    # The k-th occurrence of a gram becomes its own item, so that shared items count like shared occurrences.
-    ordered = F.sort_array(grams)
-    return F.transform(ordered, lambda g, i: F.concat(
-        g, F.lit("#"), (i - F.array_position(ordered, g) + 1).cast("string")))
-
-
 def _bags(sentences, key, kind, options):
-    # Equal sentences (as bags of grams) become one row with the first key: copies cost nothing later.
-    bag = _numbered(_grams(rouge_tokens(F.col("text"), **options), kind))
-    keyed = sentences.select(F.struct(*key).alias("key"), bag.alias("bag")).filter(F.size("bag") > 0)
-    return keyed.groupBy("bag").agg(F.min("key").alias("key")).withColumn("id", F.xxhash64("bag"))
+    # The k-th occurrence of a gram becomes its own item, so that shared items count like shared occurrences. Equal
+    # sentences (as bags of grams) become one row with the first key: copies cost nothing later.
+    keyed = sentences.select(F.struct(*key).alias("key"), rouge_tokens(F.col("text"), **options).alias("_tokens"))
+    keyed = keyed.select("key", F.sort_array(_grams(F.col("_tokens"), kind)).alias("grams"))
+    item = F.transform("grams", lambda g, i: F.concat(
+        g, F.lit("#"), (i - F.array_position("grams", g) + 1).cast("string")))
+    bags = keyed.select("key", item.alias("bag")).filter(F.size("bag") > 0)
+    return bags.groupBy("bag").agg(F.min("key").alias("key"))
 
 
 def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, golden_key, kind=1, **options) -> DataFrame:
@@ -117,25 +114,22 @@ def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, gold
     that some pair reaches; a pair of m golden grams that scores at least t must share one of the m - ceil(t m) + 1
     rarest of them, so only those are joined.
     """
-    pred, gold = (_bags(predicted, list(predicted_key), kind, options), _bags(golden, list(golden_key), kind, options))
-    pred, gold = stage(pred, "predicted"), stage(gold, "golden")
-    held = pred.select(F.col("id").alias("p"), F.explode("bag").alias("gram"))
-    wanted = gold.select(F.col("id").alias("g"), F.size("bag").alias("m"), F.explode("bag").alias("gram"))
+    pred = stage(_bags(predicted, list(predicted_key), kind, options), "predicted")
+    gold = stage(_bags(golden, list(golden_key), kind, options), "golden")
+    held = pred.select(F.col("key").alias("p"), F.explode("bag").alias("gram"))
+    wanted = gold.select(F.col("key").alias("g"), F.size("bag").alias("m"), F.explode("bag").alias("gram"))
     counts = lookup_join(held, wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(
         F.count(F.lit(1)).alias("df"))
-    # Rarest first; a golden sentence's grams are one short array.
-    ordered = (wanted.join(counts, "gram", "left").groupBy("g", "m")
-               .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram"))).alias("o")))
-    ordered = stage(ordered.select("g", "m", "o"), "ordered")
+    # Rarest first; the grams of one golden sentence are a short array.
+    ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")))
+    ordered = stage(wanted.join(counts, "gram", "left").groupBy("g", "m").agg(ranked.alias("o")), "ordered")
 
     def scored(prefixes):
         pairs = lookup_join(held, prefixes, "gram").select("p", "g").distinct()
-        with_bags = (pairs.join(pred.select(F.col("id").alias("p"), F.col("bag").alias("p_bag"),
-                                            F.col("key").alias("p_key")), "p")
-                     .join(gold.select(F.col("id").alias("g"), F.col("bag").alias("g_bag"),
-                                       F.col("key").alias("g_key")), "g"))
+        with_bags = (pairs.join(pred.select(F.col("key").alias("p"), F.col("bag").alias("p_bag")), "p")
+                     .join(gold.select(F.col("key").alias("g"), F.col("bag").alias("g_bag")), "g"))
         share = F.size(F.array_intersect("p_bag", "g_bag")) / F.size("g_bag")
-        return with_bags.select(share.alias("score"), "p_key", "g_key")
+        return with_bags.select(share.alias("score"), "p", "g")
 
     seen = F.filter("o", lambda x: x["df"] > 0)
     rarest = ordered.select("g", F.inline(F.slice(seen, 1, 1))).select("g", "gram")
@@ -143,14 +137,14 @@ def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, gold
     reach = F.greatest(F.lit(1), (F.col("m") - F.ceil(floor * F.col("m") - 1e-9) + 1).cast("int"))
     prefixes = (ordered.select("g", F.inline(F.slice("o", F.lit(1), F.least(reach, F.col("m")))))
                 .filter("df > 0").select("g", "gram"))
-    nothing = (pred.agg(F.min("key").alias("p_key")).withColumn("one", F.lit(1))
-               .join(gold.agg(F.min("key").alias("g_key")).withColumn("one", F.lit(1)), "one")
-               .select(F.lit(0.0).alias("score"), "p_key", "g_key"))
+    nothing = (pred.agg(F.min("key").alias("p")).withColumn("one", F.lit(1))
+               .join(gold.agg(F.min("key").alias("g")).withColumn("one", F.lit(1)), "one")
+               .select(F.lit(0.0).alias("score"), "p", "g"))
     best = scored(prefixes).unionByName(nothing).agg(
-        F.min(F.struct((-F.col("score")).alias("score"), "p_key", "g_key")).alias("best"))
+        F.min(F.struct((-F.col("score")).alias("score"), "p", "g")).alias("best"))
     return best.select(F.round(-F.col("best.score"), 9).alias("score"),
-                       *[F.col(f"best.p_key.{c}").alias(f"predicted_{c}") for c in predicted_key],
-                       *[F.col(f"best.g_key.{c}").alias(f"golden_{c}") for c in golden_key])
+                       *[F.col(f"best.p.{c}").alias(f"predicted_{c}") for c in predicted_key],
+                       *[F.col(f"best.g.{c}").alias(f"golden_{c}") for c in golden_key])
 
 
 def entity_coverage(predicted: DataFrame, golden: DataFrame) -> DataFrame:

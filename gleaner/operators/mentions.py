@@ -9,7 +9,7 @@ from gleaner.functions.numbers import DATE, NUMBER
 NAME = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*"
 QUANTITY = (rf"{NUMBER} (?:miles per hour|mph|kilometers per hour|kph|miles|kilometers|inches|inch|centimeters|cm|feet)")
 EVENT_PATTERNS = {"QUANTITY": QUANTITY, "DATE": DATE}
-PLACE_WORD = r"[\p{L}\p{N}'-]+"
+PLACE_WORD = r"[\p{L}\p{N}_'-]+"
 LONGEST_PLACE = 3
 
 
@@ -25,16 +25,16 @@ def mentions(texts: DataFrame, patterns: dict, gazetteer: DataFrame = None, keep
     out = texts.select(*keep, F.inline(found))
     if gazetteer is None:
         return out
-    runs = texts.select(*keep, F.posexplode(place_runs(F.col("text"))).alias("ord", "mention"))
+    split = texts.select(*keep, tx.find_all(F.col("text"), PLACE_WORD).alias("_words"))
+    runs = split.select(*keep, F.posexplode(place_runs(F.col("_words"))).alias("ord", "mention"))
     listed = gazetteer.select("type", F.col("text").alias("mention")).distinct()
     placed = lookup_join(runs, listed, "mention")
     return out.unionByName(placed.select(*keep, "type", "ord", "mention"))
 
 
-def place_runs(text):
+def place_runs(words):
     """Runs of one to three words, as candidates for the gazetteer."""
-    parts = tx.find_all(text, PLACE_WORD)
-    return F.concat(*[tx.ngrams(parts, n) for n in range(1, LONGEST_PLACE + 1)])
+    return F.concat(*[tx.ngrams(words, n) for n in range(1, LONGEST_PLACE + 1)])
 
 
 def sentences_with_type(sentences: DataFrame, kind: str, patterns: dict) -> DataFrame:

@@ -46,7 +46,8 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
         return F.when(condition, values).otherwise(F.array().cast("array<string>"))
 
     found = sentences.select(by, "text", tx.find_all(text, mn.QUANTITY).alias("quantities"),
-                             tx.find_all(text, nb.DATE).alias("dates"))
+                             tx.find_all(text, nb.DATE).alias("dates"),
+                             tx.find_all(text, mn.PLACE_WORD).alias("words"))
     speed = nb.bounded([u for units in nb.SPEED_UNITS.values() for u in units])
     length = nb.bounded([u for units in nb.LENGTH_UNITS.values() for u in units])
     diameter = F.contains(text, F.lit("diameter"))
@@ -69,11 +70,13 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
         "rain": lambda: when(about("rain"), F.filter("quantities", lambda q: q.rlike(length))),
         "size": lambda: when(about("size"), miles),
         "deaths": lambda: when(about("deaths"), counted),
-        "landfall_place": lambda: when(about("landfall"), mn.place_runs(text)),
-        "evacuation_place": lambda: when(about("evacuation"), mn.place_runs(text)),
+        "landfall_place": lambda: when(about("landfall"), mn.place_runs(F.col("words"))),
+        "evacuation_place": lambda: when(about("evacuation"), mn.place_runs(F.col("words"))),
     }
-    cells = F.concat(*[F.transform(values[s](), lambda v, s=s: F.struct(F.lit(s).alias("slot"), v.alias("value")))
-                       for s in slots])
+
+    def labelled(slot):
+        return F.transform(values[slot](), lambda v: F.struct(F.lit(slot).alias("slot"), v.alias("value")))
+    cells = F.concat(*[labelled(slot) for slot in slots])
     rows = found.select(by, F.inline(cells))
     if set(slots) & set(PLACES):
         # Places are checked before the shuffle, so that only real ones are counted.
