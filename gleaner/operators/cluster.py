@@ -20,10 +20,8 @@ def _min_df(df: DataFrame, share: float) -> int:
 def count_vocabulary(records: DataFrame, vocab_size: int = 10_000, min_share: float = 0.1) -> DataFrame:
     """The words a count vectorizer keeps: (term, n, df), by frequency."""
     lists = records.select(tx.words(F.col("text"), lowercase=False).alias("lemmas"))
-    stats = weights.term_stats(lists)
-    total = weights._totals(stats)["records"]
-    floor = F.greatest(F.lit(1), (total * F.lit(min_share)).cast("bigint"))
-    kept = stats.filter((F.col("records") == 0) & (F.col("df") >= floor))
+    floor = F.greatest(F.lit(1), (F.col("size") * F.lit(min_share)).cast("bigint"))
+    kept = weights.with_totals(weights.term_stats(lists)).filter(F.col("df") >= floor)
     return weights.top(kept.select(F.col("lemma").alias("term"), "n", "df"), "n", "term", vocab_size)
 
 

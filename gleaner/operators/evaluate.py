@@ -103,8 +103,7 @@ def _bags(sentences, key, kind, options):
     keyed = keyed.select("key", F.sort_array(_grams(F.col("_tokens"), kind)).alias("grams"))
     item = F.transform("grams", lambda g, i: F.concat(
         g, F.lit("#"), (i - F.array_position("grams", g) + 1).cast("string")))
-    bags = keyed.select("key", item.alias("bag")).filter(F.size("bag") > 0)
-    return bags.groupBy("bag").agg(F.min("key").alias("key"))
+    return keyed.select("key", item.alias("bag")).groupBy("bag").agg(F.min("key").alias("key"))
 
 
 def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, golden_key, kind=1, **options) -> DataFrame:
@@ -114,8 +113,8 @@ def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, gold
     that some pair reaches; a pair of m golden grams that scores at least t must share one of the m - ceil(t m) + 1
     rarest of them, so only those are joined.
     """
-    pred = stage(_bags(predicted, list(predicted_key), kind, options), "predicted")
-    gold = stage(_bags(golden, list(golden_key), kind, options), "golden")
+    pred = stage(_bags(predicted, list(predicted_key), kind, options), "predicted").filter(F.size("bag") > 0)
+    gold = stage(_bags(golden, list(golden_key), kind, options), "golden").filter(F.size("bag") > 0)
     held = pred.select(F.col("key").alias("p"), F.explode("bag").alias("gram"))
     wanted = gold.select(F.col("key").alias("g"), F.size("bag").alias("m"), F.explode("bag").alias("gram"))
     counts = lookup_join(held, wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions import text as tx
-from gleaner.operators import groups, weights
+from gleaner.operators import groups, text, weights
+from gleaner.sources.staging import stage
 
 
 def feature_labels(lists: DataFrame, thesaurus: DataFrame, num_words: int = 20, num_bigrams: int = 10,
@@ -13,7 +14,8 @@ def feature_labels(lists: DataFrame, thesaurus: DataFrame, num_words: int = 20,
     Built from the `num_words` most important words and the `num_bigrams` most frequent bigrams, so it is small
     whatever the size of the corpus.
     """
-    words = weights.important_words(lists, num_words, min_share=min_share)
+    # A list of num_words rows with four readers, so it is written out once.
+    words = stage(weights.important_words(lists, num_words, min_share=min_share), "words")
     merged = groups.merge_collocations(weights.top_bigrams(lists, num_bigrams), words, num_bigrams, num_words,
                                        word_value="score")
     synonyms = groups.synonym_groups(words, thesaurus, "score").select(F.col("word").alias("item"), "members")
@@ -30,6 +32,10 @@ def _label_array(labels: DataFrame) -> Column:
     return terms.agg(F.sort_array(F.collect_list(F.struct("feature_id", "kind", "terms")))).scalar()
 
 
+def _term_array(labels: DataFrame) -> Column:
+    return labels.agg(F.collect_set("term")).scalar()
+
+
 def feature_sets(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Add `count_feature_set` and `presence_feature_set`, one slot per feature, to rows with a `lemmas` array.
 
@@ -37,8 +43,7 @@ def feature_sets(lists: DataFrame, labels: DataFrame) -> DataFrame:
     records are not shuffled and those without any feature stay.
     """
     columns = lists.columns
-    df = lists.withColumn("_labels", _label_array(labels))
-    df = df.withColumn("_terms", F.flatten(F.col("_labels").getField("terms")))
+    df = lists.withColumn("_labels", _label_array(labels)).withColumn("_terms", _term_array(labels))
     present = F.filter(F.concat("lemmas", tx.pairs(F.col("lemmas"))), lambda x: F.array_contains("_terms", x))
     df = df.select(*columns, "_labels", present.alias("_hits"))
     counts = F.transform("_labels", lambda f: F.when(
@@ -55,7 +60,8 @@ def presence(counts: Column) -> Column:
 
 def feature_counts(features: DataFrame, key: str = "doc_id") -> DataFrame:
     """Non-zero counts as rows (key, feature_id, n)."""
-    return (features.select(key, F.posexplode("count_feature_set").alias("feature_id", "n")).filter("n > 0"))
+    # The outer form: for the inner one Spark adds a size filter that computes the sets a second time.
+    return features.select(key, F.posexplode_outer("count_feature_set").alias("feature_id", "n")).filter("n > 0")
 
 
 def densify(counts: DataFrame, num_features: int, records: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -71,7 +77,6 @@ def feature_dataset(records: DataFrame, labels: DataFrame, lists=None, key: str
 
     All four parts come from the same row, so no join is needed; pass `lists` to join lemma lists made elsewhere.
     """
-    from gleaner.operators import text
     if lists is None:
         kept = [c for c in records.columns if c != key]
         lists = text.lemma_lists(records, key=key, keep=kept)

@@ -46,10 +46,15 @@ def term_stats(lists: DataFrame, by=()) -> DataFrame:
                 (F.count(F.lit(1)) - F.count("first")).alias("records")))
 
 
-def _totals(stats: DataFrame):
-    # Uses every column of `stats`, so that both readers share one exchange.
-    return stats.agg(F.struct(F.sum("n").alias("n"), F.sum("records").alias("records"),
-                              F.max("df").alias("df")).alias("totals")).scalar()
+def with_totals(stats: DataFrame) -> DataFrame:
+    """The lemma rows of `term_stats` with the sum of all n as `total` and the number of records as `size`."""
+    # The totals use every column of `stats`, so that both readers share one exchange.
+    totals = stats.agg(F.struct(F.sum("n").alias("n"), F.sum("records").alias("records"), F.max("df").alias("df"))
+                       .alias("totals")).scalar()
+    # Coalesced, or a null check on the totals is pushed below the exchange and the two no longer match.
+    return (stats.withColumn("_totals", totals).filter("records = 0")
+            .select("lemma", "n", "df", F.coalesce("_totals.n", F.lit(0)).alias("total"),
+                    F.coalesce("_totals.records", F.lit(0)).alias("size")))
 
 
 def term_frequency(lists: DataFrame) -> DataFrame:
@@ -59,21 +64,19 @@ def term_frequency(lists: DataFrame) -> DataFrame:
     return counts.withColumn("tf", F.col("n") / total)
 
 
+def _frequent(lists, min_share):
+    return with_totals(term_stats(lists)).filter(F.col("df") > F.col("size") * F.lit(min_share))
+
+
 def idf(lists: DataFrame, min_share: float = 0.1) -> DataFrame:
     """log10(records / df) of lemmas in more than `min_share` of the records: (lemma, df, idf)."""
-    stats = term_stats(lists)
-    records = _totals(stats)["records"]
-    return (stats.filter((F.col("records") == 0) & (F.col("df") > records * F.lit(min_share)))
-            .select("lemma", "df", F.log10(records / F.col("df")).alias("idf")))
+    return _frequent(lists, min_share).select("lemma", "df", F.log10(F.col("size") / F.col("df")).alias("idf"))
 
 
 def tf_idf(lists: DataFrame, min_share: float = 0.1) -> DataFrame:
     """Corpus TF-IDF of lemmas in more than `min_share` of the records: (lemma, n, df, score)."""
-    stats = term_stats(lists)
-    totals = _totals(stats)
-    score = F.col("n") / totals["n"] * F.log10(totals["records"] / F.col("df"))
-    return (stats.filter((F.col("records") == 0) & (F.col("df") > totals["records"] * F.lit(min_share)))
-            .select("lemma", "n", "df", F.round(score, 12).alias("score")))
+    score = F.col("n") / F.col("total") * F.log10(F.col("size") / F.col("df"))
+    return _frequent(lists, min_share).select("lemma", "n", "df", F.round(score, 12).alias("score"))
 
 
 def top(df: DataFrame, value: str, item: str, k: int = None) -> DataFrame:

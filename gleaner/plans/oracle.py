@@ -1,11 +1,13 @@
 """The registered queries in ANSI SQL over the same tables, for comparison."""
 
+import re
+
 from gleaner.functions import numbers as nb, sampling, text as tx, vocab
 from gleaner.operators import mentions as mn, slots as sl
 from gleaner.plans import tables as t
 
 ORACLE = {}
-PARTS = {}
+PARTS = {}  # named subqueries; @name refers to another one
 
 
 def lit(text):
@@ -21,15 +23,14 @@ def part(name, sql):
 
 
 def oracle(name, sql, *needs):
-    wanted, todo = [], list(needs)
+    wanted, todo = set(), list(needs)
     while todo:
-        n = todo.pop(0)
-        if n in wanted:
-            continue
-        wanted.append(n)
-        todo += [m for m in PARTS if m != n and f"@{m}" in PARTS[n]]
+        n = todo.pop()
+        if n not in wanted:
+            wanted.add(n)
+            todo += [m for m in re.findall(r"@(\w+)", PARTS[n]) if m in PARTS]
     order = [n for n in PARTS if n in wanted]
-    body = ", ".join(f"{n} AS ({PARTS[n].replace('@', '')})" for n in order)
+    body = ", ".join(f"{n} AS ({re.sub(r'@(?=[a-z])', '', PARTS[n])})" for n in order)
     ORACLE[name] = (f"WITH {body} " if order else "") + sql
 
 
@@ -438,7 +439,6 @@ FROM (SELECT DISTINCT event_key FROM @reports)
 
 
 def outline_sql(text):
-    import re
     pieces = [f"CAST({p[1:-1]} AS VARCHAR)" if p.startswith("{") else lit(p) for p in re.split(r"({\w+})", text) if p]
     return "trim(" + " || ".join(pieces) + ")"
 

@@ -72,7 +72,7 @@ def read_labeled(spark: SparkSession, path: str) -> DataFrame:
 def read_summary_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files, one row per file, line breaks replaced by spaces."""
     text = F.regexp_replace(F.regexp_replace("value", r"\n$", ""), "\n", " ")
-    return spark.read.option("wholetext", True).text(path).withColumn("value", text).withColumnRenamed("value", "text")
+    return spark.read.text(path, wholetext=True).withColumn("value", text).withColumnRenamed("value", "text")
 
 
 def write_json(df: DataFrame, path: str) -> None:
