@@ -1,7 +1,7 @@
 """Evaluation of summaries: ROUGE recall, its bootstrap interval, the best sentence pair, entity coverage."""
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gleaner.functions import text as tx, vocab
 from gleaner.functions.joins import lookup_join
@@ -53,7 +53,7 @@ def rouge(predicted: DataFrame, golden: DataFrame, kind=1, by=(), key: str = "do
     return hits.join(totals, by).select(key, *by, F.round(F.col("hits") / F.col("total"), 9).alias("score"))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _lcs(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(list(x), list(y)) for x, y in zip(a, b)], dtype="int32")
 

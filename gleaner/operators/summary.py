@@ -43,7 +43,7 @@ def doc_summary(records: DataFrame, title: str = "", top: int = 5, stop=None, ke
     """
     records = records.select(key, "text").repartition(key)
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "sent_no"))
-    best = (sentence_scores(records, title, stop, key).withColumn("rank", rank).filter(F.col("rank") <= top)
+    best = (sentence_scores(records, title, stop, key).withColumn("_rank", rank).filter(F.col("_rank") <= top)
             .groupBy(key).agg(F.sort_array(F.collect_list("sent_no")).alias("_picked")))
     parts = records.select(key, tx.split_sentences(F.col("text")).alias("_parts"))
     picked = F.transform("_picked", lambda i: F.get(F.col("_parts"), i))
