@@ -3,11 +3,14 @@
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most `limit` rows; counts no further than that."""
-    return table.limit(limit + 1).count() <= limit
+def fits(table: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most `limit` rows and `size` bytes of text; looks at no more rows than that."""
+    width = F.octet_length(F.to_json(F.struct(*table.columns)))
+    rows, total = table.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= limit and total <= size
 
 
 def lookup_join(left: DataFrame, table: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS,

@@ -9,13 +9,18 @@ def uniform(key: Column, seed: str = "") -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def poisson(key: Column, replicate: Column) -> Column:
-    """A Poisson(1) draw fixed by key and replicate number, from the first eight hex digits of an MD5.
+def poisson(key: Column, block: Column) -> Column:
+    """Four Poisson(1) draws fixed by key and block number, as an array, from one MD5.
 
-    Fixed-width hex compares like the number it spells, so the draw is the count of cumulative thresholds passed.
+    Fixed-width hex compares like the number it spells, so a draw is the count of cumulative thresholds passed by eight
+    digits of the digest.
     """
-    digits = F.substring(F.md5(F.concat(key.cast("string"), F.lit("/"), replicate.cast("string"))), 1, 8)
-    return sum((F.when(digits >= t, 1).otherwise(0) for t in POISSON_THRESHOLDS), F.lit(0))
+    digest = F.md5(F.concat(key.cast("string"), F.lit("/"), block.cast("string")))
+
+    def draw(i):
+        digits = F.substring(digest, 8 * i + 1, 8)
+        return sum((F.when(digits >= t, 1).otherwise(0) for t in POISSON_THRESHOLDS), F.lit(0))
+    return F.array(*[draw(i) for i in range(4)])
 
 
 def _thresholds(limit: int = 12):

@@ -86,9 +86,11 @@ def rouge_bootstrap(scores: DataFrame, replicates: int = 1000, key: str = "doc_i
     Resampling weights are Poisson(1) draws fixed by key and replicate, so every replicate is a weighted mean and the
     shuffle carries `replicates` rows per task.
     """
-    drawn = scores.select(key, "score", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    weight = poisson(F.col(key), F.col("replicate"))
-    means = (drawn.select("replicate", "score", weight.alias("w")).filter("w > 0")
+    blocks = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))).alias("block")
+    drawn = scores.select(key, "score", blocks).select(
+        "score", "block", F.posexplode(poisson(F.col(key), F.col("block"))).alias("i", "w"))
+    means = (drawn.select((F.col("block") * 4 + F.col("i")).alias("replicate"), "score", "w")
+             .filter((F.col("w") > 0) & (F.col("replicate") < replicates))
              .groupBy("replicate").agg((F.sum(F.col("score") * F.col("w")) / F.sum("w")).alias("mean")))
     cuts = means.agg(F.percentile("mean", F.array(F.lit(0.025), F.lit(0.975))).alias("cuts"),
                      F.avg("mean").alias("mean"))

@@ -91,9 +91,9 @@ def rebuild_records(sentences: DataFrame, min_sentences: int = 5, key: str = "do
 
     Records with fewer than `min_sentences` are left out; the url column is kept when there is one.
     """
-    parts = sentences.repartition(key)
-    first = [F.min("sent_no").alias("sent_no")] + [F.first(c).alias(c) for c in ("url",) if c in sentences.columns]
-    once = parts.groupBy(key, "text").agg(*first)
+    # Copies of a sentence collapse before any record is brought together.
+    first = [F.min("sent_no").alias("sent_no")] + [F.min(c).alias(c) for c in ("url",) if c in sentences.columns]
+    once = sentences.groupBy(key, "text").agg(*first)
     urls = [F.min("url").alias("url")] if "url" in sentences.columns else []
     whole = once.groupBy(key).agg(*urls, F.array_sort(F.collect_list(F.struct("sent_no", "text"))).alias("_s"))
     whole = whole.filter(F.size("_s") >= min_sentences)

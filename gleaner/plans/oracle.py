@@ -493,11 +493,11 @@ def rouge_sql(kind):
 
 for query, kind in (("rouge_1", "1"), ("rouge_2", "2"), ("rouge_su4", "s")):
     oracle(query, rouge_sql(kind), f"pd{kind}", f"gd{kind}", "english")
-DIGITS = "substr(md5(CAST(doc_id AS VARCHAR) || '/' || CAST(r AS VARCHAR)), 1, 8)"
+DIGITS = "substr(md5(CAST(doc_id AS VARCHAR) || '/' || CAST(r // 4 AS VARCHAR)), CAST(8 * (r % 4) + 1 AS INTEGER), 8)"
 DRAW = " + ".join(f"CASE WHEN h >= '{cut}' THEN 1 ELSE 0 END" for cut in sampling.POISSON_THRESHOLDS)
 oracle("rouge_bootstrap", "SELECT round(avg(m), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, "
        f"0.975), 6) AS high FROM (SELECT r, sum(score * w) / sum(w) AS m FROM (SELECT r, score, {DRAW} AS w FROM (SELECT r, "
-       f"score, {DIGITS} AS h FROM ({rouge_sql('1')}), (SELECT unnest(range(1, 1001)) AS r))) GROUP BY r)",
+       f"score, {DIGITS} AS h FROM ({rouge_sql('1')}), (SELECT unnest(range(0, 1000)) AS r))) GROUP BY r)",
        "pd1", "gd1", "english")
 part("psent", "SELECT doc_id * 1000000 + sent_no AS k, text FROM @sents20 JOIN @english USING (doc_id)".replace(
     "text FROM", "sents20.text AS text FROM"))

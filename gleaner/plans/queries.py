@@ -194,7 +194,7 @@ def pos_tfidf(spark, sf):
 
 
 def _listed_and_counted(spark, sf):
-    lists = stage(t.lists(spark, sf), "lemmas")
+    lists = t.staged_lists(spark, sf)
     return weights.important_words(lists, 20), weights.top_words(lists, 200)
 
 
@@ -205,7 +205,7 @@ def words_with_counts(spark, sf):
 
 @query
 def words_without_counts(spark, sf):
-    lists = stage(t.lists(spark, sf), "lemmas")
+    lists = t.staged_lists(spark, sf)
     return weights.without_counts(weights.important_words(lists, None), weights.top_words(lists, 20))
 
 
@@ -213,31 +213,34 @@ def words_without_counts(spark, sf):
 
 @query
 def related_words(spark, sf):
-    return groups.related_words(weights.word_count(t.lists(spark, sf)), t.thesaurus(spark, sf))
+    lists = t.staged_lists(spark, sf)
+    return groups.related_words(weights.word_count(lists), t.thesaurus(lists))
 
 
 @query
 def synonym_groups(spark, sf):
-    found = groups.synonym_groups(weights.word_count(t.lists(spark, sf)), t.thesaurus(spark, sf))
+    lists = t.staged_lists(spark, sf)
+    found = groups.synonym_groups(weights.word_count(lists), t.thesaurus(lists))
     return found.withColumn("members", F.array_join("members", " "))
 
 
 @query
 def top_synonym_groups(spark, sf):
-    found = groups.synonym_groups(weights.word_count(t.lists(spark, sf)), t.thesaurus(spark, sf))
+    lists = t.staged_lists(spark, sf)
+    found = groups.synonym_groups(weights.word_count(lists), t.thesaurus(lists))
     return groups.top_synonym_groups(found, 20).withColumn("members", F.array_join("members", " "))
 
 
 @query
 def merge_collocations(spark, sf):
-    lists = stage(t.lists(spark, sf), "lemmas")
+    lists = t.staged_lists(spark, sf)
     return groups.merge_collocations(weights.bigram_count(lists), weights.word_count(lists), 20, 30)
 
 
 @query
 def feature_labels(spark, sf):
-    lists = stage(t.lists(spark, sf), "lemmas")
-    return features.feature_labels(lists, t.thesaurus(spark, sf))
+    lists = t.staged_lists(spark, sf)
+    return features.feature_labels(lists, t.thesaurus(lists))
 
 
 @query

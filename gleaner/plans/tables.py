@@ -57,12 +57,12 @@ def lexicon(spark, sf) -> DataFrame:
             .select("token", kind.alias("tag"), F.left(word, F.length(word) - 2).alias("lemma")))
 
 
-def thesaurus(spark, sf, min_count: int = 20) -> DataFrame:
+def thesaurus(lemma_lists: DataFrame, min_count: int = 20) -> DataFrame:
     """Frequent English words related by stem: (word, related).
 
     A stem has at most one word per suffix and one without, so a group holds at most six words.
     """
-    counts = weights.word_count(text.lemma_lists(documents(spark, sf, "en")))
+    counts = weights.word_count(lemma_lists.filter("lang = 'en'"))
     stem = F.regexp_replace("lemma", "(tion|ing|ed|ly|ble)$", "")
     grouped = (counts.filter(F.col("n") >= min_count).select("lemma", stem.alias("stem"))
                .filter(F.length("stem") >= 2).groupBy("stem").agg(F.collect_list("lemma").alias("words")))
@@ -70,15 +70,16 @@ def thesaurus(spark, sf, min_count: int = 20) -> DataFrame:
             .select("word", F.explode("words").alias("related")).filter("word <> related"))
 
 
-def vocabulary(spark, sf, lemma_lists) -> DataFrame:
-    """The feature vocabulary, written out as it is reused for every record."""
-    return stage(features.feature_labels(lemma_lists, thesaurus(spark, sf)), "labels")
+def staged_lists(spark, sf, keep=()) -> DataFrame:
+    """(doc_id, lang, *keep, lemmas), written out for several readers."""
+    return stage(lists(spark, sf, ("lang", *keep)), "lemmas")
 
 
 def feature_table(spark, sf, keep=()) -> DataFrame:
-    """(doc_id, *keep, lemmas, count_feature_set, presence_feature_set)."""
-    lemma_lists = stage(lists(spark, sf, keep), "lemmas")
-    return features.feature_sets(lemma_lists, vocabulary(spark, sf, lemma_lists))
+    """(doc_id, *keep, lemmas, count_feature_set, presence_feature_set); the vocabulary is written out for reuse."""
+    lemma_lists = staged_lists(spark, sf, keep)
+    labels = stage(features.feature_labels(lemma_lists, thesaurus(lemma_lists)), "labels")
+    return features.feature_sets(lemma_lists.drop("lang"), labels)
 
 
 def counted(spark, sf, keep=()) -> DataFrame:
