@@ -138,14 +138,18 @@ def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, gold
     reach = F.greatest(F.lit(1), (F.col("m") - F.ceil(floor * F.col("m") - 1e-9) + 1).cast("int"))
     prefixes = (ordered.select("g", F.inline(F.slice("o", F.lit(1), F.least(reach, F.col("m")))))
                 .filter("df > 0").select("g", "gram"))
-    nothing = (pred.agg(F.min("key").alias("p")).withColumn("one", F.lit(1))
-               .join(gold.agg(F.min("key").alias("g")).withColumn("one", F.lit(1)), "one")
-               .select(F.lit(0.0).alias("score"), "p", "g"))
+    # Without any shared gram all pairs score 0 and the first one is returned.
+    firsts = pred.select(F.col("key").alias("p")).unionByName(gold.select(F.col("key").alias("g")), True)
+    nothing = firsts.agg(F.min("p").alias("p"), F.min("g").alias("g")).select(F.lit(0.0).alias("score"), "p", "g")
     best = scored(prefixes).unionByName(nothing).agg(
         F.min(F.struct((-F.col("score")).alias("score"), "p", "g")).alias("best"))
-    return best.select(F.round(-F.col("best.score"), 9).alias("score"),
+    best = best.select(F.round(-F.col("best.score"), 9).alias("score"),
                        *[F.col(f"best.p.{c}").alias(f"predicted_{c}") for c in predicted_key],
                        *[F.col(f"best.g.{c}").alias(f"golden_{c}") for c in golden_key])
+    for side, name, key in ((predicted, "predicted", predicted_key), (golden, "golden", golden_key)):
+        texts = side.select(*[F.col(c).alias(f"{name}_{c}") for c in key], F.col("text").alias(f"{name}_text"))
+        best = texts.join(F.broadcast(best), [f"{name}_{c}" for c in key])  # one row
+    return best
 
 
 def entity_coverage(predicted: DataFrame, golden: DataFrame) -> DataFrame:

@@ -118,9 +118,12 @@ def class_tf_idf(by_class: DataFrame, min_share: float = 0.1) -> DataFrame:
     `min_share`), so ranking a class stays small.
     """
     stats = term_stats(by_class, by=("tag_class",))
-    totals = (stats.groupBy("tag_class").agg(F.sum("n").alias("total"), F.sum("records").alias("count")))
+    # Reads every column of `stats` (as `with_totals` does), so that both sides of the join share one exchange.
+    totals = stats.groupBy("tag_class").agg(F.sum("n").alias("total"), F.sum("records").alias("count"),
+                                            F.max("df").alias("_most"))
     scored = (stats.join(F.broadcast(totals), "tag_class")
-              .filter((F.col("records") == 0) & (F.col("df") > F.col("count") * F.lit(min_share)))
+              .filter((F.col("records") == 0) & (F.col("df") > F.col("count") * F.lit(min_share))
+                      & (F.col("df") <= F.col("_most")))
               .withColumn("score", F.round(F.col("n") / F.col("total") * F.log10(F.col("count") / F.col("df")), 12)))
     rank = F.row_number().over(Window.partitionBy("tag_class").orderBy(F.desc("score"), "lemma"))
     return (scored.withColumn("rank", rank).filter(F.col("rank") <= F.col("count"))

@@ -510,11 +510,12 @@ gram_rows("gs", "@gsent", "k")
 def best_sql(kind):
     return (f"SELECT 'rouge_{kind}' AS metric, round(score, 9) AS score, pk // 1000000 AS predicted_doc_id, CAST(pk % 1000000 "
             f"AS INTEGER) AS predicted_sent_no, gk // 1000000 AS golden_item_id, CAST(gk % 1000000 AS INTEGER) AS "
-            f"golden_sent_no FROM (SELECT p.k AS pk, g.k AS gk, CAST(sum(least(p.n, g.n)) AS BIGINT) / any_value(m) AS score "
+            f"golden_sent_no, (SELECT text FROM psent WHERE k = pk) AS predicted_text, (SELECT text FROM gsent WHERE k = gk) AS "
+            f"golden_text FROM (SELECT p.k AS pk, g.k AS gk, CAST(sum(least(p.n, g.n)) AS BIGINT) / any_value(m) AS score "
             f"FROM (SELECT k, gram, count(*) AS n FROM ps{kind} GROUP BY ALL) p JOIN (SELECT k, gram, count(*) AS n, "
             f"CAST(sum(count(*)) OVER (PARTITION BY k) AS BIGINT) AS m FROM gs{kind} GROUP BY k, gram) g USING (gram) GROUP BY "
             f"p.k, g.k ORDER BY score DESC, pk, gk LIMIT 1)")
 
 
 oracle("rouge_best_pair", f"SELECT * FROM ({best_sql('1')}) UNION ALL SELECT * FROM ({best_sql('2')})", "ps1", "gs1", "ps2",
-       "gs2")
+       "gs2", "psent", "gsent")

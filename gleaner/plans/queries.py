@@ -318,9 +318,7 @@ def mlp_predict(spark, sf):
     labeled = model.with_vectors(label.auto_label(t.counted(spark, sf), relevant_t=1.0))
     labeled = stage(labeled.select("doc_id", "features", "feature_count", "label"), "labeled")
     split = label.undersample(label.train_test_split(labeled))
-    size = labeled.select(F.unwrap_udt("features")["values"].alias("v")).agg(F.max(F.size("v"))).scalar()
-    width = spark.range(1).select(size).first()[0]
-    fitted = model.train_model(split.filter("part = 'train'"), width)
+    fitted = model.train_model(split.filter("part = 'train'"), labeled.first().features.size)
     merged = model.merge_predictions(labeled, model.predict_unlabeled(labeled, fitted))
     return merged.select("doc_id", "feature_count", "label")
 

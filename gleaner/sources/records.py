@@ -28,7 +28,7 @@ def read_records(spark: SparkSession, path: str, parts_only: bool = False) -> Da
 
 
 def with_id(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Add a unique id when the table has none."""
+    """Add a unique id when the table has none; stage the result when several jobs must see the same ids."""
     return df if key in df.columns else df.select(F.monotonically_increasing_id().alias(key), "*")
 
 
@@ -90,6 +90,16 @@ def exemplar_path(dataset: str, k: int, method: str, feature_type: str, vocab_si
     return "_".join([dataset, str(k), method, feature_type, str(vocab_size)]) + "cluster_samples"
 
 
+def write_clusters(clustered: DataFrame, path: str) -> None:
+    """Save the rows in one folder per cluster, in one pass."""
+    clustered.write.mode("overwrite").partitionBy("cluster").json(path)
+
+
+def read_cluster(spark: SparkSession, path: str, schema: T.StructType, cluster: int) -> DataFrame:
+    """The rows of one saved cluster; the other folders are not read."""
+    return spark.read.schema(schema).json(path).filter(F.col("cluster") == cluster)
+
+
 def write_vocabulary(labels: DataFrame, path: str) -> None:
     """Save a feature vocabulary for reuse by later runs."""
     labels.select("feature_id", "kind", "term").coalesce(1).write.mode("overwrite").json(path)

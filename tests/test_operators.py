@@ -362,6 +362,13 @@ def test_cluster_size_stats_count_empty_clusters(spark):
         cluster.do_cluster(sizes, "other")
 
 
+def test_clusters_are_saved_apart(spark, tmp_path):
+    df = spark.createDataFrame([(i, i % 3) for i in range(9)], "doc_id bigint, cluster int")
+    src.write_clusters(df, str(tmp_path / "clusters"))
+    one = src.read_cluster(spark, str(tmp_path / "clusters"), df.schema, 1)
+    assert sorted(r.doc_id for r in one.collect()) == [1, 4, 7]
+
+
 def test_exemplar_file(spark, tmp_path):
     path = src.exemplar_path(str(tmp_path / "set"), 5, "kmeans", "count", 100)
     src.write_small_json(spark.range(5), path, 5)
