@@ -3,7 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from gleaner.functions import vocab
-from gleaner.functions.text import find_all
+from gleaner.functions.text import find_all, quote
 
 NUMBER = r"[0-9][0-9,]*(?:\.[0-9]+)?"
 MONTH = "|".join("Sept?(?:ember)?" if m == "September" else m if len(m) == 3 else f"{m[:3]}(?:{m[3:]})?"
@@ -53,26 +53,20 @@ def to_inches(text: Column, mode: str = "value") -> Column:
     return _convert(text, LENGTH_UNITS, [("inch", lambda x: x), ("cm", lambda x: x / CM_PER_INCH)], mode)
 
 
-def number_word(word: Column) -> Column:
-    """Value of a number word; null for other words."""
-    out = None
-    for text, value in vocab.NUMBER_WORDS.items():
-        out = F.when(word == text, value) if out is None else out.when(word == text, value)
-    return out
+def number_word(word: str) -> str:
+    """SQL text for the value of a number word; null for other words."""
+    return f"CASE {word} {' '.join(f'WHEN {quote(w)} THEN {n}' for w, n in vocab.NUMBER_WORDS.items())} END"
 
 
 def _ints(text):
     return F.filter(F.transform(find_all(text, "[0-9]+"), lambda x: x.try_cast("int")), lambda x: x.isNotNull())
 
 
-def month_of(text: Column) -> Column:
-    """Number of the first month named as a whole word; null without one."""
-    name = F.regexp_extract(text, f"(?:^|[^A-Za-z])({MONTH})(?:[^A-Za-z]|$)", 1)
-    out = None
-    for i, month in enumerate(vocab.MONTHS, start=1):
-        hit = name.startswith(month[:3])
-        out = F.when(hit, i) if out is None else out.when(hit, i)
-    return out
+def month_of(text: str) -> Column:
+    """Number of the first month named as a whole word in a column; null without one."""
+    pattern = quote(f"(?:^|[^A-Za-z])({MONTH})(?:[^A-Za-z]|$)")
+    cases = " ".join(f"WHEN {quote(month[:3])} THEN {i}" for i, month in enumerate(vocab.MONTHS, start=1))
+    return F.expr(f"CASE left(regexp_extract({text}, {pattern}, 1), 3) {cases} END")
 
 
 def years_of(text: Column) -> Column:
@@ -90,11 +84,12 @@ def last(values: Column) -> Column:
     return F.try_element_at(values, F.lit(-1))
 
 
-def date_of(text: Column) -> Column:
-    """The date, when month, day and year are all there and valid; else null."""
-    parts = F.concat(F.lpad(last(years_of(text)).cast("string"), 4, "0"), F.lit("-"),
+def date_of(text: str) -> Column:
+    """The date in a text column, when month, day and year are all there and valid; else null."""
+    value = F.col(text)
+    parts = F.concat(F.lpad(last(years_of(value)).cast("string"), 4, "0"), F.lit("-"),
                      F.lpad(month_of(text).cast("string"), 2, "0"), F.lit("-"),
-                     F.lpad(last(days_of(text)).cast("string"), 2, "0"))
+                     F.lpad(last(days_of(value)).cast("string"), 2, "0"))
     return parts.try_cast("date")
 
 

@@ -8,6 +8,7 @@ from gleaner.functions import vocab
 WORD = r"'\p{L}+|[\p{L}\p{N}]+(?:[.,-][\p{L}\p{N}]+)*|[^\s\p{L}\p{N}]"
 SENTENCE = r"[^.!?\n]+[.!?]*"
 NUMERIC = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
+LETTER, DIGIT, WORD_CHARACTER, CAPITAL = r"\p{L}", r"\p{N}", r"[\p{L}\p{N}]", r"^\p{Lu}"
 
 
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
@@ -15,10 +16,85 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def words(text: Column, lowercase: bool = True) -> Column:
+def quote(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _among(words) -> str:
+    return "(" + ", ".join(quote(w) for w in words) + ")"
+
+
+# The word rules are SQL text, as one expression with a few hundred literals parses much faster than it is put together
+# from Column objects. `token` and `text` are names of columns or lambda variables.
+
+def _words(text, lowercase):
+    plain = f"CASE WHEN contains({text}, '’') THEN replace({text}, '’', {quote(chr(39))}) ELSE {text} END"
+    return f"regexp_extract_all({f'lower({plain})' if lowercase else plain}, {quote(WORD)}, 0)"
+
+
+def _stop(token, stop, lowered):
+    return f"{token if lowered else f'lower({token})'} IN {_among(stop)}"
+
+
+def _content(token, stop, lowered):
+    word = (f"(rlike({token}, {quote(LETTER)}) OR (rlike({token}, {quote(DIGIT)}) AND "
+            f"NOT rlike({token}, {quote(NUMERIC)})))")
+    return f"{word} AND NOT ({_stop(token, stop, lowered)})"
+
+
+def _tag(token, suffix_tags=None, default=vocab.DEFAULT_TAG):
+    suffix_tags = vocab.SUFFIX_TAGS if suffix_tags is None else suffix_tags
+    suffixes = " ".join(f"WHEN endswith({token}, {quote(s)}) THEN {quote(suffix_tags[s])}"
+                        for s in sorted(suffix_tags, key=lambda s: (-len(s), s)))
+    return (f"CASE WHEN NOT rlike({token}, {quote(WORD_CHARACTER)}) THEN {token} WHEN rlike({token}, '^[0-9]') THEN 'CD' "
+            f"WHEN rlike({token}, {quote(CAPITAL)}) THEN 'NNP' {suffixes} ELSE {quote(default)} END")
+
+
+def _lemma(token, tag, endings=None):
+    endings = vocab.VERB_ENDINGS if endings is None else endings
+    if not endings:
+        return token
+    verbs = _among([t for t, c in vocab.TAG_CLASSES.items() if c == "v"])
+    cases = " ".join(f"WHEN endswith({token}, {quote(e)}) AND length({token}) >= {len(e) + 2} AND {tag} IN {verbs} "
+                     f"THEN left({token}, length({token}) - {len(e)})"
+                     for e in sorted(endings, key=lambda s: (-len(s), s)))
+    return f"CASE {cases} ELSE {token} END"
+
+
+def words(text: str = "text", lowercase: bool = True) -> Column:
     """Array of word tokens; typographic apostrophes become plain ones."""
-    text = F.when(F.contains(text, F.lit("’")), F.replace(text, F.lit("’"), F.lit("'"))).otherwise(text)
-    return find_all(F.lower(text) if lowercase else text, WORD)
+    return F.expr(_words(text, lowercase))
+
+
+def content_words(text: str, stop, lowercase: bool = True) -> Column:
+    """Array of the words that are no punctuation, plain number or stop word."""
+    return F.expr(f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})")
+
+
+def content_lemmas(text: str, stop, lowercase: bool = True) -> Column:
+    """Array of the lemmas of the content words, by rule."""
+    found = f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})"
+    return F.expr(f"transform({found}, t -> {_lemma('t', _tag('t'))})")
+
+
+def tagged_lemmas(text: str, stop, lowercase: bool = True) -> Column:
+    """Array of (lemma, tag) of the content words, by rule."""
+    found = f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})"
+    tagged = f"transform({found}, t -> named_struct('token', t, 'tag', {_tag('t')}))"
+    return F.expr(f"transform({tagged}, x -> named_struct('lemma', {_lemma('x.token', 'x.tag')}, 'tag', x.tag))")
+
+
+def rouge_words(text: str, stop=None, stem: bool = True, length: int = None) -> Column:
+    """Array of the lowercase words, the first `length` only if given, without stop words, stemmed by rule."""
+    out = f"filter({_words(text, True)}, t -> rlike(t, {quote(WORD_CHARACTER)}))"
+    if length is not None:
+        out = f"slice({out}, 1, {int(length)})"
+    if stop:
+        out = f"filter({out}, t -> NOT ({_stop('t', stop, True)}))"
+    if stem:
+        out = f"transform({out}, t -> {_lemma('t', _tag('t'))})"
+    return F.expr(out)
 
 
 def split_sentences(text: Column) -> Column:
@@ -26,51 +102,24 @@ def split_sentences(text: Column) -> Column:
     return F.transform(find_all(text, SENTENCE), lambda s: F.trim(s))
 
 
-def is_stop(token: Column, stop, lowered: bool = False) -> Column:
+def is_stop(token: str, stop, lowered: bool = False) -> Column:
     """Whether the lowercased token is in a list of stop words."""
-    return (token if lowered else F.lower(token)).isin(*stop)
-
-
-def is_content(token: Column, stop, lowered: bool = False) -> Column:
-    """Whether a token is a word: no punctuation, no plain number, no stop word."""
-    word = token.rlike(r"\p{L}") | (token.rlike(r"\p{N}") & ~is_numeric(token))
-    return word & ~is_stop(token, stop, lowered)
+    return F.expr(_stop(token, stop, lowered))
 
 
-def is_numeric(token: Column) -> Column:
+def is_numeric(token: str) -> Column:
     """Whether the token is digits with at most one point."""
-    return token.rlike(NUMERIC)
+    return F.expr(f"rlike({token}, {quote(NUMERIC)})")
 
 
-def rule_tag(token: Column, suffix_tags=None, default=vocab.DEFAULT_TAG) -> Column:
+def rule_tag(token: str, suffix_tags=None, default=vocab.DEFAULT_TAG) -> Column:
     """Part-of-speech tag by rule: punctuation is its own tag, then numbers, capitals, the longest suffix."""
-    suffix_tags = vocab.SUFFIX_TAGS if suffix_tags is None else suffix_tags
-    tag = (F.when(~token.rlike(r"[\p{L}\p{N}]"), token)
-           .when(token.rlike("^[0-9]"), "CD")
-           .when(token.rlike(r"^\p{Lu}"), "NNP"))
-    for suffix in sorted(suffix_tags, key=lambda s: (-len(s), s)):
-        tag = tag.when(token.endswith(suffix), suffix_tags[suffix])
-    return tag.otherwise(default)
-
-
-def tag_class(tag: Column) -> Column:
-    """Lemma class of a tag (n, v, a or r); null for punctuation and unknown tags."""
-    out = None
-    for name in "nvar":
-        tags = [t for t, c in vocab.TAG_CLASSES.items() if c == name]
-        out = F.when(tag.isin(*tags), name) if out is None else out.when(tag.isin(*tags), name)
-    return out
+    return F.expr(_tag(token, suffix_tags, default))
 
 
-def rule_lemma(token: Column, word_class: Column, endings=None) -> Column:
+def rule_lemma(token: str, tag: str, endings=None) -> Column:
     """Lemma by rule: verbs lose a known ending when two letters remain; other words stay."""
-    endings = vocab.VERB_ENDINGS if endings is None else endings
-    out = None
-    for ending in sorted(endings, key=lambda s: (-len(s), s)):
-        hit = token.endswith(ending) & (F.length(token) >= len(ending) + 2) & (word_class == "v")
-        stem = F.left(token, F.length(token) - len(ending))
-        out = F.when(hit, stem) if out is None else out.when(hit, stem)
-    return token if out is None else out.otherwise(token)
+    return F.expr(_lemma(token, tag, endings))
 
 
 def pairs(items: Column) -> Column:
@@ -97,12 +146,10 @@ def skip_pairs(items: Column, reach: int) -> Column:
         F.slice(items, i + 2, F.lit(reach)), lambda y: F.concat(x, F.lit(" "), y))))
 
 
-def histogram(items: Column) -> Column:
-    """Array of (item, n, first): every occurrence once, `first` = 1 on one occurrence of each item.
+def histogram(items: str) -> Column:
+    """Array of (item, first): every occurrence once, `first` = 1 on one occurrence of each item.
 
     Exploding it gives total and per-row distinct counts from one aggregate, without grouping by row first.
     """
-    ordered = F.sort_array(items)
-    shifted = F.concat(F.array(F.lit(None).cast("string")), ordered)
-    return F.zip_with(ordered, F.slice(shifted, F.lit(1), F.size(items)), lambda x, prev: F.struct(
-        x.alias("item"), F.when(prev.eqNullSafe(x), 0).otherwise(1).alias("first")))
+    return F.expr(f"zip_with(sort_array({items}), slice(concat(array(cast(NULL AS string)), sort_array({items})), 1, "
+                  f"size({items})), (x, y) -> named_struct('item', x, 'first', if(x <=> y, 0, 1)))")

@@ -19,7 +19,7 @@ def _min_df(df: DataFrame, share: float) -> int:
 
 def count_vocabulary(records: DataFrame, vocab_size: int = 10_000, min_share: float = 0.1) -> DataFrame:
     """The words a count vectorizer keeps: (term, n, df), by frequency."""
-    lists = records.select(tx.words(F.col("text"), lowercase=False).alias("lemmas"))
+    lists = records.select(tx.words("text", lowercase=False).alias("lemmas"))
     floor = F.greatest(F.lit(1), (F.col("size") * F.lit(min_share)).cast("bigint"))
     kept = weights.with_totals(weights.term_stats(lists)).filter(F.col("df") >= floor)
     return weights.top(kept.select(F.col("lemma").alias("term"), "n", "df"), "n", "term", vocab_size)
@@ -27,7 +27,7 @@ def count_vocabulary(records: DataFrame, vocab_size: int = 10_000, min_share: fl
 
 def count_vectors(records: DataFrame, vocab_size: int = 10_000, min_share: float = 0.1):
     """Bag-of-words vectors in `features`, and the fitted model with its vocabulary."""
-    df = records.withColumn("words", tx.words(F.col("text"), lowercase=False))
+    df = records.withColumn("words", tx.words("text", lowercase=False))
     return _vectorize(df, "words", vocab_size, max(1, _min_df(records, min_share)))
 
 

@@ -11,17 +11,9 @@ from gleaner.sources.staging import stage
 SKIP_REACH = 5
 
 
-def rouge_tokens(text: Column, stem: bool = True, drop_stop: bool = True, length: int = None) -> Column:
+def rouge_tokens(text: str, stem: bool = True, drop_stop: bool = True, length: int = None) -> Column:
     """Lowercase words of a text, optionally the first `length` only, without stop words, stemmed."""
-    words = F.filter(tx.words(text), lambda t: t.rlike(r"[\p{L}\p{N}]"))
-    if length is not None:
-        words = F.slice(words, 1, length)
-    if drop_stop:
-        stop = vocab.stop_words()
-        words = F.filter(words, lambda t: ~tx.is_stop(t, stop, True))
-    if stem:
-        words = F.transform(words, lambda t: tx.rule_lemma(t, tx.tag_class(tx.rule_tag(t))))
-    return words
+    return tx.rouge_words(text, vocab.stop_words() if drop_stop else None, stem, length)
 
 
 def _grams(tokens: Column, kind) -> Column:
@@ -37,7 +29,7 @@ def rouge(predicted: DataFrame, golden: DataFrame, kind=1, by=(), key: str = "do
     `by` (all rows when it is empty) are parts of one golden summary. The join is on (by, n-gram), so predicted and
     golden texts are never paired one by one.
     """
-    by, tokens, grams = list(by), rouge_tokens(F.col("text"), **options), _grams(F.col("_tokens"), kind)
+    by, tokens, grams = list(by), rouge_tokens("text", **options), _grams(F.col("_tokens"), kind)
     gold = (golden.select(*by, tokens.alias("_tokens")).select(*by, F.explode(grams).alias("gram"))
             .groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("gold_n")))
     rows = predicted.select(key, *by, tokens.alias("_tokens")).select(key, *by, F.explode(grams).alias("gram"))
@@ -74,7 +66,7 @@ def lcs_length(a, b) -> int:
 def rouge_l(predicted: DataFrame, golden: DataFrame, key, **options) -> DataFrame:
     """ROUGE-L recall of texts paired by key: longest common subsequence over the golden length, (*key, score)."""
     key = [key] if isinstance(key, str) else list(key)
-    tokens = rouge_tokens(F.col("text"), **options)
+    tokens = rouge_tokens("text", **options)
     pairs = (predicted.select(*key, tokens.alias("_p")).join(golden.select(*key, tokens.alias("_g")), key)
              .filter(F.size("_g") > 0))
     return pairs.select(*key, F.round(_lcs("_p", "_g") / F.size("_g"), 9).alias("score"))
@@ -101,7 +93,7 @@ def rouge_bootstrap(scores: DataFrame, replicates: int = 1000, key: str = "doc_i
 def _bags(sentences, key, kind, options):
     # The k-th occurrence of a gram becomes its own item, so that shared items count like shared occurrences. Equal
     # sentences (as bags of grams) become one row with the first key: copies cost nothing later.
-    keyed = sentences.select(F.struct(*key).alias("key"), rouge_tokens(F.col("text"), **options).alias("_tokens"))
+    keyed = sentences.select(F.struct(*key).alias("key"), rouge_tokens("text", **options).alias("_tokens"))
     keyed = keyed.select("key", F.sort_array(_grams(F.col("_tokens"), kind)).alias("grams"))
     item = F.transform("grams", lambda g, i: F.concat(
         g, F.lit("#"), (i - F.array_position("grams", g) + 1).cast("string")))

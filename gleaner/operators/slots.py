@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gleaner.functions import numbers as nb, text as tx, vocab
 from gleaner.functions.joins import lookup_join
+from gleaner.functions.text import quote
 from gleaner.operators import mentions as mn
 from gleaner.operators.text import relevant_sentences
 
@@ -37,47 +38,43 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
           ) -> DataFrame:
     """Counted slot values of sentences(by, text): (by, slot, value, n). Place slots need gazetteer(type, text)."""
     words = {**KEYWORDS, **(keywords or {})}
-    text = F.col("text")
+    # SQL text, as the many small expressions parse faster than they are put together from Column objects.
 
     def about(topic):
-        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words[topic]])
+        return "(" + " OR ".join(f"contains(text, {quote(w)})" for w in words[topic]) + ")"
 
-    def when(condition, values):
-        return F.when(condition, values).otherwise(F.array().cast("array<string>"))
+    def near(topic, values):
+        return f"CASE WHEN {about(topic)} THEN {values} ELSE cast(array() AS array<string>) END"
 
-    found = sentences.select(by, "text", tx.find_all(text, mn.QUANTITY).alias("quantities"),
-                             tx.find_all(text, nb.DATE).alias("dates"),
-                             tx.find_all(text, mn.PLACE_WORD).alias("words"))
-    speed = nb.bounded([u for units in nb.SPEED_UNITS.values() for u in units])
-    length = nb.bounded([u for units in nb.LENGTH_UNITS.values() for u in units])
-    diameter = F.contains(text, F.lit("diameter"))
-    miles = F.transform("quantities", lambda q: F.regexp_extract(q, "([0-9]+) miles", 1).try_cast("int"))
-    miles = F.transform(F.filter(miles, lambda m: m.isNotNull()),
-                        lambda m: F.when(diameter, m).otherwise(2 * m).cast("string"))
-    counted = F.concat(
-        tx.find_all(text, "([0-9]+) deaths", 1),
-        F.filter(F.transform(tx.find_all(text, "([a-z]+) deaths", 1), lambda w: nb.number_word(w).cast("string")),
-                 lambda n: n.isNotNull()))
+    def all_of(pattern):
+        return f"regexp_extract_all(text, {quote(pattern)}, 1)"
+
+    def with_unit(units):
+        pattern = nb.bounded([u for names in units.values() for u in names])
+        return f"filter(quantities, q -> rlike(q, {quote(pattern)}))"
+
+    miles = "filter(transform(quantities, q -> try_cast(regexp_extract(q, '([0-9]+) miles', 1) AS int)), m -> m IS NOT NULL)"
+    miles = f"transform({miles}, m -> cast(if(contains(text, 'diameter'), m, 2 * m) AS string))"
+    counted = (f"concat({all_of('([0-9]+) deaths')}, filter(transform({all_of('([a-z]+) deaths')}, w -> "
+               f"cast({nb.number_word('w')} AS string)), n -> n IS NOT NULL))")
     values = {
-        "name": lambda: tx.find_all(text, EVENT_NAME, 1),
-        "storm": lambda: tx.find_all(text, STORM_NAME, 1),
-        "category": lambda: tx.find_all(text, CATEGORY, 1),
-        "landfall_category": lambda: when(about("landfall"), tx.find_all(text, CATEGORY, 1)),
-        "landfall_date": lambda: when(about("landfall"), F.col("dates")),
-        "date": lambda: F.col("dates"),
-        "headcount": lambda: when(about("evacuation"), tx.find_all(text, "([0-9][0-9,]*) people", 1)),
-        "wind": lambda: when(about("wind"), F.filter("quantities", lambda q: q.rlike(speed))),
-        "rain": lambda: when(about("rain"), F.filter("quantities", lambda q: q.rlike(length))),
-        "size": lambda: when(about("size"), miles),
-        "deaths": lambda: when(about("deaths"), counted),
-        "landfall_place": lambda: when(about("landfall"), mn.place_runs(F.col("words"))),
-        "evacuation_place": lambda: when(about("evacuation"), mn.place_runs(F.col("words"))),
+        "name": all_of(EVENT_NAME), "storm": all_of(STORM_NAME), "category": all_of(CATEGORY),
+        "landfall_category": near("landfall", all_of(CATEGORY)),
+        "landfall_date": near("landfall", "dates"), "date": "dates",
+        "headcount": near("evacuation", all_of("([0-9][0-9,]*) people")),
+        "wind": near("wind", with_unit(nb.SPEED_UNITS)), "rain": near("rain", with_unit(nb.LENGTH_UNITS)),
+        "size": near("size", miles), "deaths": near("deaths", counted),
+        "landfall_place": near("landfall", "runs"), "evacuation_place": near("evacuation", "runs"),
     }
-
-    def labelled(slot):
-        return F.transform(values[slot](), lambda v: F.struct(F.lit(slot).alias("slot"), v.alias("value")))
-    cells = F.concat(*[labelled(slot) for slot in slots])
-    rows = found.select(by, F.inline(cells))
+    text = F.col("text")
+    found = sentences.select(by, "text", tx.find_all(text, mn.QUANTITY).alias("quantities"),
+                             tx.find_all(text, nb.DATE).alias("dates"))
+    if set(slots) & set(PLACES):
+        words["place"] = (*words["landfall"], *words["evacuation"])
+        split = F.expr(near("place", f"regexp_extract_all(text, {quote(mn.PLACE_WORD)}, 0)"))
+        found = found.withColumn("words", split).withColumn("runs", mn.place_runs(F.col("words")))
+    cells = ", ".join(f"transform({values[s]}, v -> named_struct('slot', {quote(s)}, 'value', v))" for s in slots)
+    rows = found.select(by, F.expr(f"inline(concat({cells}))"))
     if set(slots) & set(PLACES):
         # Places are checked before the shuffle, so that only real ones are counted.
         listed = gazetteer.select(F.col("text").alias("_place")).distinct().withColumn("_listed", F.lit(True))
@@ -126,8 +123,8 @@ def date_parts(facts: DataFrame, slot: str = "date", by: str = "event_key") -> D
     """Month, day, year and date of each distinct date text: (by, value, month, day, year, date, n)."""
     value = F.col("value")
     return facts.filter(F.col("slot") == slot).select(
-        by, "value", nb.month_of(value).alias("month"), nb.last(nb.days_of(value)).alias("day"),
-        nb.last(nb.years_of(value)).alias("year"), nb.date_of(value).alias("date"), "n")
+        by, "value", nb.month_of("value").alias("month"), nb.last(nb.days_of(value)).alias("day"),
+        nb.last(nb.years_of(value)).alias("year"), nb.date_of("value").alias("date"), "n")
 
 
 def consensus_dates(facts: DataFrame, slot: str = "landfall_date", by: str = "event_key") -> DataFrame:
@@ -137,7 +134,7 @@ def consensus_dates(facts: DataFrame, slot: str = "landfall_date", by: str = "ev
     """
     value = F.col("value")
     dated = (facts.filter(F.col("slot") == slot)
-             .select(by, "n", nb.month_of(value).alias("month"), nb.days_of(value).alias("days"),
+             .select(by, "n", nb.month_of("value").alias("month"), nb.days_of(value).alias("days"),
                      nb.years_of(value).alias("years")).filter("month IS NOT NULL"))
     votes = F.concat(F.array(F.struct(F.lit("month").alias("part"), F.col("month").alias("vote"))),
                      F.transform("days", lambda d: F.struct(F.lit("day").alias("part"), d.alias("vote"))),
@@ -165,9 +162,10 @@ def first_dates(sentences: DataFrame, names: DataFrame, by: str = "event_key") -
     dated = (sentences.select(by, "text", tx.find_all(F.col("text"), nb.DATE).alias("dates"))
              .filter(F.size("dates") > 0))
     named = lookup_join(dated, names.select(by, F.col("value").alias("_name")), by)
-    dates = F.transform("dates", lambda d: nb.date_of(d))
-    return (named.filter(F.contains("text", F.col("_name"))).withColumn("date", F.array_min(dates))
-            .groupBy(by).agg(F.min("date").alias("first_date")).filter("first_date IS NOT NULL"))
+    # Distinct date texts are counted out first, so each is parsed once.
+    texts = (named.filter(F.contains("text", F.col("_name"))).select(by, F.explode("dates").alias("value")).distinct())
+    return (texts.withColumn("date", nb.date_of("value")).groupBy(by).agg(F.min("date").alias("first_date"))
+            .filter("first_date IS NOT NULL"))
 
 
 def mentions_by_type(sentences: DataFrame, gazetteer: DataFrame, keywords=None, patterns=None,

@@ -22,8 +22,7 @@ def sentence_scores(records: DataFrame, title: str = "", stop=None, key: str = "
     stop = vocab.stop_words() if stop is None else stop
     title_words = sorted(set(re.findall(r"\w+", title.lower())))
     parts = records.select(key, F.posexplode(tx.split_sentences(F.col("text"))).alias("sent_no", "sentence"))
-    found = F.filter(tx.words(F.col("sentence")), lambda t: tx.is_content(t, stop, True))
-    counted = (parts.select(key, "sent_no", F.explode(found).alias("token"))
+    counted = (parts.select(key, "sent_no", F.explode(tx.content_words("sentence", stop)).alias("token"))
                .groupBy(key, "sent_no", "token").agg(F.count(F.lit(1)).alias("n")))
     in_record = F.sum("n").over(Window.partitionBy(key, "token"))
     hits = F.sum(F.col("token").isin(*title_words).cast("int")) if title_words else F.lit(0)

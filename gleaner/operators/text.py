@@ -12,7 +12,7 @@ from gleaner.functions.joins import lookup_join
 
 def tokens(records: DataFrame, lowercase: bool = True, key: str = "doc_id") -> DataFrame:
     """One row per word token: (key, pos, token)."""
-    return records.select(key, F.posexplode(tx.words(F.col("text"), lowercase)).alias("pos", "token"))
+    return records.select(key, F.posexplode(tx.words("text", lowercase)).alias("pos", "token"))
 
 
 def whitespace_tokens(records: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -30,7 +30,7 @@ def sentences(records: DataFrame, min_length: int = 20, key: str = "doc_id") ->
 
 def tag_tokens(tokens: DataFrame, lexicon: DataFrame = None, suffix_tags=None) -> DataFrame:
     """Add a part-of-speech tag: from lexicon(token, tag, lemma) when it has the token, else by rule."""
-    rule = tx.rule_tag(F.col("token"), suffix_tags)
+    rule = tx.rule_tag("token", suffix_tags)
     if lexicon is None:
         return tokens.withColumn("tag", rule)
     known = lexicon.select("token", F.col("tag").alias("_tag"), F.col("lemma").alias("_lemma"))
@@ -43,7 +43,7 @@ def drop_stop_words(tokens: DataFrame, stop=None) -> DataFrame:
     if isinstance(stop, DataFrame):
         lowered = tokens.withColumn("_lower", F.lower("token"))
         return lookup_join(lowered, stop.select(F.col("token").alias("_lower")), "_lower", "left_anti").drop("_lower")
-    return tokens.filter(~tx.is_stop(F.col("token"), vocab.stop_words() if stop is None else stop))
+    return tokens.filter(~tx.is_stop("token", vocab.stop_words() if stop is None else stop))
 
 
 def keep_dictionary_words(tagged: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def _mark_dictionary(tagged, dictionary):
 
 def drop_numeric(tokens: DataFrame) -> DataFrame:
     """Drop tokens that are plain numbers."""
-    return tokens.filter(~tx.is_numeric(F.col("token")))
+    return tokens.filter(~tx.is_numeric("token"))
 
 
 def keep_word_tags(tagged: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def keep_word_tags(tagged: DataFrame) -> DataFrame:
 
 def lemmatize(tagged: DataFrame, endings=None) -> DataFrame:
     """Add the lemma: the lexicon's one when the token was found there, else by rule from the tag's class."""
-    rule = tx.rule_lemma(F.col("token"), F.coalesce(tx.tag_class(F.col("tag")), F.lit("n")), endings)
+    rule = tx.rule_lemma("token", "tag", endings)
     if "_lemma" not in tagged.columns:
         return tagged.withColumn("lemma", rule)
     return tagged.withColumn("lemma", F.coalesce("_lemma", rule)).drop("_lemma")
@@ -90,9 +90,7 @@ def lemma_lists(records: DataFrame, lexicon: DataFrame = None, dictionary: DataF
     """The preprocessing chain as one row per record: (key, *keep, lemmas); records without lemmas stay."""
     stop = vocab.stop_words() if stop is None else stop
     if lexicon is None and dictionary is None and not isinstance(stop, DataFrame):
-        found = F.filter(tx.words(F.col("text"), lowercase), lambda t: tx.is_content(t, stop, lowercase))
-        lemmas = F.transform(found, lambda t: tx.rule_lemma(t, tx.tag_class(tx.rule_tag(t))))
-        return records.select(key, *keep, lemmas.alias("lemmas"))
+        return records.select(key, *keep, tx.content_lemmas("text", stop, lowercase).alias("lemmas"))
     # Kept positions are collected per record; the token rows of a record leave one task, so its list is built there
     # and only finished lists are shuffled.
     kept = lemma_tokens(records, lexicon, dictionary, stop, lowercase, key)
@@ -105,11 +103,7 @@ def lemma_lists(records: DataFrame, lexicon: DataFrame = None, dictionary: DataF
 def tagged_lists(records: DataFrame, stop=None, lowercase: bool = True, key: str = "doc_id") -> DataFrame:
     """One row per record with an array of (lemma, tag) of the surviving tokens, tagged by rule."""
     stop = vocab.stop_words() if stop is None else stop
-    found = F.filter(tx.words(F.col("text"), lowercase), lambda t: tx.is_content(t, stop, lowercase))
-    tagged = F.transform(found, lambda t: F.struct(t.alias("token"), tx.rule_tag(t).alias("tag")))
-    lemmas = F.transform(tagged, lambda x: F.struct(
-        tx.rule_lemma(x["token"], tx.tag_class(x["tag"])).alias("lemma"), x["tag"].alias("tag")))
-    return records.select(key, lemmas.alias("tagged"))
+    return records.select(key, tx.tagged_lemmas("text", stop, lowercase).alias("tagged"))
 
 
 def bigrams(lists: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -37,7 +37,7 @@ def term_stats(lists: DataFrame, by=()) -> DataFrame:
     The row with records > 0 counts the records themselves (n = df = 0), so that their number needs no second scan.
     """
     marker = F.struct(F.lit("").alias("item"), F.lit(None).cast("int").alias("first"))
-    cells = F.concat(F.array(marker), tx.histogram(F.col("lemmas")))
+    cells = F.concat(F.array(marker), tx.histogram("lemmas"))
     return (lists.select(*by, F.explode(cells).alias("cell"))
             .select(*by, F.col("cell.item").alias("lemma"), F.col("cell.first").alias("first"))
             .groupBy(*by, "lemma").agg(

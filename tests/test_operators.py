@@ -268,7 +268,7 @@ def test_units(spark):
 def test_dates(spark):
     df = spark.createDataFrame([("September 14, 2018",), ("Sept 14, 2018",), ("Margaret 3, 2018",), ("May 2018",),
                                 ("Feb 30, 2018",)], "t string")
-    got = {r.t: (r.m, r.d) for r in df.select("t", nb.month_of(F.col("t")).alias("m"), nb.date_of(F.col("t")).alias("d"))
+    got = {r.t: (r.m, r.d) for r in df.select("t", nb.month_of("t").alias("m"), nb.date_of("t").alias("d"))
            .collect()}
     day = datetime.date(2018, 9, 14)
     assert got == {"September 14, 2018": (9, day), "Sept 14, 2018": (9, day), "Margaret 3, 2018": (None, None),
