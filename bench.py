@@ -23,7 +23,8 @@ def session(cpus):
     return (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
             .config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", str(cpus))
-            .config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+            .config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC")
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate())
 
 
 def main():
