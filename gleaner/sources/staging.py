@@ -1,29 +1,23 @@
 """Written intermediate tables: they cut lineage and survive the loss of executors."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root = None
+_made: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only in local mode when none is set."""
-    global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="gleaner-")
-    return _local_root
+    """The shared folder of spark.checkpoint.dir; beside the tables of the warehouse where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
+    return root.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the staging folder."""
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -32,3 +26,16 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """Where the list of staged tables ends now, for a later `release`."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete what was staged after `since = mark()`; called by whoever has read the result that depends on it."""
+    for path in _made[since:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del _made[since:]
