@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner.sources.staging import stage
 
 UPPER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Lu", "Lt"))
-UNIT_END = re.compile(rf"\s+(?=[{UPPER}])|(?<=[.!?])\s+|\s*\n\s*")
+UNIT_END = re.compile(rf"\s(?:(?<=[.!?]\s)\s*|(?<=\n)\s*|\s*(?=[{UPPER}])|\s*\n\s*)")
 RANK = ["doc", "text_hash", "start"]
 
 
