@@ -78,6 +78,7 @@ def items(vectors: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
 
 def ordered(found: DataFrame, size: int, curves: int, axes: int = AXES, bits: int = BITS) -> DataFrame:
     """(curve, number, item, vec): every item on every curve, numbered from 0 along it."""
+    axes = min(axes, size)
     projections = [rotation(c, size, axes) for c in range(curves)]
 
     def project(batches):

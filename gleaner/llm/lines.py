@@ -32,9 +32,10 @@ def windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def covered(found: DataFrame) -> DataFrame:
     """(doc, text_hash, removed): the sorted line numbers that later windows cover."""
-    first = (found.groupBy("h1", "h2").agg(F.min(F.struct(*RANK)).alias("first"), F.max(F.struct(*RANK)).alias("last"))
-             .filter("first <> last").select("h1", "h2", "first"))
-    later = found.join(first, ["h1", "h2"]).filter(F.struct(*RANK) > F.col("first"))
+    first = (found.groupBy("h1", "h2").agg(F.min(F.struct(*RANK)).alias("first"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").select("h1", "h2", "first"))
+    # Written, so that both sides of the join are dealt out for it and the rows of one window can be split.
+    later = found.join(stage(first, "first"), ["h1", "h2"]).filter(F.struct(*RANK) > F.col("first"))
     # A document's own lines, so an array is no longer than its text.
     return later.select("doc", "text_hash", F.explode("lines").alias("line")).groupBy("doc", "text_hash").agg(
         F.sort_array(F.collect_set("line")).alias("removed"))

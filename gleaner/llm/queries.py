@@ -55,7 +55,8 @@ def op6_sampled_splitters(spark, sf):
 
 def op7_line_windows(spark, sf):
     """Every text without the lines that later three-line windows cover, and their numbers."""
-    return lines.dedup_lines(_table(spark, sf).select("doc_id", "text"))
+    found = lines.dedup_lines(_table(spark, sf).select("doc_id", "text"))
+    return found.withColumn("removed_lines", F.array_join(F.col("removed_lines").cast("array<string>"), ","))
 
 
 def op8_length_histogram(spark, sf):
@@ -111,6 +112,6 @@ ORACLE = {
               FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
         SELECT documents.doc_id, CASE WHEN m.removed IS NULL OR len(m.removed) = 0 THEN documents.text
                                       ELSE coalesce(m.rest, '') END AS text,
-               coalesce(m.removed::INTEGER[], []::INTEGER[]) AS removed_lines
+               coalesce(array_to_string(m.removed, ','), '') AS removed_lines
         FROM documents JOIN m ON documents.doc_id = m.doc_id""",
 }

@@ -11,6 +11,7 @@ results. An empty table gives an empty result. All other columns are kept.
 
 import hashlib
 import re
+import struct
 import sys
 import unicodedata
 
@@ -21,7 +22,7 @@ from gleaner.sources.staging import stage
 
 UPPER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Lu", "Lt"))
 UNIT_END = re.compile(rf"\s(?:(?<=[.!?]\s)\s*|(?<=\n)\s*|\s*(?=[{UPPER}])|\s*\n\s*)")
-RANK = ["doc", "text_hash", "start"]
+RANK = ["doc", "text_hash", "span"]
 
 
 def units(text: str) -> list[tuple[int, int, list[str]]]:
@@ -53,22 +54,28 @@ def paragraphs(text: str, least_words: int):
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
-    """(doc, text_hash, start, end, digest) of every paragraph of every whole text."""
-    names = ["doc", "text_hash", "start", "end", "digest"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    """(doc, text_hash, span, h1, h2, again) of every paragraph of every whole text.
+
+    span is start * 2^32 + end, h1 and h2 are the digest's halves; again: the same text holds the paragraph before.
+    """
+    names = ["doc", "text_hash", "span", "h1", "h2", "again"]
+    types = [pa.int64()] * 5 + [pa.bool_()]
 
     def run(batches):
         for batch in batches:
             rows = []
             for doc, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                rows += [(doc, h, *p) for p in paragraphs(t.as_py() or "", least_words)]
+                seen = set()
+                for start, end, digest in paragraphs(t.as_py() or "", least_words):
+                    rows.append((doc, h, start << 32 | end, *struct.unpack("<qq", digest), digest in seen))
+                    seen.add(digest)
                 if len(rows) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
     source = docs.select(F.col(key).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.col(text))
-    return source.mapInArrow(run, "doc bigint, text_hash bigint, start int, end int, digest binary")
+    return source.mapInArrow(run, "doc bigint, text_hash bigint, span bigint, h1 bigint, h2 bigint, again boolean")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -93,18 +100,23 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 def later_spans(found: DataFrame) -> DataFrame:
     """(doc, text_hash, spans): where paragraphs stand that occur earlier too."""
-    first = (found.groupBy("digest").agg(F.min(F.struct(*RANK)).alias("first"), F.max(F.struct(*RANK)).alias("last"))
-             .filter("first <> last").select("digest", "first"))
-    later = found.join(first, "digest").filter(F.struct(*RANK) > F.col("first"))
+    once = found.filter(~F.col("again"))
+    first = (once.groupBy("h1", "h2").agg(F.min(F.struct(*RANK)).alias("first"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").select("h1", "h2", "first"))
+    # Written, so that both sides of the join are dealt out for it and the rows of one digest can be split.
+    later = once.join(stage(first, "first"), ["h1", "h2"]).filter(F.struct(*RANK) > F.col("first"))
+    every = later.select("doc", "text_hash", "span").union(found.filter("again").select("doc", "text_hash", "span"))
     # A document's own paragraphs, so an array is no longer than its text.
-    return later.groupBy("doc", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return every.groupBy("doc", "text_hash").agg(F.collect_set("span").alias("spans"))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20,
           removed: str = "removed_spans") -> DataFrame:
     """The documents without what occurs earlier, and `removed`: array of (start, end) offsets in the original text."""
-    gone = later_spans(stage(digests(docs, key, text, least_words), "paragraphs"))
-    gone = gone.select(F.col("doc").alias("_gone_doc"), F.col("text_hash").alias("_gone_hash"), F.col("spans").alias(removed))
+    gone = later_spans(stage(digests(docs, key, text, least_words), "paragraphs")).select(
+        F.col("doc").alias("_gone_doc"), F.col("text_hash").alias("_gone_hash"),
+        F.transform("spans", lambda s: F.struct(F.shiftright(s, 32).cast("int").alias("start"),
+                                                F.bitwise_not(F.lit(-1 << 32)).bitwiseAND(s).cast("int").alias("end"))).alias(removed))
     same = (F.col(key).cast("long").eqNullSafe(F.col("_gone_doc"))
             & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_gone_hash")))
     source = docs.drop(removed)
