@@ -352,7 +352,7 @@ def chi2_features(spark, sf):
 
 def _vectors(spark, sf):
     vectors = array_to_vector(F.col("embedding").cast("array<double>"))
-    return src.spread(t.table(spark, sf, "embeddings"), "vec_id").select("vec_id", vectors.alias("features"))
+    return t.table(spark, sf, "embeddings").select("vec_id", vectors.alias("features"))
 
 
 @query

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions import text as tx
 from gleaner.operators import features, label, text, weights
-from gleaner.sources.records import long_records, spread
+from gleaner.sources.records import long_records
 from gleaner.sources.staging import stage
 
 PATTERNS = {
@@ -27,8 +27,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def documents(spark, sf, lang=None) -> DataFrame:
     """(doc_id, lang, url, text, n_chars), texts over 99 characters, optionally of one language."""
-    df = spread(table(spark, sf, "documents"), "doc_id")
-    df = long_records(df.select("doc_id", "lang", F.col("source").alias("url"), "text", "n_chars"))
+    df = long_records(table(spark, sf, "documents").select("doc_id", "lang", F.col("source").alias("url"), "text", "n_chars"))
     return df if lang is None else df.filter(F.col("lang") == lang)
 
 
@@ -101,7 +100,7 @@ def guess(df: DataFrame) -> DataFrame:
 
 def reports(spark, sf) -> DataFrame:
     """(event_key, text): one sentence about a region per line item."""
-    item = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), "l_orderkey")
+    item = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     joined = (item.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
               .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
               .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

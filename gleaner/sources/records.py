@@ -32,12 +32,6 @@ def with_id(df: DataFrame, key: str = "doc_id") -> DataFrame:
     return df if key in df.columns else df.select(F.monotonically_increasing_id().alias(key), "*")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition by key when the table comes from fewer files than there are cores; larger tables stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def long_records(df: DataFrame, text: str = "text", min_length: int = MIN_RECORD_LENGTH) -> DataFrame:
     """Keep records whose text has at least `min_length` characters; missing text is dropped."""
     return df.filter(F.length(text) >= min_length)
@@ -80,9 +74,9 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_small_json(df: DataFrame, path: str, rows: int) -> None:
-    """Save at most `rows` rows (for example one exemplar per cluster) as one JSON file."""
-    df.limit(rows).coalesce(1).write.mode("overwrite").json(path)
+def write_small_json(df: DataFrame, path: str) -> None:
+    """Save a table that its maker has aggregated to few rows (one exemplar per cluster) as one JSON file."""
+    df.coalesce(1).write.mode("overwrite").json(path)
 
 
 def exemplar_path(dataset: str, k: int, method: str, feature_type: str, vocab_size: int) -> str:

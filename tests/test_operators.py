@@ -371,7 +371,7 @@ def test_clusters_are_saved_apart(spark, tmp_path):
 
 def test_exemplar_file(spark, tmp_path):
     path = src.exemplar_path(str(tmp_path / "set"), 5, "kmeans", "count", 100)
-    src.write_small_json(spark.range(5), path, 5)
+    src.write_small_json(spark.range(5), path)
     assert spark.read.json(path).count() == 5 and path.endswith("set_5_kmeans_count_100cluster_samples")
 
 
