@@ -8,6 +8,7 @@ rows and null ids are encoded one by one, an empty table gives an empty result;
 """
 
 import functools
+import json
 from collections import Counter
 
 import numpy as np
@@ -15,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm.lexicon import Lexicon, compile_words
-from gleaner.llm.merges import packed
+from gleaner.llm.merges import byte_letters, packed
 from gleaner.llm.tokens import Encoder, chunks
 
 LONGEST = 64  # bytes of a word in the lexicon, so its size is bounded by its number of words
 
 
-@functools.lru_cache(2)
+@functools.lru_cache(1)
 def lexicon_encoder(path: str, image: bytes) -> "LexiconEncoder":
     """The encoder of a file and a lexicon, kept by the Python worker for its later tasks."""
     return LexiconEncoder(path, image)
@@ -70,7 +71,7 @@ def frequent_words(docs: DataFrame, tokenizer: str, text: str = "text", size: in
             for held in chunks(x.as_py() for x in batch.column(0)):
                 for t in held:
                     seen.update(p for at in encoder.mark.split(t) for p in encoder.pieces(at))
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     yield emit(seen)
                     seen = Counter()
         yield emit(seen)
@@ -108,12 +109,20 @@ def encode(docs: DataFrame, tokenizer: str, image: bytes, key: str = "doc_id", t
     return out.withColumnRenamed("key", key)
 
 
+@functools.lru_cache(1)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """The bytes of each id, from the vocabulary file alone."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    byte_of = {c: b for b, c in byte_letters().items()}
+    table = {i: bytes(map(byte_of.__getitem__, t)) for t, i in spec["model"]["vocab"].items() if byte_of.keys() >= set(t)}
+    return table | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+
+
 def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame:
     """Add `text`, the decoded ids; null ids give null, bytes that aren't UTF-8 become replacement characters."""
     def run(batches):
-        spec = LexiconEncoder(tokenizer)
-        table = {i: bytes(map(spec.bytes_of.__getitem__, t)) for t, i in spec.merger.ids.items()}
-        table |= {i: t.encode() for t, i in spec.special.items()}
+        table = token_bytes(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

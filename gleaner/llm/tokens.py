@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 from gleaner.llm.merges import Merger, packed
 
 LIMIT = 0x180  # up to here classes, case and composition are the same in every Unicode version
-CACHE = 800_000  # words that a task keeps
+CACHE = 200_000  # words that a task keeps
 CHUNK = 1 << 19  # characters that are encoded together
 
 # White space of the files' patterns below LIMIT, and English contractions.
@@ -42,18 +42,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            self.spec = json.load(file)
+            spec = json.load(file)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.mark = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
-        normal, pre = self.spec["normalizer"], self.spec["pre_tokenizer"]
+        normal, pre = spec["normalizer"], spec["pre_tokenizer"]
         self.kind = "byte" if normal is None and pre["type"] == "ByteLevel" and pre["use_regex"] else "word"
         steps = [n["type"] for n in (normal or {}).get("normalizers", [])]
         if self.kind == "word" and steps != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"no pieces are defined for the normalizer of {path}")
-        self.merger = Merger(self.spec["model"])
+        self.merger = Merger(spec["model"])
         self.words: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str] | None:
