@@ -53,9 +53,14 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
         pattern = nb.bounded([u for names in units.values() for u in names])
         return f"filter(quantities, q -> rlike(q, {quote(pattern)}))"
 
-    miles = "filter(transform(quantities, q -> try_cast(regexp_extract(q, '([0-9]+) miles', 1) AS int)), m -> m IS NOT NULL)"
-    miles = f"transform({miles}, m -> cast(if(contains(text, 'diameter'), m, 2 * m) AS string))"
-    counted = (f"concat({all_of('([0-9]+) deaths')}, filter(transform({all_of('([a-z]+) deaths')}, w -> "
+    def plain(number):
+        return f"replace({number}, ',', '')"
+
+    found_miles = plain(f"regexp_extract(q, {quote(f'({nb.NUMBER}) miles')}, 1)")
+    miles = f"filter(transform(quantities, q -> try_cast({found_miles} AS double)), m -> m IS NOT NULL)"
+    miles = f"transform({miles}, m -> regexp_replace(cast(if(contains(text, 'diameter'), m, 2 * m) AS string), '[.]0$', ''))"
+    deaths = f"transform({all_of(f'({nb.NUMBER}) deaths')}, d -> {plain('d')})"
+    counted = (f"concat({deaths}, filter(transform({all_of('([a-z]+) deaths')}, w -> "
                f"cast({nb.number_word('w')} AS string)), n -> n IS NOT NULL))")
     values = {
         "name": all_of(EVENT_NAME), "storm": all_of(STORM_NAME), "category": all_of(CATEGORY),

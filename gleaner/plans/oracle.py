@@ -384,12 +384,13 @@ def unit_values(topic, convert, units, floor):
 part("winds", range_sql(unit_values("wind", MPH, nb.SPEED_UNITS, 40)))
 part("rains", range_sql(unit_values("rain", INCHES, nb.LENGTH_UNITS, -0.5)))
 part("sizes", range_sql(
-    "SELECT event_key, CASE WHEN contains(text, 'diameter') THEN 1 ELSE 2 END * TRY_CAST(regexp_extract(mention, "
-    f"'([0-9]+) miles', 1) AS INTEGER) AS v FROM @quantities WHERE {contains_sql(WORDS['size'])} AND regexp_matches(mention, "
+    "SELECT event_key, CASE WHEN contains(text, 'diameter') THEN 1 ELSE 2 END * TRY_CAST(replace(regexp_extract("
+    f"mention, '({nb.NUMBER}) miles', 1), ',', '') AS DOUBLE) AS v FROM @quantities WHERE {contains_sql(WORDS['size'])} AND regexp_matches(mention, "
     "'[0-9]+ miles')"))
 WORD_VALUES = " ".join(f"WHEN '{w}' THEN {n}" for w, n in vocab.NUMBER_WORDS.items())
 part("tolls", range_sql(
-    f"SELECT event_key, CAST(unnest(regexp_extract_all(text, '([0-9]+) deaths', 1)) AS DOUBLE) AS v FROM @reports WHERE "
+    f"SELECT event_key, CAST(replace(unnest(regexp_extract_all(text, '({nb.NUMBER}) deaths', 1)), ',', '') AS DOUBLE) AS v "
+    f"FROM @reports WHERE "
     f"{contains_sql(WORDS['deaths'])} UNION ALL SELECT event_key, v FROM (SELECT event_key, CASE w {WORD_VALUES} END AS v FROM "
     f"(SELECT event_key, unnest(regexp_extract_all(text, '([a-z]+) deaths', 1)) AS w FROM @reports WHERE "
     f"{contains_sql(WORDS['deaths'])})) WHERE v IS NOT NULL"))

@@ -23,6 +23,13 @@ def counts(df, *columns):
     return {tuple(r[c] for c in columns[:-1]) if len(columns) > 2 else r[columns[0]]: r[columns[-1]] for r in df.collect()}
 
 
+def test_slot_numbers_with_separators_and_points(spark):
+    sentences = spark.createDataFrame([("e", "Officials counted 1,200 deaths."), ("e", "The radius was 1,000 miles."),
+                                       ("e", "Its diameter was 74.5 miles.")], ["event_key", "text"])
+    found = slots.facts(sentences, slots=("deaths", "size"))
+    assert {(r.slot, r.value) for r in found.collect()} == {("deaths", "1200"), ("size", "2000"), ("size", "74.5")}
+
+
 def test_tokens_split_punctuation_and_contractions(spark):
     got = [r.token for r in text.tokens(docs(spark, "It’s 1,000 well-known dogs, a@b.com!")).orderBy("pos").collect()]
     assert got == ["it", "'s", "1,000", "well-known", "dogs", ",", "a", "@", "b.com", "!"]
