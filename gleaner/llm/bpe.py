@@ -82,7 +82,9 @@ def frequent_words(docs: DataFrame, tokenizer: str, text: str = "text", size: in
                                           names=["word", "n"])
 
     counts = docs.select(F.col(text)).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    # Dealt out by rank, so that the driver takes the first partitions' rows only, not the top of every partition.
+    ranked = counts.repartitionByRange(F.desc("n"), F.asc("word")).sortWithinPartitions(F.desc("n"), F.asc("word"))
+    return [r["word"] for r in ranked.limit(size).collect()]
 
 
 def compiled(words: list[str], tokenizer: str) -> bytes:
