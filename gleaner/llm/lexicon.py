@@ -4,7 +4,7 @@ Compiled once from sorted words, kept as flat arrays, and read through a memory
 """
 
 import mmap
-import tempfile
+import os
 
 import numpy as np
 
@@ -64,8 +64,8 @@ class Lexicon:
     """Looks words up in a compiled automaton, many words at a time."""
 
     def __init__(self, image: bytes):
-        # An unnamed file in the task's own folder: it is gone with the process, and its pages can be dropped.
-        with tempfile.TemporaryFile() as file:
+        # An unnamed file in memory: it needs no folder and is gone with the process.
+        with open(os.memfd_create("lexicon"), "wb+") as file:
             file.write(image)
             file.flush()
             self.map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
