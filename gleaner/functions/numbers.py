@@ -8,11 +8,15 @@ from gleaner.functions.text import find_all, quote
 NUMBER = r"[0-9][0-9,]*(?:\.[0-9]+)?"
 MONTH = "|".join("Sept?(?:ember)?" if m == "September" else m if len(m) == 3 else f"{m[:3]}(?:{m[3:]})?"
                  for m in vocab.MONTHS)
-DATE = rf"(?:{MONTH}) (?:[0-9]{{1,2}}, [0-9]{{4}}|[0-9]{{4}}|[0-9]{{1,2}})"
+# Month and day, month and year, or all three; day first or month first, with or without point and comma.
+DATE = (rf"\b(?:[0-9]{{1,2}} (?:{MONTH})\b[.]?(?:,? [0-9]{{4}})?"
+        rf"|(?:{MONTH})\b[.]? (?:[0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{4}}|[0-9]{{1,2}}))")
 KPH_TO_MPH = 0.62137
 CM_PER_INCH = 2.54
-SPEED_UNITS = {"mph": ("mph", "miles per hour"), "kph": ("kph", "kilometers per hour")}
-LENGTH_UNITS = {"inch": ("inches", "inch", "in"), "cm": ("cm", "centimeters")}
+SPEED_UNITS = {"mph": ("mph", "miles per hour", "mile per hour"),
+               "kph": ("kph", "kilometers per hour", "kilometer per hour")}
+LENGTH_UNITS = {"inch": ("inches", "inch", "in"), "cm": ("cm", "centimeters", "centimeter")}
+OTHER_UNITS = ("miles", "mile", "kilometers", "kilometer", "feet", "foot")
 
 
 def bounded(choices) -> str:

@@ -7,6 +7,22 @@ from gleaner.functions import vocab
 # A word with inner hyphens, points or commas; a contraction ending; or one punctuation mark.
 WORD = r"'\p{L}+|[\p{L}\p{N}]+(?:[.,-][\p{L}\p{N}]+)*|[^\s\p{L}\p{N}]"
 SENTENCE = r"[^.!?\n]+[.!?]*"
+# Marks that end no sentence are set aside as private characters while a text is split: (pattern, replacement).
+ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Mt", "Ft", "Gen", "Gov", "Sen", "Rep", "Sgt", "Capt", "Lt", "Col",
+                 "Jr", "Sr", "Inc", "Corp", "vs", "approx", "Jan", "Feb", "Mar", "Apr", "Jun", "Jul", "Aug", "Sep", "Sept",
+                 "Oct", "Nov", "Dec")
+MARKS, ASIDE = ".!?", "\ue000\ue001\ue002"
+
+
+def kept_marks(abbreviations=ABBREVIATIONS) -> list[tuple[str, str]]:
+    """(pattern, private character that follows group 1, whether group 2 follows) of marks inside a sentence.
+
+    A mark before a letter or digit, the last point of an acronym, and the point of an abbreviation end no sentence.
+    """
+    inside = [(rf"()[{m}]([\p{{L}}\p{{N}}])", a) for m, a in zip(MARKS, ASIDE)]
+    acronym = (rf"({ASIDE[0]}\p{{Lu}})[.]()", ASIDE[0])
+    short = [(rf"((?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(abbreviations)}))[.]()", ASIDE[0])] if abbreviations else []
+    return [*inside, acronym, *short]
 NUMERIC = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
 LETTER, DIGIT, WORD_CHARACTER, CAPITAL = r"\p{L}", r"\p{N}", r"[\p{L}\p{N}]", r"^\p{Lu}"
 
@@ -97,9 +113,14 @@ def rouge_words(text: str, stop=None, stem: bool = True, length: int = None) ->
     return F.expr(out)
 
 
-def split_sentences(text: Column) -> Column:
-    """Array of trimmed sentences."""
-    return F.transform(find_all(text, SENTENCE), lambda s: F.trim(s))
+def split_sentences(text: Column, abbreviations=ABBREVIATIONS) -> Column:
+    """Array of trimmed sentences; a mark ends one before anything but a letter or digit, unless it closes an abbreviation.
+
+    The private characters U+E000 to U+E002 in a text come out as the marks that they stand for.
+    """
+    for pattern, aside in kept_marks(abbreviations):
+        text = F.regexp_replace(text, pattern, f"$1{aside}$2")
+    return F.transform(find_all(text, SENTENCE), lambda s: F.trim(F.translate(s, ASIDE, MARKS)))
 
 
 def is_stop(token: str, stop, lowered: bool = False) -> Column:

@@ -153,10 +153,10 @@ def topics(model, vocabulary, num_words: int = 2) -> DataFrame:
             .join(F.broadcast(terms), "termIndex").select("topic", "rank", "term", "weight"))
 
 
-def topic_sweep(lists: DataFrame, ks=(10, 9, 8, 7, 6), num_words: int = 2, vocab_size: int = 10_000, passes: int = 20,
+def topic_sweep(lists: DataFrame, ks=(10, 9, 8, 7, 6), num_words: int = 2, vocab_size: int = None, passes: int = 20,
                 seed: int = 7) -> DataFrame:
-    """Topic models for several k on lemma lists: (k, topic, rank, term, weight)."""
-    vectors, counter = _vectorize(lists, "lemmas", vocab_size, 1)
+    """Topic models for several k on lemma lists: (k, topic, rank, term, weight); without `vocab_size` on all lemmas."""
+    vectors, counter = _vectorize(lists, "lemmas", vocab_size or 2 ** 31 - 1, 1)
     vectors = vectors.select("features").persist()
     try:
         parts = []

@@ -4,37 +4,56 @@ from pyspark.sql import DataFrame, functions as F
 
 from gleaner.functions import text as tx
 from gleaner.functions.joins import lookup_join
-from gleaner.functions.numbers import DATE, NUMBER
+from gleaner.functions.numbers import DATE, LENGTH_UNITS, NUMBER, OTHER_UNITS, SPEED_UNITS
 
 NAME = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*"
-QUANTITY = (rf"{NUMBER} (?:miles per hour|mph|kilometers per hour|kph|miles|kilometers|inches|inch|centimeters|cm|feet)")
+UNITS = [u for units in (*SPEED_UNITS.values(), *LENGTH_UNITS.values(), OTHER_UNITS) for u in units]
+QUANTITY = rf"{NUMBER}[ -]?(?:{'|'.join(UNITS)})\b"
 EVENT_PATTERNS = {"QUANTITY": QUANTITY, "DATE": DATE}
-PLACE_WORD = r"[\p{L}\p{N}_'-]+"
-LONGEST_PLACE = 3
+# A word or one mark, in texts and gazetteer alike, so a run that crosses a mark is found only where an entry has it.
+PLACE_WORD = r"[\p{L}\p{N}_'-]+|[^\s\p{L}\p{N}_'-]"
 
 
 def mentions(texts: DataFrame, patterns: dict, gazetteer: DataFrame = None, keep=("doc_id",)) -> DataFrame:
     """One row per mention: (*keep, type, ord, mention).
 
-    `patterns` maps a type to a regular expression; gazetteer(type, text) is looked up on runs of one to three words.
+    `patterns` maps a type to a regular expression; gazetteer(type, text) is looked up on runs of as many words as its
+    longest entry has. A place is given as the gazetteer writes it, the least of several ways.
     `ord` numbers the mentions of one type in a text, in order.
     """
     def typed(kind, found):
         return F.transform(found, lambda m, i: F.struct(F.lit(kind).alias("type"), i.alias("ord"), m.alias("mention")))
     found = F.concat(*[typed(kind, tx.find_all(F.col("text"), p)) for kind, p in patterns.items()])
     out = texts.select(*keep, F.inline(found))
-    if gazetteer is None:
-        return out
-    split = texts.select(*keep, tx.find_all(F.col("text"), PLACE_WORD).alias("_words"))
-    runs = split.select(*keep, F.posexplode(place_runs(F.col("_words"))).alias("ord", "mention"))
-    listed = gazetteer.select("type", F.col("text").alias("mention")).distinct()
-    placed = lookup_join(runs, listed, "mention")
-    return out.unionByName(placed.select(*keep, "type", "ord", "mention"))
+    return out if gazetteer is None else out.unionByName(place_mentions(texts, gazetteer, keep))
 
 
-def place_runs(words):
-    """Runs of one to three words, as candidates for the gazetteer."""
-    return F.concat(*[tx.ngrams(words, n) for n in range(1, LONGEST_PLACE + 1)])
+def place_mentions(texts: DataFrame, gazetteer: DataFrame, keep=("doc_id",)) -> DataFrame:
+    """One row per mention of a gazetteer entry: (*keep, type, ord, mention)."""
+    split = texts.select(*keep, tx.find_all(F.col("text"), PLACE_WORD).alias("_words"), longest(gazetteer).alias("_longest"))
+    rows = split.select(*keep, F.posexplode(place_runs("_words", "_longest")).alias("ord", "_run"))
+    return lookup_join(rows, place_names(gazetteer), "_run").select(*keep, "type", "ord", "mention")
+
+
+def place_names(gazetteer: DataFrame) -> DataFrame:
+    """The gazetteer by run: (type, _run, mention)."""
+    run = F.array_join(tx.find_all(F.col("text"), PLACE_WORD), " ")
+    return gazetteer.groupBy("type", run.alias("_run")).agg(F.min("text").alias("mention"))
+
+
+def longest(gazetteer: DataFrame):
+    """Words of the longest entry, at least one."""
+    return gazetteer.agg(F.greatest(F.max(F.size(tx.find_all(F.col("text"), PLACE_WORD))), F.lit(1))).scalar()
+
+
+def place_runs(words: str, longest: str):
+    """Runs of neighbouring words, up to a number of words; both are names of columns."""
+    words = F.col(words)
+
+    def runs(n):
+        some = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, some).otherwise(F.array().cast("array<string>"))
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.col(longest)), runs))
 
 
 def sentences_with_type(sentences: DataFrame, kind: str, patterns: dict) -> DataFrame:
@@ -44,8 +63,8 @@ def sentences_with_type(sentences: DataFrame, kind: str, patterns: dict) -> Data
 
 def sentences_with_place(sentences: DataFrame, gazetteer: DataFrame, kind: str, key) -> DataFrame:
     """Keep sentences that mention a gazetteer entry of the given type; `key` names the sentence id columns."""
-    found = mentions(sentences, {"_": "^$"}, gazetteer.filter(F.col("type") == kind), key)
-    return sentences.join(found.filter(F.col("type") == kind).select(*key).distinct(), list(key), "left_semi")
+    found = place_mentions(sentences, gazetteer.filter(F.col("type") == kind), key)
+    return sentences.join(found.select(*key).distinct(), list(key), "left_semi")
 
 
 def mentions_of(mentions: DataFrame, kind: str) -> DataFrame:

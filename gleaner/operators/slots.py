@@ -15,6 +15,7 @@ from gleaner.functions.text import quote
 from gleaner.operators import mentions as mn
 from gleaner.operators.text import relevant_sentences
 
+# Topic words, and the patterns of names and categories.
 KEYWORDS = {
     "wind": ("wind", "winds"),
     "rain": ("rain",),
@@ -27,6 +28,7 @@ KEYWORDS = {
 EVENT_NAME = "[Hh]urricane ([A-Z][a-z]+)"
 STORM_NAME = "[Tt]ropical [Ss]torm ([A-Z][a-z]+)"
 CATEGORY = "[Cc]ategory ([0-9]+)"
+MILES = rf"({nb.NUMBER})[ -]?miles?\b"
 MODAL = ("name", "storm", "category", "landfall_category", "headcount")
 PLACES = ("landfall_place", "evacuation_place")
 NUMERIC = ("wind", "rain", "size", "deaths")
@@ -56,7 +58,7 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
     def plain(number):
         return f"replace({number}, ',', '')"
 
-    found_miles = plain(f"regexp_extract(q, {quote(f'({nb.NUMBER}) miles')}, 1)")
+    found_miles = plain(f"regexp_extract(q, {quote(MILES)}, 1)")
     miles = f"filter(transform(quantities, q -> try_cast({found_miles} AS double)), m -> m IS NOT NULL)"
     miles = f"transform({miles}, m -> regexp_replace(cast(if(contains(text, 'diameter'), m, 2 * m) AS string), '[.]0$', ''))"
     deaths = f"transform({all_of(f'({nb.NUMBER}) deaths')}, d -> {plain('d')})"
@@ -77,15 +79,17 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
     if set(slots) & set(PLACES):
         words["place"] = (*words["landfall"], *words["evacuation"])
         split = F.expr(near("place", f"regexp_extract_all(text, {quote(mn.PLACE_WORD)}, 0)"))
-        found = found.withColumn("words", split).withColumn("runs", mn.place_runs(F.col("words")))
+        found = found.withColumns({"words": split, "longest": mn.longest(gazetteer)})
+        found = found.withColumn("runs", mn.place_runs("words", "longest"))
     cells = ", ".join(f"transform({values[s]}, v -> named_struct('slot', {quote(s)}, 'value', v))" for s in slots)
     rows = found.select(by, F.expr(f"inline(concat({cells}))"))
     if set(slots) & set(PLACES):
         # Places are checked before the shuffle, so that only real ones are counted.
-        listed = gazetteer.select(F.col("text").alias("_place")).distinct().withColumn("_listed", F.lit(True))
+        listed = mn.place_names(gazetteer).groupBy(F.col("_run").alias("_place")).agg(F.min("mention").alias("_listed"))
         rows = lookup_join(rows.withColumn("_place", F.when(F.col("slot").isin(*PLACES), F.col("value"))),
                            listed, "_place", "left")
-        rows = rows.filter(~F.col("slot").isin(*PLACES) | F.col("_listed"))
+        rows = (rows.filter(~F.col("slot").isin(*PLACES) | F.col("_listed").isNotNull())
+                .withColumn("value", F.coalesce("_listed", "value")))
     return rows.groupBy(by, "slot", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

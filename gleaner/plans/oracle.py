@@ -65,8 +65,12 @@ def unnest_tokens(source, key, lowercase=True):
 
 
 def sentence_rows(source, keys):
+    text = "text"
+    for pattern, aside in tx.kept_marks():
+        text = f"regexp_replace({text}, {lit(pattern)}, '\\1{aside}\\2', 'g')"
     return (f"SELECT {keys}, CAST(unnest(range(0, len(a))) AS INTEGER) AS sent_no, unnest(a) AS text FROM (SELECT "
-            f"{keys}, list_transform(regexp_extract_all(text, {lit(tx.SENTENCE)}), lambda s: trim(s)) AS a FROM {source})")
+            f"{keys}, list_transform(regexp_extract_all({text}, {lit(tx.SENTENCE)}), lambda s: trim(translate(s, "
+            f"'{tx.ASIDE}', '{tx.MARKS}'))) AS a FROM {source})")
 
 
 content = f"token NOT IN {STOP} AND NOT regexp_matches(token, {lit(tx.NUMERIC)}) AND tag IN {TAGS}"
@@ -159,9 +163,7 @@ oracle("words_without_counts", "SELECT lemma FROM weighed WHERE lemma NOT IN (SE
        "LIMIT 20)", "weighed", "wc")
 
 # Synonyms and features
-part("enwc", "SELECT lemma, count(*) AS n FROM @lem WHERE doc_id IN (SELECT doc_id FROM @docs WHERE lang = 'en') GROUP BY "
-             "lemma HAVING count(*) >= 20")
-part("stems", "SELECT lemma, regexp_replace(lemma, '(tion|ing|ed|ly|ble)$', '') AS stem FROM @enwc")
+part("stems", "SELECT lemma, regexp_replace(lemma, '(tion|ing|ed|ly|ble)$', '') AS stem FROM @wc")
 part("thes", "SELECT a.lemma AS word, b.lemma AS related FROM @stems a JOIN @stems b USING (stem) WHERE a.lemma <> b.lemma "
              "AND length(stem) >= 2")
 part("rel", "SELECT word, related FROM @thes WHERE word IN (SELECT lemma FROM @wc) UNION SELECT lemma, lemma FROM @wc")
@@ -257,7 +259,7 @@ oracle("chi2_features", "SELECT item, df, round(CASE WHEN (a + b) * (c + d) * (a
 # Clusters
 oracle("count_vocab", "SELECT token AS term, count(*) AS n, count(DISTINCT doc_id) AS df FROM cased GROUP BY token HAVING "
        "count(DISTINCT doc_id) >= greatest(1, CAST(floor((SELECT docs FROM size) * CAST(0.1 AS DOUBLE)) AS BIGINT)) ORDER BY "
-       "n DESC, term LIMIT 100", "cased", "size")
+       "n DESC, term LIMIT 10000", "cased", "size")
 oracle("cluster_sizes", "SELECT label AS cluster, count(*) AS size FROM embeddings GROUP BY label")
 oracle("cluster_size_stats", "SELECT min(size) AS min, quantile_cont(size, 0.5) AS median, quantile_cont(size, 0.75) - "
        "quantile_cont(size, 0.25) AS iqr, max(size) AS max FROM (SELECT count(*) AS size FROM embeddings GROUP BY label)")
@@ -385,8 +387,8 @@ part("winds", range_sql(unit_values("wind", MPH, nb.SPEED_UNITS, 40)))
 part("rains", range_sql(unit_values("rain", INCHES, nb.LENGTH_UNITS, -0.5)))
 part("sizes", range_sql(
     "SELECT event_key, CASE WHEN contains(text, 'diameter') THEN 1 ELSE 2 END * TRY_CAST(replace(regexp_extract("
-    f"mention, '({nb.NUMBER}) miles', 1), ',', '') AS DOUBLE) AS v FROM @quantities WHERE {contains_sql(WORDS['size'])} AND regexp_matches(mention, "
-    "'[0-9]+ miles')"))
+    f"mention, {lit(sl.MILES)}, 1), ',', '') AS DOUBLE) AS v FROM @quantities WHERE {contains_sql(WORDS['size'])} AND "
+    f"regexp_matches(mention, {lit(sl.MILES)})"))
 WORD_VALUES = " ".join(f"WHEN '{w}' THEN {n}" for w, n in vocab.NUMBER_WORDS.items())
 part("tolls", range_sql(
     f"SELECT event_key, CAST(replace(unnest(regexp_extract_all(text, '({nb.NUMBER}) deaths', 1)), ',', '') AS DOUBLE) AS v "

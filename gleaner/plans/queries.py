@@ -357,7 +357,7 @@ def _vectors(spark, sf):
 
 @query
 def count_vocab(spark, sf):
-    return cluster.count_vocabulary(t.records(spark, sf), 100)
+    return cluster.count_vocabulary(t.records(spark, sf))
 
 
 @query
@@ -380,13 +380,13 @@ def bisecting_clusters(spark, sf):
 
 @query
 def lda_clusters(spark, sf):
-    vectors = cluster.compute_features(t.records(spark, sf), "count", 1000).select("doc_id", "features")
+    vectors = cluster.compute_features(t.records(spark, sf), "count").select("doc_id", "features")
     return cluster.do_cluster(vectors, "lda", 5)[0].select("doc_id", "cluster", "closeness")
 
 
 @query
 def lda_topic_sweep(spark, sf):
-    return cluster.topic_sweep(t.lists(spark, sf), vocab_size=1000)
+    return cluster.topic_sweep(t.lists(spark, sf))
 
 
 @query
@@ -397,7 +397,7 @@ def cluster_exemplars_kmeans(spark, sf):
 
 @query
 def cluster_exemplars_lda(spark, sf):
-    vectors = cluster.compute_features(t.records(spark, sf), "count", 1000).select("doc_id", "features")
+    vectors = cluster.compute_features(t.records(spark, sf), "count").select("doc_id", "features")
     return cluster.exemplars(cluster.lda(vectors, 5)[0].select("doc_id", "cluster", "closeness"), "lda")
 
 

@@ -56,14 +56,14 @@ def lexicon(spark, sf) -> DataFrame:
             .select("token", kind.alias("tag"), F.left(word, F.length(word) - 2).alias("lemma")))
 
 
-def thesaurus(lemma_lists: DataFrame, min_count: int = 20) -> DataFrame:
-    """Frequent English words related by stem: (word, related).
+def thesaurus(lemma_lists: DataFrame) -> DataFrame:
+    """Words related by stem: (word, related).
 
     A stem has at most one word per suffix and one without, so a group holds at most six words.
     """
-    counts = weights.word_count(lemma_lists.filter("lang = 'en'"))
+    counts = weights.word_count(lemma_lists)
     stem = F.regexp_replace("lemma", "(tion|ing|ed|ly|ble)$", "")
-    grouped = (counts.filter(F.col("n") >= min_count).select("lemma", stem.alias("stem"))
+    grouped = (counts.select("lemma", stem.alias("stem"))
                .filter(F.length("stem") >= 2).groupBy("stem").agg(F.collect_list("lemma").alias("words")))
     return (grouped.select(F.explode("words").alias("word"), "words")
             .select("word", F.explode("words").alias("related")).filter("word <> related"))

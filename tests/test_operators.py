@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from gleaner.functions import numbers as nb, vocab
+from gleaner.functions import numbers as nb, text as tx, vocab
 from gleaner.operators import (cluster, evaluate, features, groups, label, mentions, model, slots, summary, text, weights)
 from gleaner.sources import records as src
 
@@ -30,6 +30,42 @@ def test_slot_numbers_with_separators_and_points(spark):
     assert {(r.slot, r.value) for r in found.collect()} == {("deaths", "1200"), ("size", "2000"), ("size", "74.5")}
 
 
+def test_sentence_ends(spark):
+    given = ["Winds of 74.5 miles per hour hit the U.S. coast near St. Louis today. All left!", "One? Two... three",
+             "No end", "Sept. 3 came.\nNext", "", None]
+    rows = spark.createDataFrame([(t,) for t in given], "text string").select(tx.split_sentences(F.col("text")).alias("s"))
+    assert [r.s for r in rows.collect()] == [
+        ["Winds of 74.5 miles per hour hit the U.S. coast near St. Louis today.", "All left!"],
+        ["One?", "Two...", "three"], ["No end"], ["Sept. 3 came.", "Next"], [], None]
+
+
+def test_forms_of_quantities_and_dates(spark):
+    texts = {"a 70-mph gust": ["70-mph"], "at 80mph": ["80mph"], "about 5 in of rain": ["5 in"], "1 mile off": ["1 mile"],
+             "5 injured": [], "74.5 miles per hour": ["74.5 miles per hour"], "14 September 2018": ["14 September 2018"],
+             "on Sept. 3 it": ["Sept. 3"], "on May 3 2018": ["May 3 2018"], "September 14, 2018": ["September 14, 2018"],
+             "Mayor 5": [], "3 Marches": []}
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = mentions.mentions(rows, mentions.EVENT_PATTERNS, keep=("text",)).groupBy("text").agg(
+        F.collect_list("mention").alias("m"))
+    assert {r.text: r.m for r in found.collect()} == {t: m for t, m in texts.items() if m}
+    day = rows.filter("text = '14 September 2018'").select(nb.date_of("text").alias("d")).first().d
+    assert day == datetime.date(2018, 9, 14)
+
+
+def test_long_and_punctuated_places(spark):
+    gazetteer = spark.createDataFrame([("GPE", p) for p in ("United Republic of Tanzania", "St. Louis", "Mali")],
+                                      "type string, text string")
+    rows = spark.createDataFrame([(1, "From the United Republic of Tanzania to St. Louis, Mali."), (2, "St, Louis"), (3, None)],
+                                 "doc_id int, text string")
+    found = mentions.mentions(rows, {"DATE": nb.DATE}, gazetteer)
+    assert sorted((r.doc_id, r.mention) for r in found.collect()) == [
+        (1, "Mali"), (1, "St. Louis"), (1, "United Republic of Tanzania")]
+    assert mentions.mentions(rows, {"DATE": nb.DATE}, gazetteer.limit(0)).count() == 0
+    said = rows.select(F.lit("e").alias("event_key"), F.concat(F.lit("landfall: "), "text").alias("text"))
+    facts = slots.facts(said, gazetteer, slots=("landfall_place",))
+    assert {r.value for r in facts.collect()} == {"Mali", "St. Louis", "United Republic of Tanzania"}
+
+
 def test_tokens_split_punctuation_and_contractions(spark):
     got = [r.token for r in text.tokens(docs(spark, "It’s 1,000 well-known dogs, a@b.com!")).orderBy("pos").collect()]
     assert got == ["it", "'s", "1,000", "well-known", "dogs", ",", "a", "@", "b.com", "!"]

@@ -82,6 +82,6 @@ def test_rows_only_queries(spark, sf, name):
 
 def test_thesaurus_groups_stay_small(spark, sf):
     lists = t.staged_lists(spark, sf)
-    sizes = t.thesaurus(lists, 5).groupBy("word").count()
+    sizes = t.thesaurus(lists).groupBy("word").count()
     assert sizes.agg(F.max("count")).first()[0] <= 5
     assert groups.related_words(weights.word_count(lists), t.thesaurus(lists)).count() > 0
