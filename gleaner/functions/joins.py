@@ -13,16 +13,13 @@ def fits(table: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BY
     return rows <= limit and total <= size
 
 
-def lookup_join(left: DataFrame, table: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS,
-                salts: int = 32) -> DataFrame:
+def lookup_join(left: DataFrame, table: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join a large table with a lookup table.
 
-    A lookup table within `limit` rows is broadcast. A larger one is repeated under `salts` salts and joined by
-    shuffle, so the rows of one hot key on the left are spread over that many tasks; the result is the same.
+    A lookup table within `limit` rows is broadcast. A larger one is joined by shuffle, where adaptive execution splits
+    the partition of a hot key on the left by its measured size; the result is the same.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits(table, limit):
         return left.join(F.broadcast(table), on, how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, on + ["_salt"], how).drop("_salt")
+    return left.join(table, on, how)

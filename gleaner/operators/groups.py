@@ -2,8 +2,6 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_MERGED = 1_000
-
 
 def related_words(words: DataFrame, thesaurus: DataFrame) -> DataFrame:
     """Each listed word with its related words from thesaurus(word, related), and with itself: (word, related)."""
@@ -29,9 +27,7 @@ def top_synonym_groups(groups: DataFrame, k: int = 20) -> DataFrame:
 
 
 def _ranked(df: DataFrame, value: str, item: str, k: int):
-    # At most k rows, k checked: one array on one row.
-    if not 0 < k <= MAX_MERGED:
-        raise ValueError(f"k must be 1..{MAX_MERGED}: the merge is a sequential pick over a ranked list")
+    # The k best, in order, as one array: the merge is a sequential pick over a ranked list.
     best = df.orderBy(F.desc(value), item).limit(k).select(F.col(item).alias("item"), F.col(value).alias("_value"))
     return best.agg(F.array_sort(F.collect_list(F.struct((-F.col("_value")).alias("_value"), "item")))
                     .getField("item").alias("items"))
@@ -41,7 +37,8 @@ def merge_collocations(bigrams: DataFrame, words: DataFrame, num_bigrams: int =
                        bigram_value: str = "n", word_value: str = "n") -> DataFrame:
     """Bigrams whose two different words are both listed and still unused, in rank order; then the unused words.
 
-    Takes the top `num_bigrams` of bigrams(bigram, value) and the top `num_words` of words(lemma, value).
+    Takes the top `num_bigrams` of bigrams(bigram, value) and the top `num_words` of words(lemma, value). The two lists are
+    held on one row, whatever their length; the pick compares each bigram with the listed words once.
     Rows: (position, kind, item).
     """
     ranked_bigrams = _ranked(bigrams, bigram_value, "bigram", num_bigrams).scalar()
@@ -49,17 +46,20 @@ def merge_collocations(bigrams: DataFrame, words: DataFrame, num_bigrams: int =
     nothing = F.array().cast("array<string>")
     first, second = (lambda b: F.split_part(b, F.lit(" "), F.lit(1))), (lambda b: F.split_part(b, F.lit(" "), F.lit(2)))
 
+    def listed(bigram):
+        a, b = first(bigram), second(bigram)
+        return (a != b) & F.array_contains("words", a) & F.array_contains("words", b)
+
     def pick(state, bigram):
         a, b = first(bigram), second(bigram)
-        listed = F.array_contains("words", a) & F.array_contains("words", b)
         unused = ~F.array_contains(state["used"], a) & ~F.array_contains(state["used"], b)
-        return F.when((a != b) & listed & unused, F.struct(
+        return F.when(unused, F.struct(
             F.concat(state["used"], F.array(a, b)).alias("used"),
             F.concat(state["picked"], F.array(bigram)).alias("picked"))).otherwise(state)
 
     start = F.struct(nothing.alias("used"), nothing.alias("picked"))
     state = ranked_words.withColumn("bigrams", ranked_bigrams).select(
-        "words", F.aggregate(F.coalesce("bigrams", nothing), start, pick).alias("state"))
+        "words", F.aggregate(F.filter(F.coalesce("bigrams", nothing), listed), start, pick).alias("state"))
     items = F.concat(
         F.transform("state.picked", lambda b: F.struct(F.lit("bigram").alias("kind"), b.alias("item"))),
         F.transform(F.filter("words", lambda w: ~F.array_contains(F.col("state.used"), w)),

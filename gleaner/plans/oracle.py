@@ -274,8 +274,9 @@ oracle("mentions_clean", "SELECT doc_id, ord, regexp_replace(mention, '[^a-zA-Z0
 oracle("entity_count", "SELECT mention, count(*) AS n FROM found GROUP BY mention", "found")
 oracle("top_entities", "SELECT mention, count(*) AS n FROM found GROUP BY mention ORDER BY n DESC, mention LIMIT 50", "found")
 oracle("entity_coverage", "SELECT shared, golden, CASE WHEN golden > 0 THEN round(shared / golden, 9) END AS coverage FROM "
-       "(SELECT count(*) FILTER (mention IN (SELECT mention FROM found WHERE lang = 'en')) AS shared, count(*) AS golden FROM "
-       "(SELECT DISTINCT mention FROM found WHERE lang = 'de'))", "found")
+       "(SELECT count(*) FILTER (mention IN (SELECT mention FROM found)) AS shared, count(*) AS golden FROM (" + " UNION ".join(
+           f"SELECT unnest(regexp_extract_all(text, {lit(p)})) AS mention FROM benchmark" for p in t.PATTERNS.values()) + "))",
+       "found")
 
 # Event slots
 part("reports", """SELECT event_key, CASE ln % 6
@@ -482,28 +483,26 @@ def gram_rows(name, source, key):
     part(f"{name}s", f"SELECT * FROM @{name}1 UNION ALL " + " UNION ALL ".join(ahead(k) for k in range(1, 6)))
 
 
-part("english", "SELECT * FROM @docs WHERE lang = 'en'")
-gram_rows("pd", "@english", "doc_id")
+gram_rows("pd", "@docs", "doc_id")
 gram_rows("gd", "benchmark", "item_id")
 
 
 def rouge_sql(kind):
     return (f"SELECT doc_id, round(CAST(sum(hits) AS BIGINT) / (SELECT count(*) FROM gd{kind}), 9) AS score FROM (SELECT "
             f"doc_id, least(p.n, g.n) AS hits FROM (SELECT doc_id, gram, count(*) AS n FROM pd{kind} GROUP BY ALL) p JOIN "
-            f"(SELECT gram, count(*) AS n FROM gd{kind} GROUP BY ALL) g USING (gram) UNION ALL SELECT doc_id, 0 FROM english) "
+            f"(SELECT gram, count(*) AS n FROM gd{kind} GROUP BY ALL) g USING (gram) UNION ALL SELECT doc_id, 0 FROM docs) "
             f"GROUP BY doc_id")
 
 
 for query, kind in (("rouge_1", "1"), ("rouge_2", "2"), ("rouge_su4", "s")):
-    oracle(query, rouge_sql(kind), f"pd{kind}", f"gd{kind}", "english")
+    oracle(query, rouge_sql(kind), f"pd{kind}", f"gd{kind}", "docs")
 DIGITS = "substr(md5(CAST(doc_id AS VARCHAR) || '/' || CAST(r // 4 AS VARCHAR)), CAST(8 * (r % 4) + 1 AS INTEGER), 8)"
 DRAW = " + ".join(f"CASE WHEN h >= '{cut}' THEN 1 ELSE 0 END" for cut in sampling.POISSON_THRESHOLDS)
 oracle("rouge_bootstrap", "SELECT round(avg(m), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, "
        f"0.975), 6) AS high FROM (SELECT r, sum(score * w) / sum(w) AS m FROM (SELECT r, score, {DRAW} AS w FROM (SELECT r, "
        f"score, {DIGITS} AS h FROM ({rouge_sql('1')}), (SELECT unnest(range(0, 1000)) AS r))) GROUP BY r)",
-       "pd1", "gd1", "english")
-part("psent", "SELECT doc_id * 1000000 + sent_no AS k, text FROM @sents20 JOIN @english USING (doc_id)".replace(
-    "text FROM", "sents20.text AS text FROM"))
+       "pd1", "gd1", "docs")
+part("psent", "SELECT doc_id * 1000000 + sent_no AS k, text FROM @sents20")
 part("gsent", "SELECT item_id * 1000000 + sent_no AS k, text FROM (" + sentence_rows("benchmark", "item_id")
      + ") WHERE length(text) >= 20")
 gram_rows("ps", "@psent", "k")

@@ -417,8 +417,8 @@ def cluster_size_stats(spark, sf):
 
 # Mentions
 
-def _mentions(spark, sf, lang=None):
-    return mentions.mentions(t.records(spark, sf, lang), t.PATTERNS)
+def _mentions(spark, sf):
+    return mentions.mentions(t.records(spark, sf), t.PATTERNS)
 
 
 @query
@@ -562,7 +562,7 @@ def corpus_summary(spark, sf):
 # Evaluation
 
 def _rouge(spark, sf, kind):
-    return evaluate.rouge(t.records(spark, sf, "en"), t.golden(spark, sf), kind)
+    return evaluate.rouge(t.records(spark, sf), t.golden(spark, sf), kind)
 
 
 @query
@@ -595,7 +595,7 @@ def rouge_bootstrap(spark, sf):
 
 @query
 def rouge_best_pair(spark, sf):
-    predicted = text.sentences(t.records(spark, sf, "en"))
+    predicted = text.sentences(t.records(spark, sf))
     golden = text.sentences(t.golden(spark, sf), key="item_id")
     best = [evaluate.rouge_best_pair(predicted, golden, ["doc_id", "sent_no"], ["item_id", "sent_no"], n)
             .select(F.lit(f"rouge_{n}").alias("metric"), "*") for n in (1, 2)]
@@ -604,7 +604,8 @@ def rouge_best_pair(spark, sf):
 
 @query
 def entity_coverage(spark, sf):
-    return evaluate.entity_coverage(_mentions(spark, sf, "en"), _mentions(spark, sf, "de"))
+    golden = mentions.mentions(t.golden(spark, sf), t.PATTERNS, keep=("item_id",))
+    return evaluate.entity_coverage(_mentions(spark, sf), golden)
 
 
 QUERIES["mentions"] = QUERIES.pop("mentions_typed")

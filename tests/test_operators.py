@@ -185,8 +185,10 @@ def test_merge_takes_bigrams_greedily(spark):
     words = spark.createDataFrame([(w, 10 - i) for i, w in enumerate("abcde")], "lemma string, n bigint")
     merged = groups.merge_collocations(bigrams, words).orderBy("position").collect()
     assert [(r.kind, r.item) for r in merged] == [("bigram", "a b"), ("bigram", "c d"), ("word", "e")]
-    with pytest.raises(ValueError):
-        groups.merge_collocations(bigrams, words, num_bigrams=10 ** 6)
+    many = spark.range(1500).select(F.format_string("w%04d v%04d", "id", "id").alias("bigram"), (-F.col("id")).alias("n"))
+    both = many.select(F.explode(F.split("bigram", " ")).alias("lemma"), "n")
+    whole = groups.merge_collocations(many, both, num_bigrams=1500, num_words=3000).orderBy("position").collect()
+    assert [r.item for r in whole] == [f"w{i:04d} v{i:04d}" for i in range(1500)]
 
 
 LABELS = [(0, "bigram", "storm coast"), (1, "word", "dog"), (2, "synset", "rain"), (2, "synset", "flood")]

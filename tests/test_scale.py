@@ -45,7 +45,7 @@ def test_totals_share_the_exchange(spark, sf):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast(spark, how):
+def test_shuffled_join_equals_broadcast(spark, how):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     table = spark.range(0, 3000, 2).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).union(
         spark.createDataFrame([("hot", 7)], "k string, v int"))
