@@ -1,60 +1,111 @@
-"""Substring dedup: paragraphs are normalised and hashed, the earliest occurrence stays, others go with their offsets kept.
+"""Substring dedup: every run of `least_words` words that occurs earlier is cut out, the earliest occurrence stays.
 
-A text is cut into units at line ends, after sentence ends, and before capitalised words, so that a passage inside a line
-starts a unit too. A paragraph is the shortest run of whole units from a unit's start that has at least `least_words`
-words; it is normalised to lower case and single spaces. Of equal paragraphs the first in order of id, text hash and
-offset stays; what the later ones cover is merged and cut out of the text. Shorter repeats stay.
+A paragraph is a window of `least_words` words, from any word on, compared in lower case and without white space. Of equal
+paragraphs the first in order of id, text hash and offset stays; what the later ones cover is merged and cut out of
+the text, so a repeat goes from its first word to its last one wherever it starts. Shorter repeats stay. Words are runs
+of characters other than white space; Han characters and kana, which are written without spaces, are words of their own.
+
+Two passes keep the rows few. Each window is marked by the least hash of the half as long windows in it; equal windows
+have equal marks, so only windows whose mark occurs more than once are hashed whole and compared.
 
 Null text counts as empty and stays null. A null id ranks first. Rows with equal id and text rank the same and get equal
 results. An empty table gives an empty result. All other columns are kept.
 """
 
-import hashlib
-import re
-import struct
-import sys
-import unicodedata
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from gleaner.llm.ngram_join import POWERS, _keys, _mix
 from gleaner.sources.staging import stage
 
-UPPER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Lu", "Lt"))
-UNIT_END = re.compile(rf"\s(?:(?<=[.!?]\s)\s*|(?<=\n)\s*|\s*(?=[{UPPER}])|\s*\n\s*)")
+BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+UNSPACED = [(0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 RANK = ["doc", "text_hash", "span"]
 
 
-def units(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, words) of each unit, as character offsets."""
-    out, at = [], 0
-    for end, following in [*((m.start(), m.end()) for m in UNIT_END.finditer(text)), (len(text), len(text))]:
-        piece = text[at:end]
-        if words := piece.split():
-            left = len(piece) - len(piece.lstrip())
-            out.append((at + left, at + len(piece.rstrip()), words))
-        at = following
-    return out
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, 64-bit hashes) of the words in lower case, as character offsets."""
+    # The only character that grows when lowered would move the offsets.
+    data = np.frombuffer(text.replace("\u0130", "i").lower().encode("utf-32-le"), "<u4")
+    inside, alone = ~BLANK[np.minimum(data, len(BLANK) - 1)], np.zeros(len(data), bool)
+    if not text.isascii():
+        for least, most in UNSPACED:
+            alone |= (data >= least) & (data <= most)
+    joined = inside[1:] & inside[:-1] & ~alone[1:] & ~alone[:-1]
+    start = np.flatnonzero(inside & ~np.concatenate([[False], joined])[:len(data)])
+    end = np.flatnonzero(inside & ~np.concatenate([joined, [False]])[:len(data)]) + 1
+    up, down = POWERS.to(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    return start, end, _mix((total[end] - total[start]) * down[start])
+
+
+def _windows(words: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Hashes of each run of n words."""
+    place = _keys(seed, n)
+    return _mix(sum(words[k:len(words) - n + 1 + k] * place[k] for k in range(n)))
+
 
+def marks(words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of `least_words` words the place of its mark, and the hash that marks it."""
+    short = (least_words + 1) // 2
+    grams, width = _windows(words, short, 6), least_words - short + 1
+    place = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1) + np.arange(len(grams) - width + 1)
+    return place, grams[place]
 
-def paragraphs(text: str, least_words: int):
-    """(start, end, digest) of each paragraph."""
-    found = units(text)
-    joined = [" ".join(words).lower() for _, _, words in found]
-    end = n = 0
-    for k, (start, _, words) in enumerate(found):
-        while end < len(found) and n < least_words:
-            n += len(found[end][2])
-            end += 1
-        if n < least_words:
-            return
-        digest = hashlib.blake2b(" ".join(joined[k:end]).encode(), digest_size=16).digest()
-        yield start, found[end - 1][1], digest
-        n -= len(words)
+
+def paragraphs(text: str, least_words: int, among: list[int] | None = None):
+    """(start, end, digest) of each window of `least_words` words, or of those with a mark at one of the places `among`.
+
+    A window that overlaps the first equal one of its text starts where that one ends, so the first stays whole.
+    """
+    start, end, words = words_of(text)
+    if len(words) < least_words:
+        return
+    chosen = np.arange(len(words) - least_words + 1)
+    if among is not None:
+        chosen = chosen[np.isin(marks(words, least_words)[0], among)]
+    halves = [_windows(words, least_words, seed)[chosen].view(np.int64).tolist() for seed in (7, 8)]
+    first_end: dict[tuple[int, int], int] = {}
+    for a, b, digest in zip(start[chosen].tolist(), end[chosen + least_words - 1].tolist(), zip(*halves)):
+        first = first_end.setdefault(digest, b)
+        yield a if first == b else max(a, first), b, digest
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+                       F.col(text).alias("text"))
+
+
+def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
+    """(doc, text_hash, places): where marks stand that occur more than once."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part, places, hashes = batch.slice(at, 500), [], []
+                for t in part.column(2):
+                    words = words_of(t.as_py() or "")[2]
+                    place, mark = marks(words, least_words) if len(words) >= least_words else (np.zeros(0, int), np.zeros(0, np.uint64))
+                    new = np.diff(place, prepend=-1) > 0
+                    places.append(place[new])
+                    hashes.append(mark[new])
+                rows = np.repeat(np.arange(len(places)), [len(p) for p in places])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)),
+                     pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64))],
+                    names=["doc", "text_hash", "place", "mark"])
+
+    found = stage(_texts(docs, key, text).mapInArrow(run, "doc bigint, text_hash bigint, place int, mark bigint"), "marks")
+    common = found.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    # Written, so that both sides of the join are dealt out for it and the rows of one mark can be split.
+    kept = found.join(stage(common, "common"), "mark")
+    # Places in one text, so an array is no longer than the text.
+    return kept.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
-    """(doc, text_hash, span, h1, h2, again) of every paragraph of every whole text.
+    """(doc, text_hash, span, h1, h2, again) of every paragraph of every whole text that can occur elsewhere.
 
     span is start * 2^32 + end, h1 and h2 are the digest's halves; again: the same text holds the paragraph before.
     """
@@ -64,18 +115,22 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", least_word
     def run(batches):
         for batch in batches:
             rows = []
-            for doc, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for doc, h, t, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 seen = set()
-                for start, end, digest in paragraphs(t.as_py() or "", least_words):
-                    rows.append((doc, h, start << 32 | end, *struct.unpack("<qq", digest), digest in seen))
+                for start, end, digest in paragraphs(t.as_py() or "", least_words, places.as_py()):
+                    rows.append((doc, h, start << 32 | end, *digest, digest in seen))
                     seen.add(digest)
                 if len(rows) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
-    source = docs.select(F.col(key).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.col(text))
-    return source.mapInArrow(run, "doc bigint, text_hash bigint, span bigint, h1 bigint, h2 bigint, again boolean")
+
+    marked = candidates(docs, key, text, least_words).withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"})
+    texts = _texts(docs, key, text)
+    source = texts.join(marked, texts["doc"].eqNullSafe(F.col("_doc")) & (texts["text_hash"] == F.col("_hash")))
+    return source.select("doc", "text_hash", "text", "places").mapInArrow(
+        run, "doc bigint, text_hash bigint, span bigint, h1 bigint, h2 bigint, again boolean")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

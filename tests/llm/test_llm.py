@@ -180,6 +180,22 @@ def test_substring_of_an_empty_table(empty):
     assert substring.dedup(empty).count() == 0
 
 
+def test_repeats_of_any_place_case_and_script_are_cut(spark):
+    r = random.Random(21)
+    plain = " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(20))
+    arabic = " ".join("".join(r.choices("\u0627\u0628\u062a\u062b\u062c\u062d", k=5)) for _ in range(25))
+    han = "".join(r.choices([chr(c) for c in range(0x4E00, 0x4F00)], k=30))
+    rows = [(10 * k + i, f"one{k}{i} two{k}{i} {passage} three{k}{i} four{k}{i}") for k, passage in enumerate((plain, arabic, han))
+            for i in (1, 2)]
+    rows += [(50, "it " * 60), (51, "IT " * 60), (60, plain.rsplit(" ", 1)[0] + " other")]
+    found = {r.doc_id: r.text for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for k in range(3):
+        assert found[10 * k + 1] == texts[10 * k + 1]
+        assert found[10 * k + 2] == f"one{k}2 two{k}2  three{k}2 four{k}2"
+    assert found[50].split() == ["it"] * 20 and found[51].split() == [] and found[60] == texts[60]
+
+
 # 3: neighbours
 
 def test_hilbert_visits_neighbours():
