@@ -10,8 +10,8 @@ At the default 32 bands of 4 values, a pair at a similarity of 0.8 shares no ban
 the threshold is dropped with a probability near the tolerance, 1e-7.
 
 A text of fewer than n words has one n-gram, all its words. Texts without words (null, empty) are alike to each other. A
-row without id is alike to nothing, and its class is null. Texts with equal sets are one node; rows that share an id are one document, so
-their texts' classes are joined. An empty table gives an empty result. Other columns are not read.
+row without id is alike to nothing, and its class is null. Texts with equal sets are one node, known by the set's digest;
+rows that share an id are one document, so their texts' classes are joined, while each text is compared. An empty table gives an empty result. Other columns are not read.
 """
 
 import hashlib
@@ -119,18 +119,23 @@ def _grams_of(batches, n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray
             yield part, [ngrams(t.as_py() or "", n) for t in part.column(part.num_columns - 1)]
 
 
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+                       F.col(text).alias("text"))
+
+
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5) -> DataFrame:
-    """(id, set_key, n_grams, bands) of each row: a digest of the set, its size, and the bands, null without words."""
+    """(id, text_hash, set_key, n_grams, bands) of each row: a digest of the set, its size, and the bands, null without words."""
     def run(batches):
         for part, sets in _grams_of(batches, n):
             yield pa.RecordBatch.from_arrays([
-                part.column(0),
+                part.column(0), part.column(1),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([bands(minhash(s)) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                names=["id", "set_key", "n_grams", "bands"])
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(
-        run, "id bigint, set_key binary, n_grams bigint, bands array<bigint>")
+                names=["id", "text_hash", "set_key", "n_grams", "bands"])
+    return _texts(docs, key, text).mapInArrow(
+        run, "id bigint, text_hash bigint, set_key binary, n_grams bigint, bands array<bigint>")
 
 
 def _sorted_groups(batches, columns: list[str]):
@@ -196,7 +201,7 @@ def compare(rows: list[dict], crossed: bool, threshold: float, tolerance: float)
 
 
 def _verified(members: DataFrame, docs: DataFrame, key: str, text: str, n: int, threshold: float, tolerance: float):
-    """Rows (a, b, links): links of text a counted in documents (b null), and links a-b of a spanning forest."""
+    """Rows (set_key, a, b, links): links of a text counted in documents (a and b null), and links a-b, in ids, of a forest."""
     def sets(batches):
         for part, grams in _grams_of(batches, n):
             same = [len(g) > 0 and hashlib.blake2b(g.tobytes(), digest_size=16).digest() == k.as_py()
@@ -204,29 +209,31 @@ def _verified(members: DataFrame, docs: DataFrame, key: str, text: str, n: int,
             kept = [g for g, s in zip(grams, same) if s]
             rest = part.filter(pa.array(same, pa.bool_()))
             yield pa.RecordBatch.from_arrays(
-                [*(rest.column(c) for c in ("id", "root", "blocks", "copies")), pa.array([g.tobytes() for g in kept], pa.binary()),
+                [*(rest.column(c) for c in ("id", "set_key", "root", "blocks", "copies")), pa.array([g.tobytes() for g in kept], pa.binary()),
                  pa.array([minhash(g).tobytes() for g in kept], pa.binary())],
-                names=["id", "root", "blocks", "copies", "grams", "minhash"])
+                names=["id", "set_key", "root", "blocks", "copies", "grams", "minhash"])
 
     def run(batches):
         for (_, one, two), rows in _sorted_groups(batches, ["root", "one", "two"]):
-            rows = list({r["id"]: r for r in rows}.values())  # a row that the table repeats
+            rows = list({r["set_key"]: r for r in rows}.values())  # a row that the table repeats
             links, forest = compare(rows, one != two, threshold, tolerance)
             ids = [r["id"] for r in rows]
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids + [ids[i] for i, _ in forest], pa.int64()),
+                pa.array([r["set_key"] for r in rows] + [None] * len(forest), pa.binary()),
+                pa.array([None] * len(ids) + [ids[i] for i, _ in forest], pa.int64()),
                 pa.array([None] * len(ids) + [ids[j] for _, j in forest], pa.int64()),
-                pa.array(links.tolist() + [0] * len(forest), pa.int64())], names=["a", "b", "links"])
+                pa.array(links.tolist() + [0] * len(forest), pa.int64())], names=["set_key", "a", "b", "links"])
 
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    rows = members.join(texts, "id").select("id", "root", "blocks", "copies", "set_key", "text").mapInArrow(
-        sets, "id bigint, root bigint, blocks int, copies bigint, grams binary, minhash binary")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    # By the text's hash too, so that an id of many texts brings each of its members one text.
+    rows = members.join(_texts(docs, key, text), ["id", "text_hash"]).select(
+        "id", "root", "blocks", "copies", "set_key", "text").mapInArrow(
+        sets, "id bigint, set_key binary, root binary, blocks int, copies bigint, grams binary, minhash binary")
+    own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
     # Each block meets every block of its family once, itself included.
     pairs = (rows.withColumn("block", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}))
-    dealt = pairs.drop("blocks", "other").repartition("root", "one", "two").sortWithinPartitions("root", "one", "two", "id")
-    return dealt.mapInArrow(run, "a bigint, b bigint, links bigint")
+    dealt = pairs.drop("blocks", "other").repartition("root", "one", "two").sortWithinPartitions("root", "one", "two", "set_key")
+    return dealt.mapInArrow(run, "set_key binary, a bigint, b bigint, links bigint")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, n: int = 5,
@@ -238,15 +245,16 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     """
     rows = stage(signatures(docs, key, text, n), "signatures")
     named = rows.filter(F.col("id").isNotNull())
-    texts = stage(named.groupBy("set_key").agg(F.min("id").alias("text_id"), F.count(F.lit(1)).alias("copies")), "texts")
-    firsts = named.join(texts, "set_key").filter("id = text_id")
+    texts = stage(named.groupBy("set_key").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.count(F.lit(1)).alias("copies"))
+                  .select("set_key", F.col("first.id").alias("text_id"), F.col("first.text_hash").alias("first_hash"), "copies"), "texts")
+    firsts = named.join(texts, "set_key").filter("id = text_id and text_hash = first_hash")
 
-    banded = firsts.select("id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    near = banded.join(buckets.select("band", "first"), "band").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    families = stage(components(near), "families")
+    banded = firsts.select("set_key", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last")).filter("first < last")
+    near = banded.join(buckets.select("band", "first"), "band").select(F.col("first").alias("a"), F.col("set_key").alias("b"))
+    families = stage(components(near).withColumnRenamed("id", "set_key"), "families")
 
-    sized = families.join(firsts.select("id", "set_key", "copies", "n_grams"), "id")
+    sized = families.join(firsts.select("id", "text_hash", "set_key", "copies", "n_grams"), "set_key")
     loads = sized.groupBy("root").agg(F.ceil(F.sum(F.col("n_grams") + VALUES) / BLOCK).cast("int").alias("blocks"))
     members = sized.join(loads, "root").drop("n_grams")
     found = stage(_verified(members, docs, key, text, n, threshold, tolerance), "verified")
@@ -256,9 +264,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     twice = named.groupBy("id").agg(F.countDistinct("set_key").alias("n")).filter("n > 1").select("id")
     same_id = shared.join(twice, "id").select(F.col("id").alias("a"), F.col("text_id").alias("b"))
     roots = components(found.filter("b is not null").select("a", "b").union(same_id))
-    links = found.filter("b is null").groupBy("a").agg(F.sum("links").alias("links"))
+    links = found.filter("b is null").groupBy("set_key").agg(F.sum("links").alias("links"))
     marked = (texts.join(roots.withColumnRenamed("id", "text_id"), "text_id", "left")
-              .join(links.withColumnRenamed("a", "text_id"), "text_id", "left")
+              .join(links, "set_key", "left")
               .select("set_key", "text_id", F.coalesce("root", "text_id").alias("root"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
               .filter("n_links > 0 or root <> text_id"))

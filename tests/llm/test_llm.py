@@ -116,6 +116,15 @@ def test_join_of_a_family_in_blocks(spark, monkeypatch, block):
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in found.collect()) == brute_links(rows)
 
 
+def test_join_of_an_id_with_several_texts(spark):
+    texts = [prose(200 + k, 90) for k in range(4)]
+    near = [t + " tail words here" for t in texts]
+    rows = [(2, texts[0]), (2, texts[1]), (5, near[0]), (6, near[1]), (9, texts[2]), (9, near[2]), (9, texts[3]), (12, near[3])]
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in found) == brute_links(rows)
+    assert {r.doc_id: r.class_id for r in found} == {2: 2, 5: 2, 6: 2, 9: 9, 12: 9}
+
+
 def test_pruning_keeps_probable_pairs():
     cutoffs = ngram_join.least_matches(0.8, 1e-7)
     for n, m in zip(range(32, 129, 32), cutoffs):
