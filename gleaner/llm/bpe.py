@@ -51,16 +51,18 @@ class LexiconEncoder(Encoder):
         rest = iter(self.merger.merge_all([w for w, ids in zip(raw, known) if ids is None]))
         return [next(rest) if ids is None else ids for ids in known]
 
-    def whole(self, text: str) -> bytes:
-        out, at = [], 0
-        for mark in [*self.mark.finditer(text), None]:
-            pieces = self.pieces(text[at:mark.start() if mark else len(text)])
-            self.learn(set(pieces))
-            out += [self.words[p] for p in pieces]
-            if mark:
-                out.append(packed([self.special[mark[0]]]))
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text; all words are learnt before the first text is encoded, which may empty the cache."""
+        cut = []
+        for text in texts:
+            parts, at = [], 0
+            for mark in self.mark.finditer(text):
+                parts += [(self.pieces(text[at:mark.start()]), packed([self.special[mark[0]]]))]
                 at = mark.end()
-        return b"".join(out)
+            cut.append([*parts, (self.pieces(text[at:]), b"")])
+        self.learn({p for parts in cut for pieces, _ in parts for p in pieces})
+        known = self.words.__getitem__
+        return [b"".join(b"".join(map(known, pieces)) + special for pieces, special in parts) for parts in cut]
 
 
 def frequent_words(docs: DataFrame, tokenizer: str, text: str = "text", size: int = 50_000) -> list[str]:

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import connect, differences
-from gleaner.llm import ann, bpe, components, lengths, lexicon, licenses, lines, ngram_join, packing, quality, queries, shards, substring
+from gleaner.llm import ann, bpe, components, lengths, lexicon, licenses, lines, ngram_join, packing, quality, queries, shards, substring, tokens
 from gleaner.llm.merges import packed
 from gleaner.llm.tokens import Encoder
 
@@ -292,6 +292,14 @@ def test_lexicon_finds_its_words_only():
     assert lexicon.Lexicon(lexicon.compile_words({})).find([b"a"]) == [None]
 
 
+def test_special_tokens_keep_the_words_of_their_chunk(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 12)
+    texts = ["one two three four five", "six seven<|endoftext|> eight nine ten", "<|endoftext|>", "eleven one two twelve"]
+    want = [packed(library(queries.BYTE_BPE).encode(t, add_special_tokens=False).ids) for t in texts]
+    coder = bpe.LexiconEncoder(queries.BYTE_BPE)
+    assert coder.encode_all(texts) == want and coder.encode_all(texts[::-1]) == want[::-1]
+
+
 def test_encode_and_decode(docs, empty):
     path, tool = queries.BYTE_BPE, library(queries.BYTE_BPE)
     words = bpe.frequent_words(docs, path, size=50)
