@@ -1,9 +1,14 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license notices.
 
-A block is a line. Of each template, the words' set is ordered by how many blocks of the whole table hold a word, rarest
-first. A block can hold the share `threshold` of a template's words only if it has enough words (length filter), holds one
+A notice is a window of consecutive words, across line ends, that is about as long as a template: the template may make
+up no less than `threshold` of it, and it holds at least that share of the template's words. Labels and score come from
+phrases and notices.
+
+A block is a line of any length; blocks are where a template's words stand in one line, and label nothing. Of each
+template, the words' set is ordered by how many blocks of the whole table hold a word, rarest first. A block can hold the share `threshold` of a template's words only if it has enough words (length filter), holds one
 of the template's rarest words, few enough that the rest alone could not reach the share (prefix filter), and if the words
-from the first one found on still suffice (positional filter). What is left is counted exactly.
+from the first one found on still suffice (positional filter). What is left is counted exactly. A text goes through the
+prefix and length filters as a whole before its windows are counted.
 
 Words are runs of digits, letters a-z after A-Z are lowered, and characters beyond ASCII. Null text counts as empty and
 has no words, places or labels. Rows are scanned one by one: equal rows and null ids get equal results. An empty table
@@ -59,7 +64,7 @@ class Join:
     def __init__(self, templates: dict[str, str], counts: dict[bytes, int], threshold: float):
         vocabulary = {w for t in templates.values() for w in t.encode().split()}
         self.rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
-        self.labels, self.words, self.need = [], [], []
+        self.labels, self.words, self.need, self.longest = [], [], [], []
         self.prefix: dict[bytes, list[int]] = defaultdict(list)
         for label, template in sorted(templates.items()):
             ordered = sorted(set(template.encode().split()), key=self.rank.__getitem__)
@@ -69,6 +74,7 @@ class Join:
             self.labels.append(label)
             self.words.append(ordered)
             self.need.append(need)
+            self.longest.append(math.floor(len(template.split()) / threshold + 1e-9))
         self.starts = frozenset(self.prefix)
 
     def matches(self, block: set[bytes]) -> dict[str, float]:
@@ -90,6 +96,35 @@ class Join:
         return out
 
 
+    def notices(self, words: list[bytes], held: set[bytes]) -> list[tuple[int, str, float]]:
+        """(index of the first word, label, share) of each notice; of windows that overlap, the first with the largest share."""
+        out = []
+        for t in sorted({t for word in self.starts & held for t in self.prefix[word]}):
+            label, sought, need, longest = self.labels[t], set(self.words[t]), self.need[t], self.longest[t]
+            if len(sought & held) < need:
+                continue
+            found = [i for i, w in enumerate(words) if w in sought]
+            inside: Counter = Counter()
+            first, best = 0, (0, 0, 0)  # words in common, start and end of the best window that is still open
+            for i in found:
+                inside[words[i]] += 1
+                while found[first] <= i - longest:
+                    gone = words[found[first]]
+                    inside[gone] -= 1
+                    if not inside[gone]:
+                        del inside[gone]
+                    first += 1
+                start = found[first]
+                if best[0] and start >= best[2]:
+                    out.append((best[1], label, best[0] / len(sought)))
+                    best = (0, 0, 0)
+                if len(inside) >= max(need, best[0] + 1):
+                    best = (len(inside), start, i + 1)
+            if best[0]:
+                out.append((best[1], label, best[0] / len(sought)))
+        return sorted(out)
+
+
 def places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:
     """(index of the first word, label) of each place where a phrase's words stand one after another."""
     line = b" " + b" ".join(words) + b" "
@@ -107,9 +142,10 @@ def places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8,
          templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None) -> DataFrame:
-    """One row per document: key, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks.
+    """One row per document: key, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks, notices.
 
-    `blocks` lists (line, label, share) of the join; `score` is 1 with a phrase, else the largest share found, else 0.
+    `blocks` lists (line, label, share) of the join of lines, `notices` (word, label, share) of windows; `score` is 1 with
+    a phrase, else the largest share of a notice, else 0.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
     vocabulary = {w for t in templates.values() for w in t.encode().split()}
@@ -117,23 +153,25 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     endings = {p.split()[-1].encode() for p in phrases}
     kinds = {"key": pa.int64(), "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(),
              "last_word": pa.int64(), "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64(),
-             "blocks": pa.list_(pa.struct([("line", pa.int64()), ("label", pa.string()), ("share", pa.float64())]))}
+             "blocks": pa.list_(pa.struct([("line", pa.int64()), ("label", pa.string()), ("share", pa.float64())])),
+             "notices": pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string()), ("share", pa.float64())]))}
 
     def one(text: str):
         data = text.encode()
         words = words_of(data)
         held = set(words)
         found = places(words, phrases) if endings & held else []
-        blocks = []
+        blocks, notices = [], []
         if join.starts & held:
             for number, line in enumerate(data.split(b"\n")):
                 shares = join.matches(set(words_of(line)))
                 blocks += [{"line": number, "label": label, "share": share} for label, share in sorted(shares.items())]
+            notices = [{"word": at, "label": label, "share": share} for at, label, share in join.notices(words, held)]
         starts, base = [i for i, _ in found], {label for _, label in found}
-        every = base | {b["label"] for b in blocks}
-        score = 1.0 if found else max((b["share"] for b in blocks), default=0.0)
+        every = base | {x["label"] for x in notices}
+        score = 1.0 if found else max((x["share"] for x in notices), default=0.0)
         return (len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
-                ",".join(sorted(every)), score, blocks)
+                ",".join(sorted(every)), score, blocks, notices)
 
     def run(batches):
         for batch in batches:
@@ -144,5 +182,6 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
 
     found = docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(
         run, "key bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
-             "labels string, score double, blocks array<struct<line: bigint, label: string, share: double>>")
+             "labels string, score double, blocks array<struct<line: bigint, label: string, share: double>>, "
+             "notices array<struct<word: bigint, label: string, share: double>>")
     return found.withColumnRenamed("key", key)

@@ -458,6 +458,18 @@ def test_license_join_equals_brute_force(spark):
     assert total > 20 and found[900].labels == "text-mit"
 
 
+def test_notices_across_lines(spark):
+    wrapped = {label: t.split() for label, t in licenses.TEMPLATES.items() if label.startswith("text")}
+    rows = [(k, "some code\n" + "\n".join(f" * {' '.join(w[i:i + 10])}" for i in range(0, len(w), 10)) + "\nmore of it")
+            for k, w in enumerate(wrapped.values())]
+    filler = " ".join(f"w{k}" for k in range(40))
+    rows += [(100, f"it was released {filler} under {filler} the driving license {filler} mit")]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, label in enumerate(wrapped):
+        assert label in found[k].labels.split(",") and [(n.word, n.label, n.share) for n in found[k].notices] == [(2, label, 1.0)]
+    assert (found[100].labels, found[100].score) == ("", 0)
+
+
 # 10: quality
 
 def brute_counts(text):
