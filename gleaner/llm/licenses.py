@@ -1,8 +1,8 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license notices.
 
 A notice is a window of consecutive words, across line ends, that is about as long as a template: the template may make
-up no less than `threshold` of it, and it holds at least that share of the template's words. Labels and score come from
-phrases and notices.
+up no less than `threshold` of it, and it holds at least that share of the template's words and, where the template names
+a license, the name, so the notice of another license doesn't count. Labels and score come from phrases and notices.
 
 A block is a line of any length; blocks are where a template's words stand in one line, and label nothing. Of each
 template, the words' set is ordered by how many blocks of the whole table hold a word, rarest first. A block can hold the share `threshold` of a template's words only if it has enough words (length filter), holds one
@@ -16,6 +16,7 @@ gives an empty result. Other columns are not read.
 """
 
 import math
+import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -36,6 +37,12 @@ TEMPLATES = {
     "text-bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that "
                 "the following conditions are met",
 }
+# How a notice names its license, in words with a space after each.
+GPL = re.compile(rb"\b(?<!lesser )(?<!library )(?<!affero )(?:general public license|gpl) ")
+NAMES = {
+    "notice-gpl": GPL, "text-gpl": GPL, "notice-apache": re.compile(rb"\bapache (?:\S+ ){0,2}license "),
+    "notice-mit": re.compile(rb"\bmit (?:\S+ ){0,2}license "), "notice-cc-by": re.compile(rb"\b(?:cc|commons) by (?!(?:sa|nc|nd) )"),
+}
 SPLIT = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 
@@ -101,7 +108,8 @@ class Join:
         out = []
         for t in sorted({t for word in self.starts & held for t in self.prefix[word]}):
             label, sought, need, longest = self.labels[t], set(self.words[t]), self.need[t], self.longest[t]
-            if len(sought & held) < need:
+            name = NAMES.get(label)
+            if len(sought & held) < need or name and not name.search(b" ".join(words) + b" "):
                 continue
             found = [i for i, w in enumerate(words) if w in sought]
             inside: Counter = Counter()
@@ -118,7 +126,7 @@ class Join:
                 if best[0] and start >= best[2]:
                     out.append((best[1], label, best[0] / len(sought)))
                     best = (0, 0, 0)
-                if len(inside) >= max(need, best[0] + 1):
+                if len(inside) >= max(need, best[0] + 1) and (not name or name.search(b" ".join(words[start:start + longest]) + b" ")):
                     best = (len(inside), start, i + 1)
             if best[0]:
                 out.append((best[1], label, best[0] / len(sought)))

@@ -470,6 +470,21 @@ def test_notices_across_lines(spark):
     assert (found[100].labels, found[100].score) == ("", 0)
 
 
+def test_notices_of_other_licenses(spark):
+    filler = " ".join(f"w{k}" for k in range(40))
+    others = ["Released under the Apache License", "Released under the BSD License", "Licensed under the MIT License, Version 2.0",
+              f"mit {filler} license released under the", "Released under the driving license; MIT",
+              "This work is licensed under the GNU Lesser General Public License version 3", "This work is licensed under CC BY-SA 4.0"]
+    rows = [(100 + k, t) for k, t in enumerate(others)]
+    own = ["Released under the\nMIT open source License", "Licensed under the Apache\nLicense, Version 2.0",
+           "This work is licensed under the\nGNU General Public License, version 3", "This work is licensed\nunder CC BY 4.0"]
+    rows += [(200 + k, t) for k, t in enumerate(own)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[100 + k].labels for k in range(len(others))] == ["apache", "", "mit,notice-mit", "", "", "", "cc-by"]
+    assert found[101].score == found[103].score == found[104].score == found[105].score == 0
+    assert [[n.label for n in found[200 + k].notices] for k in range(4)] == [["notice-mit"], ["notice-apache"], ["notice-gpl"], ["notice-cc-by"]]
+
+
 # 10: quality
 
 def brute_counts(text):
