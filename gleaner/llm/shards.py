@@ -2,11 +2,11 @@
 
 Ranges that still hold too much (one key with very many rows) are subdivided by a row number that was written with the
 rows. Sizes are added up by range first, then inside each range, so each row knows its byte offset in key order, and
-shard boundaries fall at equal shares of all bytes: shards differ by the size of one record at most. The text is read
-once and never shuffled.
+shard boundaries fall at equal shares of all bytes: shards differ by the size of one record at most. Whole records are
+written once with their row number and shuffled once, to their ranges; `save` writes a folder of each shard.
 
 Null text counts as empty, a null key sorts first. Rows with equal keys are ordered by checksum and size; rows that
-equal each other in those too may swap slots. An empty table gives an empty result. Other columns are not read.
+equal each other in those too may swap slots. An empty table gives an empty result. All columns are kept.
 """
 
 import math
@@ -18,11 +18,14 @@ from gleaner.sources.staging import stage
 OVERHEAD = 16  # fixed value: bytes that each record takes besides its text
 
 
+def _size_and_checksum(text: F.Column) -> list[F.Column]:
+    whole = F.encode(F.coalesce(text, F.lit("")), "UTF-8")
+    return [(F.octet_length(whole) + OVERHEAD).cast("long").alias("size"), F.crc32(whole).cast("long").alias("text_crc32")]
+
+
 def sized(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, size, text_crc32) of each row."""
-    whole = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    return docs.select(F.col(key).cast("long").alias("key"), (F.octet_length(whole) + OVERHEAD).cast("long").alias("size"),
-                       F.crc32(whole).cast("long").alias("text_crc32"))
+    """(key, size, text_crc32, record) of each row; the record holds all its columns."""
+    return docs.select(F.col(key).cast("long").alias("key"), *_size_and_checksum(F.col(text)), F.struct("*").alias("record"))
 
 
 def splitters(rows: DataFrame, ranges: int, total: int, per_range: int = 32) -> list[int]:
@@ -49,9 +52,9 @@ def range_of(column: str, bounds: list[int]) -> F.Column:
     return F.expr(found)
 
 
-def shard(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
+def place(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
           overfull: float = 2.0) -> DataFrame:
-    """One row per record: key, size, text_crc32, shard, slot.
+    """The whole records with their shard and slot, in the partitions of their ranges.
 
     Shard s holds the records whose first byte, in key order, is in the s-th of `shards` equal parts of all bytes.
     """
@@ -80,10 +83,22 @@ def shard(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "t
     offset = F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
     placed = split.select("*", offset.alias("offset"), (F.row_number().over(inside) - 1).alias("rank"))
     placed = placed.join(F.broadcast(starts), ["range", "piece"]).select(
-        "key", "size", "text_crc32",
-        F.floor((F.col("bytes_before") + F.col("offset")) / F.lit(max(total, 1) / shards)).cast("int").alias("shard"),
+        "record", F.least(F.floor((F.col("bytes_before") + F.col("offset")) / F.lit(max(total, 1) / shards)),
+                          F.lit(shards - 1)).cast("int").alias("shard"),
         (F.col("records_before") + F.col("rank")).alias("rank"))
-    placed = stage(placed.withColumn("shard", F.least("shard", F.lit(shards - 1))), "placed")
-    first = placed.groupBy("shard").agg(F.min("rank").alias("first"))  # one row per shard
+    first = placed.groupBy("shard").agg(F.min("rank").alias("first"))  # one row per shard, from the narrow columns alone
+    kept = [F.col("record")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")]
     return placed.join(F.broadcast(first), "shard").select(
-        F.col("key").alias(key), "size", "text_crc32", "shard", (F.col("rank") - F.col("first")).cast("long").alias("slot"))
+        *kept, "shard", (F.col("rank") - F.col("first")).cast("long").alias("slot"))
+
+
+def shard(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
+          overfull: float = 2.0) -> DataFrame:
+    """Digests of the placed records: key, size, text_crc32, shard, slot."""
+    return place(docs, shards, key, text, rows_per_range, overfull).select(
+        F.col(key).cast("long").alias(key), *_size_and_checksum(F.col(text)), "shard", "slot")
+
+
+def save(placed: DataFrame, path: str) -> None:
+    """Write the records, one folder for each shard, in order of slot within each file."""
+    placed.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -384,6 +384,18 @@ def test_shards_of_a_hot_key(spark):
     check_shards(rows, shards.shard(frame, 8, rows_per_range=100).collect(), 8)
 
 
+def test_whole_records_reach_their_shards(spark, docs, tmp_path):
+    placed = shards.place(docs, 4)
+    assert placed.columns == [*docs.columns, "shard", "slot"]
+    shards.save(placed, str(tmp_path / "shards"))
+    saved = spark.read.parquet(str(tmp_path / "shards")).select(placed.columns).collect()
+    assert collections.Counter(r[:-2] for r in saved) == collections.Counter(tuple(r) for r in docs.collect())
+    want = collections.Counter(tuple(r) for r in shards.shard(docs, 4).collect())
+    assert collections.Counter((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode()), r.shard, r.slot)
+                               for r in saved) == want
+    assert {f.name for f in (tmp_path / "shards").glob("shard=*")} == {f"shard={k}" for k in {r.shard for r in saved}}
+
+
 # 7: lines
 
 def brute_lines(rows):
