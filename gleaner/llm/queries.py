@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from gleaner.llm import ann, bpe, lengths, licenses, lines, ngram_join, packing, quality, shards, substring
+from gleaner.llm import ann, bpe, interactions, lengths, licenses, lines, ngram_join, packing, quality, shards, substring
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,9 +75,15 @@ def op10_weak_supervision(spark, sf):
         "doc_id", *quality.COUNTS, "base_failed", "kept", "posterior", *[f"vote_{r}" for r in quality.RULES])
 
 
+def op13_filter_potentials(spark, sf):
+    """What five filters remove in every order, and their Shapley shares, per language."""
+    return interactions.audit(_table(spark, sf), _table(spark, sf, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_substring_dedup, op3_hilbert_neighbours, op4_power_packing, op5_lexicon_bpe, op6_sampled_splitters,
-    op7_line_windows, op8_length_histogram, op9_license_join, op10_weak_supervision)}
+    op7_line_windows, op8_length_histogram, op9_license_join, op10_weak_supervision,
+    op13_filter_potentials)}
 
 ORACLE = {
     "op1_ngram_join": r"""
@@ -114,4 +120,40 @@ ORACLE = {
                                       ELSE coalesce(m.rest, '') END AS text,
                coalesce(array_to_string(m.removed, ','), '') AS removed_lines
         FROM documents JOIN m ON documents.doc_id = m.doc_id""",
+    "op13_filter_potentials": r"""
+        WITH l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws,
+                   coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS again
+            FROM documents),
+        f AS (
+            SELECT part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+                          100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+                          regexp_matches(t, '[#$%&*|]'), again] AS fails,
+                   coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+            FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+        c AS (SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM f GROUP BY ALL),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+        o AS (SELECT p.l || q.l || r.l || s.l || t.l AS filter_order FROM x p, x q, x r, x s, x t
+              WHERE len(list_distinct([p.l, q.l, r.l, s.l, t.l])) = 5),
+        k AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM o),
+        m AS (
+            SELECT part, filter_order, step, substr(filter_order, step, 1) AS own, n, good, toxic,
+                   fails[ascii(substr(filter_order, step, 1)) - 64] AS here,
+                   len([i FOR i IN range(1, step) IF fails[ascii(substr(filter_order, i, 1)) - 64]]) > 0 AS gone,
+                   len([b FOR b IN fails IF b]) = 1 AS alone
+            FROM c, k),
+        a AS (
+            SELECT part, filter_order, step, own,
+                   (sum(n) FILTER (WHERE NOT here AND NOT gone)) AS kept, sum(n) FILTER (WHERE here AND NOT gone) AS removed,
+                   sum(n) FILTER (WHERE here AND gone) AS redundant, sum(n) FILTER (WHERE here AND alone) AS unique_fails,
+                   sum(good) FILTER (WHERE here AND NOT gone) AS good_lost,
+                   sum(toxic) FILTER (WHERE here AND NOT gone) AS toxic_lost
+            FROM m GROUP BY ALL)
+        SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+               coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+               coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+        FROM a""",
 }
