@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from gleaner.llm import ann, bpe, interactions, lengths, licenses, lines, ngram_join, packing, quality, shards, substring
+from gleaner.llm import ann, bpe, interactions, lengths, licenses, lines, negatives, ngram_join, packing, quality, shards, substring
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,16 @@ def op10_weak_supervision(spark, sf):
         "doc_id", *quality.COUNTS, "base_failed", "kept", "posterior", *[f"vote_{r}" for r in quality.RULES])
 
 
+def op12_threshold_negatives(spark, sf):
+    """Up to ten hard negatives for each of the five positives of every 100th vector."""
+    rows = _table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(256 * x))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = rows.filter(finite).select("vec_id", moved.alias("label"), whole.alias("embedding"))
+    return negatives.hard_negatives(rows)
+
+
 def op13_filter_potentials(spark, sf):
     """What five filters remove in every order, and their Shapley shares, per language."""
     return interactions.audit(_table(spark, sf), _table(spark, sf, "labels"))
@@ -83,7 +93,7 @@ def op13_filter_potentials(spark, sf):
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_substring_dedup, op3_hilbert_neighbours, op4_power_packing, op5_lexicon_bpe, op6_sampled_splitters,
     op7_line_windows, op8_length_histogram, op9_license_join, op10_weak_supervision,
-    op13_filter_potentials)}
+    op12_threshold_negatives, op13_filter_potentials)}
 
 ORACLE = {
     "op1_ngram_join": r"""
@@ -120,6 +130,26 @@ ORACLE = {
                                       ELSE coalesce(m.rest, '') END AS text,
                coalesce(array_to_string(m.removed, ','), '') AS removed_lines
         FROM documents JOIN m ON documents.doc_id = m.doc_id""",
+    "op12_threshold_negatives": r"""
+        WITH v AS (
+            SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+            FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.e) = len(b.e)),
+        p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score,
+                   row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r
+            FROM s WHERE same QUALIFY r <= 5),
+        n AS (
+            SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, r ORDER BY score DESC, id)::INTEGER AS rank,
+                   id AS negative_id, positive_score, score AS negative_score
+            FROM p JOIN s USING (anchor_id)
+            WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT * FROM n WHERE rank <= 10""",
     "op13_filter_potentials": r"""
         WITH l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
         d AS (
