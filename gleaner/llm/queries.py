@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from gleaner.llm import ann, bpe, interactions, lengths, licenses, lines, negatives, ngram_join, packing, quality, shards, substring
+from gleaner.llm import (ann, bpe, descent, interactions, lengths, licenses, lines, negatives, ngram_join, packing, quality,
+                         shards, substring)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +76,11 @@ def op10_weak_supervision(spark, sf):
         "doc_id", *quality.COUNTS, "base_failed", "kept", "posterior", *[f"vote_{r}" for r in quality.RULES])
 
 
+def op11_nn_descent(spark, sf):
+    """Links, component and whether it stays, of every vector."""
+    return descent.near_duplicates(_table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op12_threshold_negatives(spark, sf):
     """Up to ten hard negatives for each of the five positives of every 100th vector."""
     rows = _table(spark, sf, "embeddings")
@@ -93,7 +99,7 @@ def op13_filter_potentials(spark, sf):
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_substring_dedup, op3_hilbert_neighbours, op4_power_packing, op5_lexicon_bpe, op6_sampled_splitters,
     op7_line_windows, op8_length_histogram, op9_license_join, op10_weak_supervision,
-    op12_threshold_negatives, op13_filter_potentials)}
+    op11_nn_descent, op12_threshold_negatives, op13_filter_potentials)}
 
 ORACLE = {
     "op1_ngram_join": r"""
@@ -130,6 +136,18 @@ ORACLE = {
                                       ELSE coalesce(m.rest, '') END AS text,
                coalesce(array_to_string(m.removed, ','), '') AS removed_lines
         FROM documents JOIN m ON documents.doc_id = m.doc_id""",
+    "op11_nn_descent": r"""
+        WITH RECURSIVE v AS (SELECT DISTINCT vec_id AS id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings WHERE vec_id IS NOT NULL),
+        u AS (SELECT *, sqrt(list_inner_product(e, e)) AS n FROM v
+              WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+                AND len([x FOR x IN e IF x <> 0]) > 0),
+        k AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.id <> b.id AND len(a.e) = len(b.e)
+              WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+        r AS (SELECT id AS a, id AS b FROM v UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a)
+        SELECT id AS vec_id, (SELECT count(*) FROM k WHERE k.a = v.id) AS n_links,
+               (SELECT min(r.b) FROM r WHERE r.a = v.id) AS component_id,
+               (SELECT min(r.b) FROM r WHERE r.a = v.id) = id AS kept
+        FROM v""",
     "op12_threshold_negatives": r"""
         WITH v AS (
             SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
