@@ -3,11 +3,14 @@
 from functools import reduce
 
 from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
-from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, Tokenizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.feature import HashingTF, IDF, Tokenizer
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gleaner.functions import text as tx
+from gleaner.functions.numbering import numbered
 from gleaner.operators import weights
+from gleaner.sources.staging import new_path, stage
 
 FEATURE_TYPES = ("count", "tfidf")
 METHODS = ("kmeans", "bisecting", "lda")
@@ -25,15 +28,61 @@ def count_vocabulary(records: DataFrame, vocab_size: int = 10_000, min_share: fl
     return weights.top(kept.select(F.col("lemma").alias("term"), "n", "df"), "n", "term", vocab_size)
 
 
-def count_vectors(records: DataFrame, vocab_size: int = 10_000, min_share: float = 0.1):
-    """Bag-of-words vectors in `features`, and the fitted model with its vocabulary."""
-    df = records.withColumn("words", tx.words("text", lowercase=False))
-    return _vectorize(df, "words", vocab_size, max(1, _min_df(records, min_share)))
+def doc_terms(lists: DataFrame, column: str = "lemmas", key: str = "doc_id") -> DataFrame:
+    """(key, lemma, n), written out: the words of each record with their counts, and a row without lemma for the record itself."""
+    none = F.array(F.lit(None).cast("string"))
+    words = F.explode(F.concat(none, F.coalesce(F.col(column), F.array().cast("array<string>"))))
+    return stage(lists.select(key, words.alias("lemma")).groupBy(key, "lemma").agg(F.count(F.lit(1)).alias("n")), "doc-terms")
 
 
-def _vectorize(df, column, vocab_size, min_df):
-    model = CountVectorizer(inputCol=column, outputCol="features", vocabSize=vocab_size, minDF=min_df).fit(df)
-    return model.transform(df).drop(column), model
+def term_numbers(terms: DataFrame, limit: int = None, min_share: float = None) -> DataFrame:
+    """(lemma, n, df, number): the words of `doc_terms` in order of frequency, numbered from 0.
+
+    The numbers come from sorted ranges, so the list is never in one place. `min_share` is the share of the records that a
+    word must be in, `limit` the length of the list.
+    """
+    counts = (terms.filter("lemma IS NOT NULL").groupBy("lemma")
+              .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df")))
+    if min_share is not None:
+        records = terms.filter("lemma IS NULL").agg(F.count(F.lit(1))).scalar()
+        counts = counts.filter(F.col("df") >= F.greatest(F.lit(1), (records * F.lit(min_share)).cast("bigint")))
+    if limit is not None:
+        counts = weights.top(counts, "n", "lemma", limit)
+    return stage(numbered(counts, F.desc("n"), F.asc("lemma")), "terms")
+
+
+def sparse_vectors(terms: DataFrame, numbers: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, features): the counts of each record as a sparse vector along the numbers, written out.
+
+    Records and words meet in a join of (key, lemma, n) rows with the numbers, so no task holds the vocabulary. Both sides
+    are written tables, and a word that most records hold is split by its measured size.
+    """
+    entry = F.when(F.col("number").isNotNull(),
+                   F.struct(F.col("number").cast("int").alias("number"), F.col("n").cast("double").alias("n")))
+    rows = (terms.join(numbers.select("lemma", "number"), "lemma", "left")
+            .groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries")))  # the words of one record
+    size = max(1, numbers.count())
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.col("_entries").getField("number").alias("indices"), F.col("_entries").getField("n").alias("values"))
+    path = new_path(terms.sparkSession, "vectors")
+    rows.select(key, vector.alias("features")).write.parquet(path)
+    # The struct is how Spark stores a vector, so it is read back as one.
+    schema = T.StructType([terms.schema[key], T.StructField("features", VectorUDT())])
+    return terms.sparkSession.read.schema(schema).parquet(path)
+
+
+def count_vectors(records: DataFrame, vocab_size: int = 10_000, min_share: float = 0.1, key: str = "doc_id"):
+    """Bag-of-words vectors (key, features), and their words (lemma, n, df, number)."""
+    terms = doc_terms(records.select(key, tx.words("text", lowercase=False).alias("lemmas")), key=key)
+    numbers = term_numbers(terms, vocab_size, min_share)
+    return sparse_vectors(terms, numbers, key), numbers
+
+
+def _vectorize(df, column, vocab_size, min_df, key="doc_id"):
+    terms = doc_terms(df, column, key)
+    numbers = term_numbers(terms, vocab_size)
+    numbers = numbers if min_df <= 1 else stage(numbered(numbers.drop("number").filter(F.col("df") >= min_df), F.desc("n"), "lemma"), "terms")
+    return sparse_vectors(terms, numbers, key), numbers
 
 
 def hashed_tfidf(records: DataFrame, num_features: int = 10_000, min_share: float = 0.1) -> DataFrame:
@@ -45,7 +94,7 @@ def hashed_tfidf(records: DataFrame, num_features: int = 10_000, min_share: floa
 
 
 def compute_features(records: DataFrame, feature_type: str = "count", size: int = 10_000) -> DataFrame:
-    """Vectors for clustering: 'count' or 'tfidf'."""
+    """Vectors for clustering: 'count' (with the key alone) or 'tfidf'."""
     if feature_type == "count":
         return count_vectors(records, size)[0]
     if feature_type == "tfidf":
@@ -143,26 +192,31 @@ def exemplars(clustered: DataFrame, method: str = "kmeans", key: str = "doc_id")
     return clustered.join(chosen, ["cluster", key], "left_semi")
 
 
-def topics(model, vocabulary, num_words: int = 2) -> DataFrame:
-    """Strongest words of each topic: (topic, rank, term, weight)."""
-    described = model.describeTopics(num_words)
-    terms = described.sparkSession.createDataFrame(list(enumerate(vocabulary)), "termIndex int, term string")
+def topics(model, numbers: DataFrame, num_words: int = 2) -> DataFrame:
+    """Strongest words of each topic: (topic, rank, term, weight), from the words' numbers(lemma, number)."""
+    described = model.describeTopics(num_words)  # k x num_words entries
     rows = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "entry"))
-    return (rows.select("topic", "rank", F.col("entry.termIndices").alias("termIndex"),
-                        F.col("entry.termWeights").alias("weight"))
-            .join(F.broadcast(terms), "termIndex").select("topic", "rank", "term", "weight"))
+    rows = rows.select("topic", "rank", F.col("entry.termIndices").cast("bigint").alias("number"),
+                       F.col("entry.termWeights").alias("weight"))
+    return (numbers.select("number", F.col("lemma").alias("term")).join(F.broadcast(rows), "number")
+            .select("topic", "rank", "term", "weight"))
 
 
 def topic_sweep(lists: DataFrame, ks=(10, 9, 8, 7, 6), num_words: int = 2, vocab_size: int = None, passes: int = 20,
-                seed: int = 7) -> DataFrame:
-    """Topic models for several k on lemma lists: (k, topic, rank, term, weight); without `vocab_size` on all lemmas."""
-    vectors, counter = _vectorize(lists, "lemmas", vocab_size or 2 ** 31 - 1, 1)
-    vectors = vectors.select("features").persist()
+                seed: int = 7, key: str = "doc_id") -> DataFrame:
+    """Topic models for several k on lemma lists: (k, topic, rank, term, weight); without `vocab_size` on all lemmas.
+
+    Fitted by expectation-maximisation on the graph of records and words, where the weights of a word are held beside it:
+    neither the words nor the topics' weights come to the driver, only the strongest `num_words` of each topic.
+    """
+    terms = doc_terms(lists, key=key)
+    numbers = term_numbers(terms, vocab_size)
+    vectors = sparse_vectors(terms, numbers, key).select("features").persist()
     try:
         parts = []
         for k in ks:
-            model = LDA(k=k, featuresCol="features", maxIter=passes, seed=seed).fit(vectors)
-            parts.append(topics(model, counter.vocabulary, num_words).select(F.lit(k).alias("k"), "*"))
+            model = LDA(k=k, featuresCol="features", maxIter=passes, seed=seed, optimizer="em").fit(vectors)
+            parts.append(topics(model, numbers, num_words).select(F.lit(k).alias("k"), "*"))
     finally:
         vectors.unpersist()
     return reduce(DataFrame.unionByName, parts)

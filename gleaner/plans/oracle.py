@@ -260,6 +260,15 @@ oracle("chi2_features", "SELECT item, df, round(CASE WHEN (a + b) * (c + d) * (a
 oracle("count_vocab", "SELECT token AS term, count(*) AS n, count(DISTINCT doc_id) AS df FROM cased GROUP BY token HAVING "
        "count(DISTINCT doc_id) >= greatest(1, CAST(floor((SELECT docs FROM size) * CAST(0.1 AS DOUBLE)) AS BIGINT)) ORDER BY "
        "n DESC, term LIMIT 10000", "cased", "size")
+part("termno", "SELECT lemma, n, df, row_number() OVER (ORDER BY n DESC, lemma) - 1 AS number FROM @wc JOIN @dfs USING (lemma)")
+oracle("term_numbers", "SELECT * FROM termno", "termno")
+VECTOR = ("SELECT doc_id, coalesce(string_agg(number, ',' ORDER BY number), '') AS numbers, coalesce(string_agg(c, ',' ORDER BY "
+          "number), '') AS counts{} FROM docs LEFT JOIN (SELECT doc_id, number, count(*) AS c FROM {} GROUP BY ALL) "
+          "USING (doc_id) GROUP BY doc_id")
+oracle("term_vectors", VECTOR.format(", (SELECT count(*) FROM termno) AS size", "lem JOIN termno USING (lemma)"), "docs", "lem", "termno")
+part("casedno", "SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS number FROM @cased GROUP BY token HAVING "
+     "count(DISTINCT doc_id) >= greatest(1, CAST(floor((SELECT docs FROM @size) * CAST(0.1 AS DOUBLE)) AS BIGINT)) QUALIFY number < 10000")
+oracle("count_vectors", VECTOR.format("", "cased JOIN casedno USING (token)"), "docs", "cased", "casedno")
 oracle("cluster_sizes", "SELECT label AS cluster, count(*) AS size FROM embeddings GROUP BY label")
 oracle("cluster_size_stats", "SELECT min(size) AS min, quantile_cont(size, 0.5) AS median, quantile_cont(size, 0.75) - "
        "quantile_cont(size, 0.25) AS iqr, max(size) AS max FROM (SELECT count(*) AS size FROM embeddings GROUP BY label)")

@@ -384,6 +384,33 @@ def lda_clusters(spark, sf):
     return cluster.do_cluster(vectors, "lda", 5)[0].select("doc_id", "cluster", "closeness")
 
 
+def _numbered(spark, sf):
+    terms = cluster.doc_terms(t.lists(spark, sf))
+    return terms, cluster.term_numbers(terms)
+
+
+@query
+def term_numbers(spark, sf):
+    return _numbered(spark, sf)[1]
+
+
+@query
+def term_vectors(spark, sf):
+    parts = F.unwrap_udt("features")
+    found = cluster.sparse_vectors(*_numbered(spark, sf))
+    return found.select("doc_id", F.array_join(parts["indices"].cast("array<string>"), ",").alias("numbers"),
+                        F.array_join(parts["values"].cast("array<bigint>").cast("array<string>"), ",").alias("counts"),
+                        parts["size"].cast("bigint").alias("size"))
+
+
+@query
+def count_vectors(spark, sf):
+    vectors, _ = cluster.count_vectors(t.records(spark, sf))
+    parts = F.unwrap_udt("features")
+    return vectors.select("doc_id", F.array_join(parts["indices"].cast("array<string>"), ",").alias("numbers"),
+                          F.array_join(parts["values"].cast("array<bigint>").cast("array<string>"), ",").alias("counts"))
+
+
 @query
 def lda_topic_sweep(spark, sf):
     return cluster.topic_sweep(t.lists(spark, sf))
