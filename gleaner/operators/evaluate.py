@@ -1,7 +1,9 @@
 """Evaluation of summaries: ROUGE recall, its bootstrap interval, the best sentence pair, entity coverage."""
 
+from functools import reduce
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gleaner.functions import text as tx, vocab
 from gleaner.functions.joins import lookup_join
@@ -90,58 +92,100 @@ def rouge_bootstrap(scores: DataFrame, replicates: int = 1000, key: str = "doc_i
                        F.round(F.col("cuts")[1], 6).alias("high"))
 
 
-def _bags(sentences, key, kind, options):
-    # The k-th occurrence of a gram becomes its own item, so that shared items count like shared occurrences. Equal
-    # sentences (as bags of grams) become one row with the first key: copies cost nothing later.
-    keyed = sentences.select(F.struct(*key).alias("key"), rouge_tokens("text", **options).alias("_tokens"))
-    keyed = keyed.select("key", F.sort_array(_grams(F.col("_tokens"), kind)).alias("grams"))
-    item = F.transform("grams", lambda g, i: F.concat(
-        g, F.lit("#"), (i - F.array_position("grams", g) + 1).cast("string")))
-    return keyed.select("key", item.alias("bag")).groupBy("bag").agg(F.min("key").alias("key"))
-
-
-def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, golden_key, kind=1, **options) -> DataFrame:
-    """The predicted and golden sentence with the highest ROUGE recall, the first pair by key on ties.
+def _bags(tokens: DataFrame, kind) -> DataFrame:
+    """(key, bag, grams), written out: the gram occurrences of each sentence, and its different grams with their counts.
 
-    Exact without pairing all sentences that share a word: the rarest shared gram of each golden sentence gives a score
-    that some pair reaches; a pair of m golden grams that scores at least t must share one of the m - ceil(t m) + 1
-    rarest of them, so only those are joined.
+    The k-th occurrence of a gram is an item of its own, so that shared items count like shared occurrences. Sentences that
+    are equal as bags become one row with the first key: copies cost nothing later.
     """
-    pred = stage(_bags(predicted, list(predicted_key), kind, options), "predicted").filter(F.size("bag") > 0)
-    gold = stage(_bags(golden, list(golden_key), kind, options), "golden").filter(F.size("bag") > 0)
-    held = pred.select(F.col("key").alias("p"), F.explode("bag").alias("gram"))
-    wanted = gold.select(F.col("key").alias("g"), F.size("bag").alias("m"), F.explode("bag").alias("gram"))
-    counts = lookup_join(held, wanted.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(
-        F.count(F.lit(1)).alias("df"))
-    # Rarest first; the grams of one golden sentence are a short array.
-    ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")))
-    ordered = stage(wanted.join(counts, "gram", "left").groupBy("g", "m").agg(ranked.alias("o")), "ordered")
-
-    def scored(prefixes):
-        pairs = lookup_join(held, prefixes, "gram").select("p", "g").distinct()
+    sorted_grams = tokens.select("key", F.sort_array(_grams(F.col("tokens"), kind)).alias("s")).filter(F.size("s") > 0)
+    same = F.sha2(F.array_join("s", "\u0001"), 256)
+    once = sorted_grams.groupBy(same.alias("digest")).agg(F.min(F.struct("key", "s")).alias("x")).select("x.key", "x.s")
+    # Runs of equal grams in the sorted array, each from its start to the next one's.
+    starts = "filter(sequence(0, size(s) - 1), i -> i = 0 or s[i] <> s[greatest(i - 1, 0)])"
+    runs = (f"transform(array({starts}), a -> zip_with(a, concat(slice(a, 2, size(a)), array(size(s))), "
+            "(i, j) -> named_struct('gram', s[i], 'n', j - i)))[0]")
+    counted = once.select("key", F.expr(runs).alias("grams"))
+    items = "flatten(transform(grams, g -> transform(sequence(1, g.n), k -> concat(g.gram, '#', cast(k as string)))))"
+    return stage(counted.select("key", F.expr(items).alias("bag"), "grams"), "bags")
+
+
+FIRST_CAP, WIDER = 16, 16  # sentences that hold a gram of the first round, and how many times as many in each later one
+
+
+def _needed(score: float) -> Column:
+    """Gram occurrences that a golden sentence of m must share for a score; a hair less, as scores are rounded quotients."""
+    return F.ceil(F.lit(score) * F.col("m") - F.lit(1e-9))
+
+
+def _best_pair(pred: DataFrame, gold: DataFrame) -> DataFrame:
+    """(score, p, g), one row: the pair with the highest share of the golden bag, the first one on ties."""
+    wanted = gold.select(F.col("key").alias("g"), F.size("bag").alias("m"), F.inline("grams"))
+    grams = wanted.select("gram").distinct()
+    held = pred.select(F.col("key").alias("p"), F.size("bag").alias("length"), F.explode("grams.gram").alias("gram"))
+    held = stage(held.join(grams, "gram", "left_semi"), "held")
+    counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # Grams that no predicted sentence holds come first: they take up room in a prefix, but join with nothing.
+    rarest = Window.partitionBy("g").orderBy("df", "gram").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = (wanted.join(counts, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+               .withColumn("before", F.coalesce(F.sum("n").over(rarest), F.lit(0))))  # one sentence's grams
+    ordered = stage(ordered.filter("df > 0").select("g", "m", "gram", "df", "before"), "ordered")
+
+    def open_grams(least, above):
+        # A pair that shares none of the grams before has at most m - before in common.
+        return ordered.filter((F.col("df") > above) & (F.col("m") - F.col("before") >= F.greatest(F.lit(1), _needed(least))))
+
+    best, least, cap = [], 0.0, 0
+    while True:
+        nearest = open_grams(least, cap).agg(F.min("df")).first()[0]
+        if nearest is None:
+            break
+        above, cap = cap, max(nearest, WIDER * cap or FIRST_CAP)
+        some = open_grams(least, above).filter(F.col("df") <= cap)
+        pairs = stage(held.join(some, "gram").filter(F.col("length") >= _needed(least)).select("p", "g").distinct(), "pairs")
         with_bags = (pairs.join(pred.select(F.col("key").alias("p"), F.col("bag").alias("p_bag")), "p")
                      .join(gold.select(F.col("key").alias("g"), F.col("bag").alias("g_bag")), "g"))
         share = F.size(F.array_intersect("p_bag", "g_bag")) / F.size("g_bag")
-        return with_bags.select(share.alias("score"), "p", "g")
-
-    seen = F.filter("o", lambda x: x["df"] > 0)
-    rarest = ordered.select("g", F.inline(F.slice(seen, 1, 1))).select("g", "gram")
-    floor = F.coalesce(scored(rarest).agg(F.max("score")).scalar(), F.lit(0.0))
-    reach = F.greatest(F.lit(1), (F.col("m") - F.ceil(floor * F.col("m") - 1e-9) + 1).cast("int"))
-    prefixes = (ordered.select("g", F.inline(F.slice("o", F.lit(1), F.least(reach, F.col("m")))))
-                .filter("df > 0").select("g", "gram"))
+        found = stage(with_bags.agg(F.min(F.struct((-share).alias("score"), "p", "g")).alias("best"))
+                      .select((-F.col("best.score")).alias("score"), "best.p", "best.g").filter("p IS NOT NULL"), "best")
+        best.append(found)
+        least = max(least, found.agg(F.max("score")).first()[0] or 0.0)
     # Without any shared gram all pairs score 0 and the first one is returned.
     firsts = pred.select(F.col("key").alias("p")).unionByName(gold.select(F.col("key").alias("g")), True)
-    nothing = firsts.agg(F.min("p").alias("p"), F.min("g").alias("g")).select(F.lit(0.0).alias("score"), "p", "g")
-    best = scored(prefixes).unionByName(nothing).agg(
-        F.min(F.struct((-F.col("score")).alias("score"), "p", "g")).alias("best"))
-    best = best.select(F.round(-F.col("best.score"), 9).alias("score"),
-                       *[F.col(f"best.p.{c}").alias(f"predicted_{c}") for c in predicted_key],
-                       *[F.col(f"best.g.{c}").alias(f"golden_{c}") for c in golden_key])
-    for side, name, key in ((predicted, "predicted", predicted_key), (golden, "golden", golden_key)):
-        texts = side.select(*[F.col(c).alias(f"{name}_{c}") for c in key], F.col("text").alias(f"{name}_text"))
-        best = texts.join(F.broadcast(best), [f"{name}_{c}" for c in key])  # one row
-    return best
+    best.append(firsts.agg(F.min("p").alias("p"), F.min("g").alias("g")).select(F.lit(0.0).alias("score"), "p", "g"))
+    every = reduce(DataFrame.unionByName, best).agg(F.min(F.struct((-F.col("score")).alias("score"), "p", "g")).alias("best"))
+    return every.select((-F.col("best.score")).alias("score"), "best.p", "best.g")
+
+
+def rouge_best_pairs(predicted: DataFrame, golden: DataFrame, predicted_key, golden_key, kinds=(1, 2), **options) -> DataFrame:
+    """For each kind of gram, the predicted and golden sentence with the highest ROUGE recall: (kind, score, keys, texts).
+
+    The first pair by key wins on ties. Exact without pairing all sentences that share a word: the grams of each golden
+    sentence are taken from the rarest on, in rounds. A round joins those that few enough predicted sentences hold, and its
+    best score is the bound of the next: a pair of m golden grams that scores at least t shares one of the m - ceil(t m) + 1
+    rarest of them, so what comes after these, and a gram in every sentence with it, is never joined. Tokens are made once
+    for all kinds.
+    """
+    sides = []
+    for sentences, key in ((predicted, list(predicted_key)), (golden, list(golden_key))):
+        sides.append(stage(sentences.select(F.struct(*key).alias("key"), rouge_tokens("text", **options).alias("tokens")), "tokens"))
+    best = [_best_pair(*[_bags(side, kind) for side in sides]).select(F.lit(str(kind)).alias("kind"), "*") for kind in kinds]
+    best = stage(reduce(DataFrame.unionByName, best), "best")
+    keys = best.select("p", "g").collect()  # a row for each kind
+    out = best.select("kind", F.round("score", 9).alias("score"), *[F.col(f"p.{c}").alias(f"predicted_{c}") for c in predicted_key],
+                      *[F.col(f"g.{c}").alias(f"golden_{c}") for c in golden_key])
+    for side, name, key, at in ((predicted, "predicted", predicted_key, 0), (golden, "golden", golden_key, 1)):
+        # The keys are literals, so the scan reads the records of the chosen sentences only.
+        chosen = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(k[at][c])) for c in key]) for k in keys if k[at] is not None]
+        texts = side.filter(reduce(Column.__or__, chosen, F.lit(False))).select(
+            *[F.col(c).alias(f"{name}_{c}") for c in key], F.col("text").alias(f"{name}_text"))
+        out = out.join(texts, [f"{name}_{c}" for c in key])
+    return out
+
+
+def rouge_best_pair(predicted: DataFrame, golden: DataFrame, predicted_key, golden_key, kind=1, **options) -> DataFrame:
+    """The best pair for one kind of gram, without the kind."""
+    return rouge_best_pairs(predicted, golden, predicted_key, golden_key, (kind,), **options).drop("kind")
 
 
 def entity_coverage(predicted: DataFrame, golden: DataFrame) -> DataFrame:

@@ -1,9 +1,7 @@
 """Registered queries: name -> function of (session, table folder)."""
 
-from functools import reduce
-
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from gleaner.functions import numbers as nb
 from gleaner.operators import (cluster, evaluate, features, groups, label, mentions, model, slots, summary, text,
@@ -624,9 +622,8 @@ def rouge_bootstrap(spark, sf):
 def rouge_best_pair(spark, sf):
     predicted = text.sentences(t.records(spark, sf))
     golden = text.sentences(t.golden(spark, sf), key="item_id")
-    best = [evaluate.rouge_best_pair(predicted, golden, ["doc_id", "sent_no"], ["item_id", "sent_no"], n)
-            .select(F.lit(f"rouge_{n}").alias("metric"), "*") for n in (1, 2)]
-    return reduce(DataFrame.unionByName, best)
+    best = evaluate.rouge_best_pairs(predicted, golden, ["doc_id", "sent_no"], ["item_id", "sent_no"])
+    return best.withColumn("kind", F.concat(F.lit("rouge_"), "kind")).withColumnRenamed("kind", "metric")
 
 
 @query

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from compare import rows_of
 from gleaner.functions import joins
-from gleaner.operators import groups, weights
+from gleaner.operators import evaluate, groups, weights
 from gleaner.plans import tables as t
 from gleaner.plans.queries import QUERIES
 from gleaner.sources.staging import stage
@@ -85,3 +85,26 @@ def test_thesaurus_groups_stay_small(spark, sf):
     sizes = t.thesaurus(lists).groupBy("word").count()
     assert sizes.agg(F.max("count")).first()[0] <= 5
     assert groups.related_words(weights.word_count(lists), t.thesaurus(lists)).count() > 0
+
+
+def test_best_pair_never_joins_a_gram_of_every_sentence(spark, monkeypatch):
+    """A copy of a golden sentence is found by its rarest word; the word that all sentences hold is then ruled out."""
+    predicted = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("storm coast w"), F.col("id").cast("string")).alias("text"))
+    golden = spark.createDataFrame([(0, "storm rain w7"), (1, "storm coast w9"), (2, "storm coast x1"), (3, "w5 storm coast")], "item_id long, text string")
+    written, write = {}, evaluate.stage
+
+    def counted(df, name="stage"):
+        out = write(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(evaluate, "stage", counted)
+    rows = evaluate.rouge_best_pairs(predicted, golden, ["doc_id"], ["item_id"]).collect()
+    assert sorted((r.kind, r.score, r.predicted_doc_id, r.golden_item_id) for r in rows) == [("1", 1.0, 5, 3), ("2", 1.0, 9, 1)]
+    assert len(written["tokens"]) == 2 and max(written["pairs"]) <= 4 and sum(written["pairs"]) <= 8
+
+
+def test_best_pair_where_every_gram_is_common(spark):
+    predicted = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("storm coast storm").alias("text"))
+    golden = spark.createDataFrame([(4, "storm storm storm rain"), (5, "coast")], "item_id long, text string")
+    row = evaluate.rouge_best_pair(predicted, golden, ["doc_id"], ["item_id"]).first()
+    assert (row.score, row.predicted_doc_id, row.golden_item_id, row.predicted_text) == (1.0, 0, 5, "storm coast storm")
