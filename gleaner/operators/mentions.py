@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.functions import text as tx
-from gleaner.functions.joins import lookup_join
+from gleaner.functions.joins import fits
 from gleaner.functions.numbers import DATE, LENGTH_UNITS, NUMBER, OTHER_UNITS, SPEED_UNITS
+from gleaner.sources.staging import stage
 
 NAME = r"[A-Z][a-z]+(?: [A-Z][a-z]+)*"
 UNITS = [u for units in (*SPEED_UNITS.values(), *LENGTH_UNITS.values(), OTHER_UNITS) for u in units]
@@ -17,43 +18,74 @@ PLACE_WORD = r"[\p{L}\p{N}_'-]+|[^\s\p{L}\p{N}_'-]"
 def mentions(texts: DataFrame, patterns: dict, gazetteer: DataFrame = None, keep=("doc_id",)) -> DataFrame:
     """One row per mention: (*keep, type, ord, mention).
 
-    `patterns` maps a type to a regular expression; gazetteer(type, text) is looked up on runs of as many words as its
-    longest entry has. A place is given as the gazetteer writes it, the least of several ways.
-    `ord` numbers the mentions of one type in a text, in order.
+    `patterns` maps a type to a regular expression; entries of gazetteer(type, text) are looked up by their words. A place is
+    given as the gazetteer writes it, the least of several ways. `ord` numbers the mentions of one pattern in a text, in
+    order; for an entry it is the number of the word that it starts with.
     """
     def typed(kind, found):
         return F.transform(found, lambda m, i: F.struct(F.lit(kind).alias("type"), i.alias("ord"), m.alias("mention")))
     found = F.concat(*[typed(kind, tx.find_all(F.col("text"), p)) for kind, p in patterns.items()])
-    out = texts.select(*keep, F.inline(found))
-    return out if gazetteer is None else out.unionByName(place_mentions(texts, gazetteer, keep))
+    if gazetteer is None:
+        return texts.select(*keep, F.inline(found))
+    index = place_index(gazetteer)
+    if not fits(index):
+        return texts.select(*keep, F.inline(found)).unionByName(_places_of_many(texts, index, keep))
+    # Words are cells like the pattern's matches, so the text is read once; a cell without type is a word.
+    words = typed(None, F.col("_words"))
+    cells = F.concat(F.transform(found, lambda x: F.struct(x["type"].alias("_type"), x["ord"].alias("_at"), x["mention"].alias("_cell"))),
+                     F.transform(words, lambda x: F.struct(x["type"].cast("string").alias("_type"), x["ord"].alias("_at"),
+                                                           x["mention"].alias("_cell"))))
+    rows = texts.withColumn("_words", place_words()).select(*keep, "_words", F.inline(cells))
+    rows = rows.withColumn("_anchor", F.when(F.col("_type").isNull(), F.col("_cell")))
+    rows = rows.join(F.broadcast(index), "_anchor", "left").filter(F.col("_type").isNotNull() | F.expr(STANDS))
+    return rows.select(*keep, F.coalesce("_type", "type").alias("type"),
+                       F.when(F.col("_type").isNull(), F.col("_at") - F.col("_offset")).otherwise(F.col("_at")).alias("ord"),
+                       F.when(F.col("_type").isNull(), F.col("mention")).otherwise(F.col("_cell")).alias("mention"))
+
+
+#: Whether the entry of a row stands in `_words` with its anchor at place `_at`.
+STANDS = "_at >= _offset AND slice(_words, _at - _offset + 1, size(_entry)) = _entry"
+
+
+def place_words(text: str = "text"):
+    """The words and marks of a text."""
+    return tx.find_all(F.col(text), PLACE_WORD)
+
+
+def place_index(gazetteer: DataFrame) -> DataFrame:
+    """(_anchor, _offset, _entry, type, mention): each entry under one of its words, the one that fewest entries hold.
+
+    Of several the longest is taken, then the first. A text's word thus meets the entries that it anchors, however long they
+    are, and the words around it decide.
+    """
+    entries = (gazetteer.groupBy("type", place_words().alias("_entry")).agg(F.min("text").alias("mention"))
+               .filter(F.size("_entry") > 0))
+    counts = (entries.select(F.explode(F.array_distinct("_entry")).alias("_anchor")).groupBy("_anchor")
+              .agg(F.count(F.lit(1)).alias("_entries")))
+    places = entries.select("*", F.posexplode("_entry").alias("_offset", "_anchor")).join(counts, "_anchor")
+    best = F.min(F.struct("_entries", (-F.length("_anchor")).alias("_length"), "_offset", "_anchor"))
+    return (places.groupBy("type", "_entry", "mention").agg(best.alias("_best"))
+            .select("_best._anchor", "_best._offset", "_entry", "type", "mention"))
+
+
+def _places_of_many(texts, index, keep):
+    # An index too large for every task: words travel with their place alone, and meet the words around them by row.
+    rows = stage(texts.select(*keep, place_words().alias("_words")).withColumn("_row", F.monotonically_increasing_id()), "words")
+    index = stage(index, "index")
+    said = rows.select("_row", F.posexplode("_words").alias("_at", "_anchor"))
+    near = stage(said.join(index, "_anchor").filter("_at >= _offset"), "near")
+    return (rows.join(near, "_row").filter(STANDS)
+            .select(*keep, "type", (F.col("_at") - F.col("_offset")).alias("ord"), "mention"))
 
 
 def place_mentions(texts: DataFrame, gazetteer: DataFrame, keep=("doc_id",)) -> DataFrame:
     """One row per mention of a gazetteer entry: (*keep, type, ord, mention)."""
-    split = texts.select(*keep, tx.find_all(F.col("text"), PLACE_WORD).alias("_words"), longest(gazetteer).alias("_longest"))
-    rows = split.select(*keep, F.posexplode(place_runs("_words", "_longest")).alias("ord", "_run"))
-    return lookup_join(rows, place_names(gazetteer), "_run").select(*keep, "type", "ord", "mention")
-
-
-def place_names(gazetteer: DataFrame) -> DataFrame:
-    """The gazetteer by run: (type, _run, mention)."""
-    run = F.array_join(tx.find_all(F.col("text"), PLACE_WORD), " ")
-    return gazetteer.groupBy("type", run.alias("_run")).agg(F.min("text").alias("mention"))
-
-
-def longest(gazetteer: DataFrame):
-    """Words of the longest entry, at least one."""
-    return gazetteer.agg(F.greatest(F.max(F.size(tx.find_all(F.col("text"), PLACE_WORD))), F.lit(1))).scalar()
-
-
-def place_runs(words: str, longest: str):
-    """Runs of neighbouring words, up to a number of words; both are names of columns."""
-    words = F.col(words)
-
-    def runs(n):
-        some = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-        return F.when(F.size(words) >= n, some).otherwise(F.array().cast("array<string>"))
-    return F.flatten(F.transform(F.sequence(F.lit(1), F.col(longest)), runs))
+    index = place_index(gazetteer)
+    if not fits(index):
+        return _places_of_many(texts, index, keep)
+    rows = texts.withColumn("_words", place_words()).select(*keep, "_words", F.posexplode("_words").alias("_at", "_anchor"))
+    return (rows.join(F.broadcast(index), "_anchor").filter(STANDS)
+            .select(*keep, "type", (F.col("_at") - F.col("_offset")).alias("ord"), "mention"))
 
 
 def sentences_with_type(sentences: DataFrame, kind: str, patterns: dict) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gleaner.functions import numbers as nb, text as tx, vocab
-from gleaner.functions.joins import lookup_join
+from gleaner.functions.joins import fits, lookup_join
 from gleaner.functions.text import quote
 from gleaner.operators import mentions as mn
 from gleaner.operators.text import relevant_sentences
@@ -71,25 +71,37 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
         "headcount": near("evacuation", all_of("([0-9][0-9,]*) people")),
         "wind": near("wind", with_unit(nb.SPEED_UNITS)), "rain": near("rain", with_unit(nb.LENGTH_UNITS)),
         "size": near("size", miles), "deaths": near("deaths", counted),
-        "landfall_place": near("landfall", "runs"), "evacuation_place": near("evacuation", "runs"),
+        "landfall_place": near("landfall", "_words"), "evacuation_place": near("evacuation", "_words"),
     }
     text = F.col("text")
     found = sentences.select(by, "text", tx.find_all(text, mn.QUANTITY).alias("quantities"),
                              tx.find_all(text, nb.DATE).alias("dates"))
-    if set(slots) & set(PLACES):
+    placed = [s for s in slots if s in PLACES]
+    index = mn.place_index(gazetteer.withColumn("type", F.lit("place"))) if placed else None
+    if placed and not fits(index):
+        # The words of a gazetteer too large for every task are looked up apart.
+        others = [s for s in slots if s not in PLACES]
+        said = relevant_sentences(sentences, (*words["landfall"], *words["evacuation"]))
+        said = mn.place_mentions(said, gazetteer.withColumn("type", F.lit("place")), (by, "text"))
+        marks = ", ".join(f"if({about(s.split('_')[0])}, {quote(s)}, NULL)" for s in placed)
+        said = said.select(by, F.explode(F.expr(f"filter(array({marks}), s -> s IS NOT NULL)")).alias("slot"), F.col("mention").alias("value"))
+        counted_places = said.groupBy(by, "slot", "value").agg(F.count(F.lit(1)).alias("n"))
+        return facts(sentences, None, others, keywords, by).unionByName(counted_places) if others else counted_places
+    if placed:
         words["place"] = (*words["landfall"], *words["evacuation"])
-        split = F.expr(near("place", f"regexp_extract_all(text, {quote(mn.PLACE_WORD)}, 0)"))
-        found = found.withColumns({"words": split, "longest": mn.longest(gazetteer)})
-        found = found.withColumn("runs", mn.place_runs("words", "longest"))
-    cells = ", ".join(f"transform({values[s]}, v -> named_struct('slot', {quote(s)}, 'value', v))" for s in slots)
-    rows = found.select(by, F.expr(f"inline(concat({cells}))"))
-    if set(slots) & set(PLACES):
-        # Places are checked before the shuffle, so that only real ones are counted.
-        listed = mn.place_names(gazetteer).groupBy(F.col("_run").alias("_place")).agg(F.min("mention").alias("_listed"))
-        rows = lookup_join(rows.withColumn("_place", F.when(F.col("slot").isin(*PLACES), F.col("value"))),
-                           listed, "_place", "left")
-        rows = (rows.filter(~F.col("slot").isin(*PLACES) | F.col("_listed").isNotNull())
-                .withColumn("value", F.coalesce("_listed", "value")))
+        found = found.withColumn("_words", F.expr(near("place", f"regexp_extract_all(text, {quote(mn.PLACE_WORD)}, 0)")))
+
+    def cell(slot):
+        at = "i" if slot in placed else "cast(NULL AS int)"
+        return f"transform({values[slot]}, (v, i) -> named_struct('slot', {quote(slot)}, 'value', v, '_at', {at}))"
+
+    cells = ", ".join(cell(s) for s in slots)
+    rows = found.select(by, *(["_words"] if placed else []), F.expr(f"inline(concat({cells}))"))
+    if placed:
+        # A word becomes the places that it anchors, before the shuffle, so that only real ones are counted.
+        rows = rows.withColumn("_anchor", F.when(F.col("_at").isNotNull(), F.col("value")))
+        rows = (rows.join(F.broadcast(index), "_anchor", "left").filter(F.col("_at").isNull() | F.expr(mn.STANDS))
+                .withColumn("value", F.coalesce("mention", "value")))
     return rows.groupBy(by, "slot", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

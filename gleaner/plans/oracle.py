@@ -287,6 +287,12 @@ oracle("entity_coverage", "SELECT shared, golden, CASE WHEN golden > 0 THEN roun
            f"SELECT unnest(regexp_extract_all(text, {lit(p)})) AS mention FROM benchmark" for p in t.PATTERNS.values()) + "))",
        "found")
 
+MARKED = "' ' || array_to_string(regexp_extract_all(text, " + lit(mn.PLACE_WORD) + "), '  ') || ' '"
+part("passages", f"SELECT min(text) AS mention, {MARKED} AS run FROM ({sentence_rows('benchmark', 'item_id')}) WHERE length(text) >= 20 "
+     "GROUP BY run")
+oracle("document_phrases", "SELECT doc_id, mention, CAST((length(t) - length(replace(t, run, ''))) / length(run) AS BIGINT) AS n FROM "
+       f"(SELECT doc_id, {MARKED} AS t FROM docs) JOIN passages ON contains(t, run)", "docs", "passages")
+
 # Event slots
 part("reports", """SELECT event_key, CASE ln % 6
   WHEN 0 THEN concat('Hurricane ', nm, ' brought winds of ', q, ' miles per hour to ', n_name, ' on ', dt, '.')
@@ -368,6 +374,8 @@ part("runs", "SELECT event_key, text, unnest(list_concat(w, list_concat(list_tra
              f"2])))) AS value FROM (SELECT event_key, text, regexp_extract_all(text, {lit(mn.PLACE_WORD)}) AS w FROM "
              "@reports)")
 part("places", "SELECT event_key, text, value FROM @runs WHERE value IN (SELECT n_name FROM nation)")
+oracle("sentences_with_place", "SELECT event_key, text, count(*) AS n FROM reports WHERE (event_key, text) IN (SELECT (event_key, "
+       "text) FROM places) GROUP BY ALL", "reports", "places")
 part("placed", " UNION ALL ".join(
     f"SELECT event_key, '{topic}_place' AS slot, {k} AS k, value FROM @places WHERE {contains_sql(WORDS[topic])}"
     for topic, k in (("landfall", 2), ("evacuation", 3))))

@@ -467,6 +467,20 @@ def sentences_with_type(spark, sf):
     return mentions.sentences_with_type(t.reports(spark, sf), "QUANTITY", mentions.EVENT_PATTERNS)
 
 
+@query
+def sentences_with_place(spark, sf):
+    found = mentions.sentences_with_place(t.reports(spark, sf), t.gazetteer(spark, sf), "GPE", ["event_key", "text"])
+    return found.groupBy("event_key", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def document_phrases(spark, sf):
+    """Sentences of the benchmark that stand in documents: a gazetteer of long entries."""
+    entries = text.sentences(t.golden(spark, sf), key="item_id").select(F.lit("PASSAGE").alias("type"), "text").distinct()
+    found = mentions.place_mentions(t.records(spark, sf), entries)
+    return found.groupBy("doc_id", "mention").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def entity_count(spark, sf):
     return mentions.entity_count(_mentions(spark, sf))
