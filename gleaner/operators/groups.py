@@ -1,7 +1,13 @@
 """Synonym groups, and merging of bigrams with a word list."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
+from gleaner.functions.numbering import numbered
+from gleaner.operators.weights import top
+from gleaner.sources.staging import stage
+
 
 def related_words(words: DataFrame, thesaurus: DataFrame) -> DataFrame:
     """Each listed word with its related words from thesaurus(word, related), and with itself: (word, related)."""
@@ -26,43 +32,50 @@ def top_synonym_groups(groups: DataFrame, k: int = 20) -> DataFrame:
     return groups.filter("total <> 0").orderBy(F.desc("total"), "word").limit(k)
 
 
-def _ranked(df: DataFrame, value: str, item: str, k: int):
-    # The k best, in order, as one array: the merge is a sequential pick over a ranked list.
-    best = df.orderBy(F.desc(value), item).limit(k).select(F.col(item).alias("item"), F.col(value).alias("_value"))
-    return best.agg(F.array_sort(F.collect_list(F.struct((-F.col("_value")).alias("_value"), "item")))
-                    .getField("item").alias("items"))
+def _matched(edges: DataFrame) -> DataFrame:
+    """(rank, a, b): the edges that picking in order of rank takes, where an edge needs both its ends unused.
+
+    In rounds: an edge that has the lowest rank at both its ends is taken, as nothing before it can use them, and the edges
+    at its ends drop out. Each round is written once. A round takes all such edges at once; the number of rounds grows with
+    the longest run of edges in which each waits for the one before.
+    """
+    taken, left = [], edges
+    while True:
+        ends = left.select("rank", F.explode(F.array("a", "b")).alias("word"))
+        lowest, marked = ends.groupBy("word").agg(F.min("rank").alias("lowest")), left
+        for end in ("a", "b"):
+            marked = marked.join(lowest.select(F.col("word").alias(end), F.col("lowest").alias(f"lowest_{end}")), end)
+        marked = marked.withColumn("taken", (F.col("rank") == F.col("lowest_a")) & (F.col("rank") == F.col("lowest_b")))
+        marked = stage(marked.select("rank", "a", "b", "taken"), "marked")
+        now = marked.filter("taken").select("rank", "a", "b")
+        taken.append(now)
+        used = now.select(F.explode(F.array("a", "b")).alias("word"))
+        left = marked.filter("not taken").select("rank", "a", "b")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, taken)
+        for end in ("a", "b"):
+            left = left.join(used.withColumnRenamed("word", end), end, "left_anti").select("rank", "a", "b")
 
 
 def merge_collocations(bigrams: DataFrame, words: DataFrame, num_bigrams: int = 10, num_words: int = 20,
                        bigram_value: str = "n", word_value: str = "n") -> DataFrame:
     """Bigrams whose two different words are both listed and still unused, in rank order; then the unused words.
 
-    Takes the top `num_bigrams` of bigrams(bigram, value) and the top `num_words` of words(lemma, value). The two lists are
-    held on one row, whatever their length; the pick compares each bigram with the listed words once.
-    Rows: (position, kind, item).
+    Takes the top `num_bigrams` of bigrams(bigram, value) and the top `num_words` of words(lemma, value). Both lists stay
+    rows: words are found by joins, and the pick runs in rounds. Rows: (position, kind, item).
     """
-    ranked_bigrams = _ranked(bigrams, bigram_value, "bigram", num_bigrams).scalar()
-    ranked_words = _ranked(words, word_value, "lemma", num_words).withColumnRenamed("items", "words")
-    nothing = F.array().cast("array<string>")
-    first, second = (lambda b: F.split_part(b, F.lit(" "), F.lit(1))), (lambda b: F.split_part(b, F.lit(" "), F.lit(2)))
-
-    def listed(bigram):
-        a, b = first(bigram), second(bigram)
-        return (a != b) & F.array_contains("words", a) & F.array_contains("words", b)
-
-    def pick(state, bigram):
-        a, b = first(bigram), second(bigram)
-        unused = ~F.array_contains(state["used"], a) & ~F.array_contains(state["used"], b)
-        return F.when(unused, F.struct(
-            F.concat(state["used"], F.array(a, b)).alias("used"),
-            F.concat(state["picked"], F.array(bigram)).alias("picked"))).otherwise(state)
-
-    start = F.struct(nothing.alias("used"), nothing.alias("picked"))
-    state = ranked_words.withColumn("bigrams", ranked_bigrams).select(
-        "words", F.aggregate(F.filter(F.coalesce("bigrams", nothing), listed), start, pick).alias("state"))
-    items = F.concat(
-        F.transform("state.picked", lambda b: F.struct(F.lit("bigram").alias("kind"), b.alias("item"))),
-        F.transform(F.filter("words", lambda w: ~F.array_contains(F.col("state.used"), w)),
-                    lambda w: F.struct(F.lit("word").alias("kind"), w.alias("item"))))
-    return (state.select(F.posexplode(items).alias("position", "entry"))
-            .select("position", "entry.kind", "entry.item"))
+    def ranked(df, value, item, k):
+        best = top(df.select(item, F.col(value).alias("_value")), "_value", item, k)
+        return stage(numbered(best, F.desc("_value"), F.asc(item), name="rank").select("rank", item), "ranked")
+    best, listed = ranked(bigrams, bigram_value, "bigram", num_bigrams), ranked(words, word_value, "lemma", num_words)
+    edges = best.select("rank", *[F.split_part("bigram", F.lit(" "), F.lit(i)).alias(c) for i, c in ((1, "a"), (2, "b"))])
+    edges = edges.filter("a <> b")
+    for end in ("a", "b"):
+        edges = edges.join(listed.select(F.col("lemma").alias(end)), end, "left_semi")
+    picked = stage(_matched(edges.select("rank", "a", "b")), "picked")
+    used = picked.select(F.explode(F.array("a", "b")).alias("lemma"))
+    items = (picked.join(best, "rank").select(F.lit(0).alias("_part"), "rank", F.lit("bigram").alias("kind"), F.col("bigram").alias("item"))
+             .unionByName(listed.join(used, "lemma", "left_anti").select(
+                 F.lit(1).alias("_part"), "rank", F.lit("word").alias("kind"), F.col("lemma").alias("item"))))
+    placed = numbered(items, "_part", "rank", name="position")
+    return placed.select(F.col("position").cast("int").alias("position"), "kind", "item")
