@@ -83,9 +83,14 @@ def words(text: str = "text", lowercase: bool = True) -> Column:
     return F.expr(_words(text, lowercase))
 
 
+def content_words_sql(text: str, stop, lowercase: bool = True) -> str:
+    """SQL for the array of the words that are no punctuation, plain number or stop word."""
+    return f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})"
+
+
 def content_words(text: str, stop, lowercase: bool = True) -> Column:
     """Array of the words that are no punctuation, plain number or stop word."""
-    return F.expr(f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})")
+    return F.expr(content_words_sql(text, stop, lowercase))
 
 
 def content_lemmas(text: str, stop, lowercase: bool = True) -> Column:

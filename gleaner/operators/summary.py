@@ -13,40 +13,63 @@ FINAL_TEXTS = 15
 LARGEST_FAN_IN = 20
 
 
+def _let(value: str, name: str, body: str) -> str:
+    # Binds a value to a lambda variable, so that it is evaluated once and not wherever it is used.
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _runs(array: str, field: str, body: str) -> str:
+    """SQL for `body` on each run of elements of a sorted array that agree in a field; b and e are its ends."""
+    starts = f"filter(sequence(0, size({array}) - 1), i -> i = 0 or {array}[i].{field} <> {array}[greatest(i - 1, 0)].{field})"
+    runs = _let(starts, "st", f"zip_with(st, concat(slice(st, 2, size(st)), array(size({array}))), (b, e) -> {body})")
+    return f"if(size({array}) = 0, array(), {runs})"
+
+
+def _scored(title: str, stop, body: str) -> str:
+    """SQL for `body` on `p`, the sentences in the column `_parts`, and `sc`, the (score, sent_no) of those with content words.
+
+    The words are sorted with the number of their sentence, so a run of equal words gives a word's count in the record, and
+    sorted back, a run of equal numbers gives a sentence's words. All is one expression, which no filter can repeat.
+    """
+    stop = vocab.stop_words() if stop is None else stop
+    title_words = sorted(set(re.findall(r"\w+", title.lower())))
+    in_title = f"x.t IN ({', '.join(map(tx.quote, title_words))})" if title_words else "false"
+    words = (f"sort_array(flatten(transform(p, (s, i) -> transform({tx.content_words_sql('s', stop)}, "
+             "t -> named_struct('t', t, 'i', i)))))")
+    # A title word counts once in a sentence: at its first place there.
+    counted = _runs("w", "t", "transform(slice(w, b + 1, e - b), (x, k) -> named_struct('i', x.i, 'n', e - b, 'hit', "
+                              f"if({in_title} and (k = 0 or w[greatest(b + k - 1, 0)].i <> x.i), 1, 0)))")
+    sums = "aggregate(slice(c, b + 1, e - b), named_struct('n', bigint(0), 'hit', 0), (t, x) -> named_struct('n', t.n + x.n, 'hit', t.hit + x.hit))"
+    score = (f"round(cast(a.n as double) / size(c) / sqrt(e - b) + {TITLE_WEIGHT}D * a.hit / {max(1, len(title_words))} "
+             f"+ {LEAD_WEIGHT}D / (c[b].i + 1), 9)")
+    scores = _runs("c", "i", _let(sums, "a", f"named_struct('score', {score}, 'sent_no', c[b].i)"))
+    return _let("_parts", "p", _let(words, "w", _let(f"sort_array(flatten({counted}))", "c", _let(scores, "sc", body))))
+
+
+def _parts(records: DataFrame, key: str) -> DataFrame:
+    return records.select(key, tx.split_sentences(F.col("text")).alias("_parts"))
+
+
 def sentence_scores(records: DataFrame, title: str = "", stop=None, key: str = "doc_id") -> DataFrame:
     """Score of each sentence with content words: (key, sent_no, score).
 
     Word weight is the word's share of the record; a sentence sums the weights over the root of its length, plus the
-    share of the title's words it holds and a bonus for coming early. Everything is grouped inside the record.
+    share of the title's words it holds and a bonus for coming early. Everything stays inside the record's row.
     """
-    stop = vocab.stop_words() if stop is None else stop
-    title_words = sorted(set(re.findall(r"\w+", title.lower())))
-    parts = records.select(key, F.posexplode(tx.split_sentences(F.col("text"))).alias("sent_no", "sentence"))
-    counted = (parts.select(key, "sent_no", F.explode(tx.content_words("sentence", stop)).alias("token"))
-               .groupBy(key, "sent_no", "token").agg(F.count(F.lit(1)).alias("n")))
-    in_record = F.sum("n").over(Window.partitionBy(key, "token"))
-    hits = F.sum(F.col("token").isin(*title_words).cast("int")) if title_words else F.lit(0)
-    scored = (counted.withColumn("record_n", in_record).groupBy(key, "sent_no")
-              .agg(F.sum(F.col("n") * F.col("record_n")).alias("weight"), F.sum("n").alias("length"),
-                   hits.alias("hits")))
-    total = F.sum("length").over(Window.partitionBy(key))
-    score = (F.col("weight") / total / F.sqrt("length") + F.lit(TITLE_WEIGHT) * F.col("hits") / max(1, len(title_words))
-             + F.lit(LEAD_WEIGHT) / (F.col("sent_no") + 1))
-    return scored.select(key, "sent_no", F.round(score, 9).alias("score"))
+    # The outer form: for the inner one Spark adds a size filter that computes the scores a second time.
+    return (_parts(records, key).select(key, F.inline_outer(F.expr(_scored(title, stop, "sc"))))
+            .filter("score IS NOT NULL").select(key, "sent_no", "score"))
 
 
 def doc_summary(records: DataFrame, title: str = "", top: int = 5, stop=None, key: str = "doc_id") -> DataFrame:
     """The `top` best sentences of each record, in text order: (key, summary). Records without words have none.
 
-    The records are partitioned by key once; counting, ranking and picking the sentences all reuse that partitioning.
+    One scan without a shuffle.
     """
-    records = records.select(key, "text").repartition(key)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "sent_no"))
-    best = (sentence_scores(records, title, stop, key).withColumn("_rank", rank).filter(F.col("_rank") <= top)
-            .groupBy(key).agg(F.sort_array(F.collect_list("sent_no")).alias("_picked")))
-    parts = records.select(key, tx.split_sentences(F.col("text")).alias("_parts"))
-    picked = F.transform("_picked", lambda i: F.get(F.col("_parts"), i))
-    return parts.join(best, key).select(key, F.array_join(picked, " ").alias("summary"))
+    best = f"slice(sort_array(transform(sc, x -> named_struct('s', -x.score, 'i', x.sent_no))), 1, {int(top)}).i"
+    chosen = f"if(size(sc) = 0, NULL, array_join(transform(sort_array({best}), i -> p[i]), ' '))"
+    summary = F.explode_outer(F.array(F.expr(_scored(title, stop, chosen)))).alias("summary")
+    return _parts(records, key).select(key, summary).filter("summary IS NOT NULL")
 
 
 def _ranked(summaries: DataFrame, key: str):
@@ -65,6 +88,15 @@ def _ranked(summaries: DataFrame, key: str):
     return ranked.select("rank", "text"), numbered.count()
 
 
+def next_level(level: DataFrame, title: str, fan_in: int, top: int = 5) -> DataFrame:
+    """Summaries of each `fan_in` neighbouring texts of level(rank, text): (rank, text)."""
+    group = F.floor(F.col("rank") / fan_in).alias("rank")
+    joined = level.groupBy(group).agg(  # at most fan_in texts each
+        F.array_join(F.array_sort(F.collect_list(F.struct(F.col("rank").alias("r"), "text"))).getField("text"),
+                     " ").alias("text"))
+    return doc_summary(joined, title, top, key="rank").withColumnRenamed("summary", "text")
+
+
 def corpus_summary(records: DataFrame, title: str, top: int = 5, key: str = "doc_id") -> DataFrame:
     """Summaries of neighbouring summaries until fewer than twice 15 are left: (rank, text).
 
@@ -76,11 +108,7 @@ def corpus_summary(records: DataFrame, title: str, top: int = 5, key: str = "doc
         fan_in = min(n // FINAL_TEXTS, LARGEST_FAN_IN)
         if fan_in == 1:
             break
-        group = F.floor(F.col("rank") / fan_in).alias("rank")
-        joined = level.groupBy(group).agg(  # at most fan_in texts each
-            F.array_join(F.array_sort(F.collect_list(F.struct(F.col("rank").alias("r"), "text"))).getField("text"),
-                         " ").alias("text"))
-        level = stage(doc_summary(joined, title, top, key="rank").withColumnRenamed("summary", "text"), "level")
+        level = stage(next_level(level, title, fan_in, top), "level")
         n = -(-n // fan_in)
     return level
 

@@ -472,16 +472,32 @@ oracle("slot_report", "SELECT * FROM (" + " UNION ALL ".join(
 oracle("rebuild_records", "SELECT doc_id, url, string_agg(text, ' ' ORDER BY sent_no) AS text FROM (SELECT doc_id, url, text, "
        "min(sent_no) AS sent_no FROM sents20 GROUP BY ALL) GROUP BY doc_id, url HAVING count(*) >= 5", "sents20")
 TITLE_WORDS = sorted(set(t.TITLE.split()))
-part("senttok", f"SELECT doc_id, sent_no, token, count(*) AS n FROM (SELECT doc_id, sent_no, token, {tag_sql('token')} AS tag "
-                f"FROM (SELECT doc_id, sent_no, unnest({words_sql('text')}) AS token FROM @sents)) WHERE {content} GROUP BY ALL")
-part("sentscore", "SELECT doc_id, sent_no, round(CAST(weight AS DOUBLE) / total / sqrt(length) + 1.5::DOUBLE * hits / "
-     f"{len(TITLE_WORDS)} + 1.0::DOUBLE / (sent_no + 1), 9) AS score FROM (SELECT doc_id, sent_no, CAST(sum(n * record_n) AS "
-     f"BIGINT) AS weight, CAST(sum(n) AS BIGINT) AS length, count(*) FILTER (token IN {among(TITLE_WORDS)}) AS hits, "
-     "CAST(sum(sum(n)) OVER (PARTITION BY doc_id) AS BIGINT) AS total FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY doc_id, "
-     "token) AS BIGINT) AS record_n FROM @senttok) GROUP BY doc_id, sent_no)")
-oracle("doc_summary", "SELECT doc_id, string_agg(text, ' ' ORDER BY sent_no) AS summary FROM (SELECT doc_id, sent_no, "
-       "row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, sent_no) AS r FROM sentscore) JOIN sents USING (doc_id, "
-       "sent_no) WHERE r <= 5 GROUP BY doc_id", "sentscore", "sents")
+
+
+def summary_parts(name, source, key, title):
+    """<name>score: the score of each sentence of a source(key, sent_no, text); <name>summary: the five best of each record."""
+    hits = f"count(*) FILTER (token IN {among(title)})" if title else "0"
+    part(f"{name}tok", f"SELECT {key}, sent_no, token, count(*) AS n FROM (SELECT {key}, sent_no, token, {tag_sql('token')} AS tag "
+                       f"FROM (SELECT {key}, sent_no, unnest({words_sql('text')}) AS token FROM {source})) WHERE {content} GROUP BY ALL")
+    part(f"{name}score", f"SELECT {key}, sent_no, round(CAST(weight AS DOUBLE) / total / sqrt(length) + 1.5::DOUBLE * hits / "
+         f"{max(1, len(title))} + 1.0::DOUBLE / (sent_no + 1), 9) AS score FROM (SELECT {key}, sent_no, CAST(sum(n * record_n) AS "
+         f"BIGINT) AS weight, CAST(sum(n) AS BIGINT) AS length, {hits} AS hits, "
+         f"CAST(sum(sum(n)) OVER (PARTITION BY {key}) AS BIGINT) AS total FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY {key}, "
+         f"token) AS BIGINT) AS record_n FROM @{name}tok) GROUP BY {key}, sent_no)")
+    part(f"{name}summary", f"SELECT {key}, string_agg(text, ' ' ORDER BY sent_no) AS summary FROM (SELECT {key}, sent_no, "
+         f"row_number() OVER (PARTITION BY {key} ORDER BY score DESC, sent_no) AS r FROM @{name}score) JOIN {source} USING ({key}, "
+         f"sent_no) WHERE r <= 5 GROUP BY {key}")
+
+
+summary_parts("titled", "@sents", "doc_id", TITLE_WORDS)
+oracle("sentence_scores", "SELECT doc_id, sent_no, score FROM titledscore", "titledscore")
+oracle("doc_summary", "SELECT * FROM titledsummary", "titledsummary")
+summary_parts("plain", "@sents", "doc_id", [])
+part("leveltext", "SELECT rank, string_agg(text, ' ' ORDER BY r) AS text FROM (SELECT r // 20 AS rank, r, summary AS text FROM (SELECT "
+     "summary, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM @plainsummary)) GROUP BY rank")
+part("levelsents", f"SELECT * FROM ({sentence_rows('@leveltext', 'rank')})")
+summary_parts("level", "@levelsents", "rank", TITLE_WORDS)
+oracle("corpus_level", "SELECT rank, summary AS text FROM levelsummary", "levelsummary")
 
 # Evaluation
 KEPT = f"token NOT IN {STOP} AND regexp_matches(token, '[\\p{{L}}\\p{{N}}]')"

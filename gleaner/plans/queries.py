@@ -593,6 +593,19 @@ def doc_summary(spark, sf):
     return summary.doc_summary(t.records(spark, sf), t.TITLE)
 
 
+@query
+def sentence_scores(spark, sf):
+    return summary.sentence_scores(t.records(spark, sf), t.TITLE)
+
+
+@query
+def corpus_level(spark, sf):
+    """The first level of the corpus summary: twenty summaries each, summarised against the title."""
+    found = summary.doc_summary(t.records(spark, sf))
+    level, _ = summary._ranked(found.select("doc_id", F.col("summary").alias("text")), "doc_id")
+    return summary.next_level(level, t.TITLE, summary.LARGEST_FAN_IN)
+
+
 @query
 def corpus_summary(spark, sf):
     return summary.corpus_summary(t.records(spark, sf), t.TITLE)

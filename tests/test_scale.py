@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from compare import rows_of
 from gleaner.functions import joins
-from gleaner.operators import evaluate, groups, weights
+from gleaner.operators import evaluate, groups, summary, weights
 from gleaner.plans import tables as t
 from gleaner.plans.queries import QUERIES
 from gleaner.sources.staging import stage
@@ -108,3 +108,17 @@ def test_best_pair_where_every_gram_is_common(spark):
     golden = spark.createDataFrame([(4, "storm storm storm rain"), (5, "coast")], "item_id long, text string")
     row = evaluate.rouge_best_pair(predicted, golden, ["doc_id"], ["item_id"]).first()
     assert (row.score, row.predicted_doc_id, row.golden_item_id, row.predicted_text) == (1.0, 0, 5, "storm coast storm")
+
+
+def test_summaries_stay_in_the_row(spark, sf):
+    text = plan(QUERIES["doc_summary"](spark, sf))
+    assert "Exchange" not in text and "Window" not in text and text.count("Scan parquet") <= 2
+
+
+def test_summary_of_a_very_long_text(spark):
+    """Work grows with the text, not with its square: words are counted by sorting."""
+    long_text = F.expr("array_join(transform(sequence(1, 60000), i -> concat('word', cast(i % 977 as string), if(i % 9 = 0, '. ', ' '))), '')")
+    rows = spark.range(1).select(F.col("id").alias("doc_id"), long_text.alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([(1, None), (2, ""), (3, "the of and."), (4, "Coast. Coast storm. Rain")], "doc_id long, text string"))
+    found = {r.doc_id: r.summary for r in summary.doc_summary(rows, "storm").collect()}
+    assert set(found) == {0, 4} and found[4] == "Coast. Coast storm. Rain" and found[0].count(".") == 5
