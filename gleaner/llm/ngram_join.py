@@ -276,9 +276,22 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
-    """The document of the smallest id of each class, with all its columns; rows without id stay as they are."""
-    found = classes(docs, key, text, threshold)
-    dropped = found.filter(F.col(key) != F.col("class_id")).select(F.col(key).alias("dropped_id")).distinct()
-    left = docs.join(dropped, docs[key].cast("long") == F.col("dropped_id"), "left_anti")
-    named = left.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return named.unionByName(left.filter(F.col(key).isNull()))
+    """One row of each class of similar texts, with all its columns; rows without id stay as they are.
+
+    Rows are compared, not ids: an id with unrelated texts keeps a row of each, equal rows become one. The smallest id stays,
+    then the smallest hash of the text and of the whole row, so the choice does not depend on how the rows are dealt.
+    """
+    row = "row_number"
+    while row.lower() in map(str.lower, docs.columns):
+        row += "_"
+    # Written, so that every reader sees the same numbers.
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    named = rows.filter(F.col(key).isNotNull())
+    found = classes(named.select(F.col(row).alias("row"), F.col(text).alias("text")), "row", "text", threshold)
+    order = F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("text"), F.xxhash64(*docs.columns).alias("all"), F.col(row).alias("row"))
+    # Classes of one row have nobody to leave.
+    ranked = stage(found.select("row", "class_id").join(named.select(F.col(row).alias("row"), order.alias("order")), "row"), "ranked")
+    firsts = stage(ranked.groupBy("class_id").agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("n"))
+                   .filter("n > 1").select("class_id", F.col("first.row").alias("first")), "firsts")
+    dropped = stage(ranked.join(firsts, "class_id").filter(F.col("row") != F.col("first")).select(F.col("row").alias(row)), "dropped")
+    return rows.join(dropped, row, "left_anti").select(docs.columns)
