@@ -5,11 +5,13 @@ three consecutive other lines. Of equal windows the first one in order of id, te
 of later ones are removed, also inside one document. Texts with fewer than three such lines stay as they are.
 
 Null text counts as empty. A null id ranks first. Rows with equal id and text rank the same and get equal results.
-An empty table gives an empty result. All other columns are kept.
+An empty table gives an empty result. All other columns are kept; where the table has a column named like the operator's
+own, that one gets underscores.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
+from gleaner.llm.names import free_name
 from gleaner.sources.staging import stage
 
 WIDTH = 3
@@ -42,13 +44,17 @@ def covered(found: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed_lines") -> DataFrame:
-    """The documents without their covered lines, and `removed`: the line numbers, from 0, in the original text."""
+    """The documents without their covered lines, and `removed`: the line numbers, from 0, in the original text.
+
+    A table that has a column named `removed` keeps it, and the numbers get that name with underscores.
+    """
+    doc, digest, found, removed = (free_name(name, docs.columns) for name in ("_gone_doc", "_gone_hash", "_gone", removed))
     gone = covered(stage(windows(docs, key, text), "windows"))
-    gone = gone.select(F.col("doc").alias("_gone_doc"), F.col("text_hash").alias("_gone_hash"), F.col("removed").alias("_gone"))
-    same = F.col(key).eqNullSafe(F.col("_gone_doc")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_gone_hash"))
+    gone = gone.select(F.col("doc").alias(doc), F.col("text_hash").alias(digest), F.col("removed").alias(found))
+    same = F.col(key).eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(digest))
     rest = (f"array_join(flatten(transform(array(split(`{text}`, '\\\\n')), a -> "
-            "transform(array_except(sequence(0, size(a) - 1), _gone), i -> a[i]))), '\\n')")
+            f"transform(array_except(sequence(0, size(a) - 1), `{found}`), i -> a[i]))), '\\n')")
     joined = docs.join(gone, same, "left")
-    whole = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.expr(rest))
-    kept = [whole.alias(c) if c == text else F.col(c) for c in docs.columns if c != removed]
-    return joined.select(*kept, F.coalesce("_gone", F.array().cast("array<int>")).alias(removed))
+    whole = F.when(F.col(found).isNull(), F.col(text)).otherwise(F.expr(rest))
+    kept = [whole.alias(c) if c == text else F.col(c) for c in docs.columns]
+    return joined.select(*kept, F.coalesce(found, F.array().cast("array<int>")).alias(removed))

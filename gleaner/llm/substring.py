@@ -1,23 +1,31 @@
 """Substring dedup: every run of `least_words` words that occurs earlier is cut out, the earliest occurrence stays.
 
-A paragraph is a window of `least_words` words, from any word on, compared in lower case and without white space. Of equal
-paragraphs the first in order of id, text hash and offset stays; what the later ones cover is merged and cut out of
-the text, so a repeat goes from its first word to its last one wherever it starts. Shorter repeats stay. Words are runs
-of characters other than white space; Han characters and kana, which are written without spaces, are words of their own.
+Words are compared in lower case and without white space. They are runs of characters other than white space; Han
+characters and kana, which are written without spaces, are words of their own. Three steps keep the rows few:
 
-Two passes keep the rows few. Each window is marked by the least hash of the half as long windows in it; equal windows
-have equal marks, so only windows whose mark occurs more than once are hashed whole and compared.
+* Each window of `least_words` words is marked by the least hash of the half as long windows in it. A unit is the run of
+  words of all windows with one mark, so units begin and end where the words say, wherever a line breaks, and about
+  every sixth word starts one. Equal windows have equal marks: a mark that occurs once needs no further look.
+* The other units are hashed whole and grouped by digest. Of equal units the first in order of id, text hash and offset
+  stays, the later ones are cut.
+* At the ends of a repeated passage units differ though some of their windows are equal. So where different units share a
+  mark, the windows of the first unit of each digest are compared one by one in the same way.
+
+What is cut in one text is merged, so a repeat goes from its first word to its last one. Shorter repeats stay.
 
 Null text counts as empty and stays null. A null id ranks first. Rows with equal id and text rank the same and get equal
-results. An empty table gives an empty result. All other columns are kept.
+results. An empty table gives an empty result. All other columns are kept; where the table has a column named like the
+operator's own, that one gets underscores. A text's words are held as arrays in the task that reads it, so a task needs
+some 30 times the bytes of its longest text.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from gleaner.llm.names import free_name
 from gleaner.llm.ngram_join import POWERS, _keys, _mix
-from gleaner.sources.staging import stage
+from gleaner.sources.staging import scratch, stage
 
 BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 UNSPACED = [(0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
@@ -73,42 +81,94 @@ def paragraphs(text: str, least_words: int, among: list[int] | None = None):
         yield a if first == b else max(a, first), b, digest
 
 
+def _runs(words: np.ndarray, first: np.ndarray, after: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of the runs words[first:after]."""
+    up, down = POWERS.to(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(_mix(words + _keys(seed, 1)) * up[:-1], out=total[1:])
+    return _mix((total[after] - total[first]) * down[first] + (after - first).astype(np.uint64))
+
+
+def units(text: str, least_words: int, among: list[int]):
+    """Arrays (place, mark, start, end, digest's halves, again) of the units with a mark at one of the places `among`.
+
+    again: the same text holds the unit before. A unit that overlaps the first equal one of its text starts where the first
+    window of that one ends, so that window stays whole.
+    """
+    start, end, words = words_of(text)
+    place, mark = marks(words, least_words)
+    first = np.flatnonzero(np.diff(place, prepend=-1) > 0)
+    after = np.append(first[1:], len(place)) - 1 + least_words
+    chosen = np.isin(place[first], among)
+    first, after = first[chosen], after[chosen]
+    halves = np.stack([_runs(words, first, after, seed) for seed in (9, 10)])
+    _, original, which = np.unique(halves, axis=1, return_index=True, return_inverse=True)
+    original = original[which.reshape(-1)]
+    again = original != np.arange(len(first))
+    begin = np.where(again, np.maximum(start[first], end[first[original] + least_words - 1]), start[first])
+    return place[first], mark[first], begin, end[after - 1], *halves, again
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
                        F.col(text).alias("text"))
 
 
-def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
-    """(doc, text_hash, places): where marks stand that occur more than once."""
+def _at(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc, text_hash, text, places) of the texts that have places."""
+    places = places.withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"})
+    same = texts["doc"].eqNullSafe(F.col("_doc")) & (texts["text_hash"] == F.col("_hash"))
+    return texts.join(places, same).select("doc", "text_hash", "text", "places")
+
+
+def _rows(batch: pa.RecordBatch, parts: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
+    """One batch of the arrays of each row of a batch, after the row's first two columns."""
+    rows = pa.array(np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts]))
+    columns = [np.concatenate([p[k] for p in parts]) for k in range(len(types))]
+    columns = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c).cast(t) for c, t in zip(columns, types)]
+    return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *columns], names=["doc", "text_hash", *names])
+
+
+def marked_places(texts: DataFrame, least_words: int) -> DataFrame:
+    """(doc, text_hash, place, mark) of every unit of every whole text."""
+    def one(text):
+        words = words_of(text)[2]
+        if len(words) < least_words:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        place, mark = marks(words, least_words)
+        new = np.diff(place, prepend=-1) > 0
+        return place[new], mark[new]
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                part, places, hashes = batch.slice(at, 500), [], []
-                for t in part.column(2):
-                    words = words_of(t.as_py() or "")[2]
-                    place, mark = marks(words, least_words) if len(words) >= least_words else (np.zeros(0, int), np.zeros(0, np.uint64))
-                    new = np.diff(place, prepend=-1) > 0
-                    places.append(place[new])
-                    hashes.append(mark[new])
-                rows = np.repeat(np.arange(len(places)), [len(p) for p in places])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)),
-                     pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hashes).view(np.int64))],
-                    names=["doc", "text_hash", "place", "mark"])
-
-    found = stage(_texts(docs, key, text).mapInArrow(run, "doc bigint, text_hash bigint, place int, mark bigint"), "marks")
-    common = found.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
-    # Written, so that both sides of the join are dealt out for it and the rows of one mark can be split.
-    kept = found.join(stage(common, "common"), "mark")
-    # Places in one text, so an array is no longer than the text.
-    return kept.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places"))
+                part = batch.slice(at, 500)
+                yield _rows(part, [one(t.as_py() or "") for t in part.column(2)], ["place", "mark"], [pa.int32(), pa.int64()])
 
+    return texts.mapInArrow(run, "doc bigint, text_hash bigint, place int, mark bigint")
 
-def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
-    """(doc, text_hash, span, h1, h2, again) of every paragraph of every whole text that can occur elsewhere.
 
-    span is start * 2^32 + end, h1 and h2 are the digest's halves; again: the same text holds the paragraph before.
-    """
+def unit_digests(texts: DataFrame, places: DataFrame, least_words: int) -> DataFrame:
+    """(doc, text_hash, place, mark, span, h1, h2, again) of the units at some places; span is start * 2^32 + end."""
+    names = ["place", "mark", "span", "h1", "h2", "again"]
+    types = [pa.int32(), *[pa.int64()] * 4, pa.bool_()]
+
+    def one(text, among):
+        place, mark, start, end, h1, h2, again = units(text, least_words, among)
+        return place, mark, start.astype(np.int64) << 32 | end, h1, h2, again
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield _rows(part, [one(t.as_py(), p.as_py()) for t, p in zip(part.column(2), part.column(3))], names, types)
+
+    return _at(texts, places).mapInArrow(run, "doc bigint, text_hash bigint, place int, mark bigint, span bigint, h1 bigint, "
+                                              "h2 bigint, again boolean")
+
+
+def window_digests(texts: DataFrame, places: DataFrame, least_words: int) -> DataFrame:
+    """(doc, text_hash, span, h1, h2, again) of every window with a mark at one of some places."""
     names = ["doc", "text_hash", "span", "h1", "h2", "again"]
     types = [pa.int64()] * 5 + [pa.bool_()]
 
@@ -117,7 +177,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", least_word
             rows = []
             for doc, h, t, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 seen = set()
-                for start, end, digest in paragraphs(t.as_py() or "", least_words, places.as_py()):
+                for start, end, digest in paragraphs(t.as_py(), least_words, places.as_py()):
                     rows.append((doc, h, start << 32 | end, *digest, digest in seen))
                     seen.add(digest)
                 if len(rows) > 50_000:
@@ -126,11 +186,44 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", least_word
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=names)
 
-    marked = candidates(docs, key, text, least_words).withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"})
-    texts = _texts(docs, key, text)
-    source = texts.join(marked, texts["doc"].eqNullSafe(F.col("_doc")) & (texts["text_hash"] == F.col("_hash")))
-    return source.select("doc", "text_hash", "text", "places").mapInArrow(
-        run, "doc bigint, text_hash bigint, span bigint, h1 bigint, h2 bigint, again boolean")
+    return _at(texts, places).mapInArrow(run, "doc bigint, text_hash bigint, span bigint, h1 bigint, h2 bigint, again boolean")
+
+
+def _later(found: DataFrame, first: DataFrame) -> DataFrame:
+    """(doc, text_hash, span) of the rows of `found` that come after the `first` of their digest.
+
+    Both tables are written, so that both sides of the join are dealt out for it and the rows of one digest can be split.
+    """
+    rest = found.filter("not again").join(first.filter("n > 1").select("h1", "h2", "first"), ["h1", "h2"])
+    rest = rest.filter(F.struct(*RANK) > F.struct(*[f"first.{c}" for c in RANK]))
+    return rest.select("doc", "text_hash", "span").union(found.filter("again").select("doc", "text_hash", "span"))
+
+
+def _places(found: DataFrame) -> DataFrame:
+    # Places in one text, so an array is no longer than the text.
+    return found.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places"))
+
+
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20) -> DataFrame:
+    """(doc, text_hash, spans), written: where words stand that occur earlier too. What the steps write is deleted."""
+    texts, spark = _texts(docs, key, text), docs.sparkSession
+    rank, count = F.min(F.struct(*RANK)).alias("first"), F.count(F.lit(1)).alias("n")
+    with scratch(spark) as keep:
+        with scratch(spark) as brief:
+            found = brief(marked_places(texts, least_words), "marks")
+            common = brief(found.groupBy("mark").agg(count).filter("n > 1").select("mark"), "common")
+            places = keep(_places(found.join(common, "mark")), "places")
+        whole = keep(unit_digests(texts, places, least_words), "units")
+        first = keep(whole.filter("not again").groupBy("mark", "h1", "h2")
+                     .agg(F.min(F.struct(*RANK, "place")).alias("first"), count), "first-units")
+        later = keep(_later(whole, first), "later-units")
+        mixed = keep(first.groupBy("mark").agg(count).filter("n > 1").select("mark"), "mixed")
+        ends = keep(_places(first.join(mixed, "mark").select("first.*")), "ends")
+        windows = keep(window_digests(texts, ends, least_words), "windows")
+        first = keep(windows.filter("not again").groupBy("h1", "h2").agg(rank, count).filter("n > 1"), "first-windows")
+        every = later.union(_later(windows, first))
+        # A document's own spans, so an array is no longer than its text.
+        return stage(every.groupBy("doc", "text_hash").agg(F.collect_set("span").alias("spans")), "spans")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -153,30 +246,21 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def later_spans(found: DataFrame) -> DataFrame:
-    """(doc, text_hash, spans): where paragraphs stand that occur earlier too."""
-    once = found.filter(~F.col("again"))
-    first = (once.groupBy("h1", "h2").agg(F.min(F.struct(*RANK)).alias("first"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select("h1", "h2", "first"))
-    # Written, so that both sides of the join are dealt out for it and the rows of one digest can be split.
-    later = once.join(stage(first, "first"), ["h1", "h2"]).filter(F.struct(*RANK) > F.col("first"))
-    every = later.select("doc", "text_hash", "span").union(found.filter("again").select("doc", "text_hash", "span"))
-    # A document's own paragraphs, so an array is no longer than its text.
-    return every.groupBy("doc", "text_hash").agg(F.collect_set("span").alias("spans"))
-
-
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 20,
           removed: str = "removed_spans") -> DataFrame:
-    """The documents without what occurs earlier, and `removed`: array of (start, end) offsets in the original text."""
-    gone = later_spans(stage(digests(docs, key, text, least_words), "paragraphs")).select(
-        F.col("doc").alias("_gone_doc"), F.col("text_hash").alias("_gone_hash"),
+    """The documents without what occurs earlier, and `removed`: array of (start, end) offsets in the original text.
+
+    A table that has a column named `removed` keeps it, and the offsets get that name with underscores.
+    """
+    doc, digest, removed = (free_name(name, docs.columns) for name in ("_doc", "_hash", removed))
+    gone = repeats(docs, key, text, least_words).select(
+        F.col("doc").alias(doc), F.col("text_hash").alias(digest),
         F.transform("spans", lambda s: F.struct(F.shiftright(s, 32).cast("int").alias("start"),
                                                 F.bitwise_not(F.lit(-1 << 32)).bitwiseAND(s).cast("int").alias("end"))).alias(removed))
-    same = (F.col(key).cast("long").eqNullSafe(F.col("_gone_doc"))
-            & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_gone_hash")))
-    source = docs.drop(removed)
-    joined = source.join(gone, same, "left").select(*source.columns, removed)
-    text_at, spans_at = source.columns.index(text), len(source.columns)
+    same = (F.col(key).cast("long").eqNullSafe(F.col(doc))
+            & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(digest)))
+    joined = docs.join(gone, same, "left").select(*docs.columns, removed)
+    text_at, spans_at = docs.columns.index(text), len(docs.columns)
 
     def run(batches):
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))

@@ -592,3 +592,51 @@ def test_pipeline_on_odd_rows(spark, docs, empty):
         for _, function in corpus_pipeline.STAGES:
             kept = function(spark, kept, "").cache()
             kept.count()
+
+
+def test_user_columns_named_like_the_operators_own(spark):
+    passage = prose(99, 70)
+    rows = [(1, passage), (2, passage + "\nand more"), (2, passage + "\nand more")]
+    names = ["removed_spans", "removed_lines", "_doc", "_hash", "_gone", "_gone_doc", "_gone_hash", "spans", "place", "lines"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(n) for n in names})
+    for found, own, left in ((substring.dedup(docs), "removed_spans_", "\nand more"), (lines.dedup_lines(docs), "removed_lines_", "and more")):
+        assert found.columns == [*docs.columns, own]
+        kept = found.collect()
+        assert all(r[n] == n for r in kept for n in names)
+        assert sorted((r.doc_id, r.text, bool(r[own])) for r in kept) == [(1, passage, False), (2, left, True), (2, left, True)]
+
+
+def plain_repeats(rows, least):
+    """The characters of each text that lie in a run of `least` words with an earlier equal run; strings only."""
+    seen, out = {}, {}
+    for i, t in sorted(rows):
+        at = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"\S+", t)]
+        gone = set()
+        for k in range(len(at) - least + 1):
+            run, end = tuple(w for _, _, w in at[k:k + least]), at[k + least - 1][1]
+            first = seen.setdefault(run, (i, k, end))
+            if first[:2] != (i, k):
+                gone.update(range(max(at[k][0], first[2] if first[0] == i else 0), end))
+        out[i] = gone
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_units_equal_plain_runs_of_words(spark, seed):
+    """Passages cut at any word, nested, overlapping, periodic and mixed into other text."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choices("abcdefghij", k=r.choice([1, 3, 6])))
+    pool = [[word() for _ in range(r.randint(8, 90))] for _ in range(12)] + [["x", "y"] * 30, ["z"] * 50]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(r.randint(0, 5)):
+            p = r.choice(pool)
+            a = r.randrange(len(p))
+            words += p[a:r.randint(a, len(p))] + [word() for _ in range(r.randint(0, 12))]
+        rows.append((i, "".join(w.upper() + r.choice([" ", "\n", "  "]) if r.random() < .1 else w + " " for w in words)))
+    for least in (20, 7):
+        want = plain_repeats(rows, least)
+        found = substring.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), least_words=least).collect()
+        assert any(want.values())
+        assert {x.doc_id: {c for s in x.removed_spans for c in range(s.start, s.end)} for x in found} == want
