@@ -66,12 +66,16 @@ def lcs_length(a, b) -> int:
 
 
 def rouge_l(predicted: DataFrame, golden: DataFrame, key, **options) -> DataFrame:
-    """ROUGE-L recall of texts paired by key: longest common subsequence over the golden length, (*key, score)."""
-    key = [key] if isinstance(key, str) else list(key)
-    tokens = rouge_tokens("text", **options)
-    pairs = (predicted.select(*key, tokens.alias("_p")).join(golden.select(*key, tokens.alias("_g")), key)
-             .filter(F.size("_g") > 0))
-    return pairs.select(*key, F.round(_lcs("_p", "_g") / F.size("_g"), 9).alias("score"))
+    """ROUGE-L recall of texts paired by key: longest common subsequence over the golden length, (*key, score).
+
+    A predicted text whose golden one is missing or has no words keeps its row, with a null score. The subsequence is found with
+    one row of bits per word, so the work of a pair grows with the product of its lengths over 64, repeated words or not.
+    """
+    key, none = [key] if isinstance(key, str) else list(key), F.array().cast("array<string>")
+    tokens = F.coalesce(rouge_tokens("text", **options), none)
+    pairs = (predicted.select(*key, tokens.alias("_p")).join(golden.select(*key, tokens.alias("_g")), key, "left")
+             .withColumn("_g", F.coalesce("_g", none)))
+    return pairs.select(*key, F.when(F.size("_g") > 0, F.round(_lcs("_p", "_g") / F.size("_g"), 9)).alias("score"))
 
 
 def rouge_bootstrap(scores: DataFrame, replicates: int = 1000, key: str = "doc_id") -> DataFrame:

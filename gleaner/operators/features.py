@@ -1,5 +1,9 @@
 """Feature vocabulary and per-record feature sets."""
 
+import json
+
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions import text as tx
@@ -26,30 +30,29 @@ def feature_labels(lists: DataFrame, thesaurus: DataFrame, num_words: int = 20,
         F.explode(F.when(synset, F.col("members")).otherwise(F.array("item"))).alias("term"))
 
 
-def _label_array(labels: DataFrame) -> Column:
-    # One small array, in feature order; a vocabulary has a few terms per feature.
-    terms = labels.groupBy("feature_id", "kind").agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    return terms.agg(F.sort_array(F.collect_list(F.struct("feature_id", "kind", "terms")))).scalar()
-
-
-def _term_array(labels: DataFrame) -> Column:
-    return labels.agg(F.collect_set("term")).scalar()
-
-
 def feature_sets(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Add `count_feature_set` and `presence_feature_set`, one slot per feature, to rows with a `lemmas` array.
 
     Words and bigrams count their occurrences, a synset counts its members that occur. Works inside the row, so the
-    records are not shuffled and those without any feature stay.
+    records are not shuffled and those without any feature stay; null lemmas give null sets. Each lemma and bigram is looked
+    up once in a hashed vocabulary, then each feature reads its terms' counts: linear in lemmas plus terms. The vocabulary
+    comes to the driver; it has a few terms for each of the features that the parameters of `feature_labels` allow.
     """
-    columns = lists.columns
-    df = lists.withColumn("_labels", _label_array(labels)).withColumn("_terms", _term_array(labels))
-    present = F.filter(F.concat("lemmas", tx.pairs(F.col("lemmas"))), lambda x: F.array_contains("_terms", x))
-    df = df.select(*columns, "_labels", present.alias("_hits"))
-    counts = F.transform("_labels", lambda f: F.when(
-        f["kind"] == "synset", F.size(F.filter(f["terms"], lambda t: F.array_contains("_hits", t)))).otherwise(
-        F.size(F.filter("_hits", lambda h: h == f["terms"][0]))).cast("double"))
-    df = df.select(*columns, counts.alias("count_feature_set"))
+    columns, features = lists.columns, {}
+    for r in labels.select("feature_id", "kind", "term").collect():
+        features.setdefault((r.feature_id, r.kind), set()).add(r.term)
+    vocabulary = sorted(set().union(*features.values()))
+    if not vocabulary:
+        none = F.when(F.col("lemmas").isNotNull(), F.array().cast("array<double>"))
+        return lists.withColumns({"count_feature_set": none, "presence_feature_set": none})
+    at = {term: k for k, term in enumerate(vocabulary)}
+    slots = [{"synset": kind == "synset", "at": [at[t] for t in sorted(terms)]} for (_, kind), terms in sorted(features.items())]
+    terms = F.coalesce(F.concat("lemmas", tx.pairs(F.col("lemmas"))), F.array().cast("array<string>"))
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, "_terms", "_counts").transform(lists.withColumn("_terms", terms))
+    df = counted.select(*columns, vector_to_array("_counts").alias("_counts"))
+    counts = F.transform(F.from_json(F.lit(json.dumps(slots)), "array<struct<synset: boolean, at: array<int>>>"), lambda f: F.when(
+        f["synset"], F.size(F.filter(f["at"], lambda i: F.col("_counts")[i] > 0)).cast("double")).otherwise(F.col("_counts")[f["at"][0]]))
+    df = df.select(*columns, F.when(F.col("lemmas").isNotNull(), counts).alias("count_feature_set"))
     return df.withColumn("presence_feature_set", presence(F.col("count_feature_set")))
 
 

@@ -529,6 +529,16 @@ def rouge_sql(kind):
 
 for query, kind in (("rouge_1", "1"), ("rouge_2", "2"), ("rouge_su4", "s")):
     oracle(query, rouge_sql(kind), f"pd{kind}", f"gd{kind}", "docs")
+gram_rows("reply", "(SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant')", "conv_id, turn")
+gram_rows("prompt", "(SELECT conv_id, turn + 1 AS turn, text FROM conversations WHERE role = 'user')", "conv_id, turn")
+# A fold over the places where both texts hold the same word, the last one first for each word of the reply: s holds the least end of
+# a common subsequence of each length.
+SUBSEQUENCE = ("len(list_reduce(list_concat([CAST([] AS BIGINT[])], list_transform(places, lambda x: [x])), lambda s, x: list_concat("
+               "list_concat(list_filter(s, lambda v: v < x[1]), x), s[len(list_filter(s, lambda v: v < x[1])) + 2:])))")
+oracle("rouge_l", f"SELECT conv_id, turn, CASE WHEN n > 0 THEN round(coalesce({SUBSEQUENCE}, 0) / n, 9) END AS score FROM (SELECT conv_id, "
+       "turn FROM conversations WHERE role = 'assistant') LEFT JOIN (SELECT conv_id, turn, count(*) AS n FROM promptt GROUP BY ALL) USING "
+       "(conv_id, turn) LEFT JOIN (SELECT conv_id, turn, list(g.i ORDER BY p.i, g.i DESC) AS places FROM replyt p JOIN promptt g USING "
+       "(conv_id, turn, w) GROUP BY ALL) USING (conv_id, turn)", "replyt", "promptt")
 DIGITS = "substr(md5(CAST(doc_id AS VARCHAR) || '/' || CAST(r // 4 AS VARCHAR)), CAST(8 * (r % 4) + 1 AS INTEGER), 8)"
 DRAW = " + ".join(f"CASE WHEN h >= '{cut}' THEN 1 ELSE 0 END" for cut in sampling.POISSON_THRESHOLDS)
 oracle("rouge_bootstrap", "SELECT round(avg(m), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, "

@@ -204,6 +204,27 @@ def test_feature_sets_count_by_kind(spark):
     assert got == {0: ([2.0, 2.0, 1.0], [1.0, 1.0, 1.0]), 1: ([0.0, 0.0, 0.0], [0.0, 0.0, 0.0])}
 
 
+def test_feature_sets_of_a_large_vocabulary(spark):
+    """5,000 features, terms shared by features, a null list and an empty vocabulary."""
+    import random
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(3000)]
+    kinds = [(k, "word", [words[k]]) for k in range(3000)]
+    kinds += [(k, "bigram", [" ".join(rng.choices(words[:60], k=2))]) for k in range(3000, 4000)]
+    kinds += [(k, "synset", rng.sample(words, 6) + ["unseen"]) for k in range(4000, 5000)]
+    table = spark.createDataFrame([(k, kind, x) for k, kind, terms in kinds for x in terms], "feature_id int, kind string, term string")
+    texts = [(k, [rng.choice(words[:60] if k % 2 else words) for _ in range(400)]) for k in range(6)] + [(6, []), (7, None)]
+    rows = spark.createDataFrame(texts, "doc_id bigint, lemmas array<string>")
+    found = {r.doc_id: (r.count_feature_set, r.presence_feature_set) for r in features.feature_sets(rows, table).collect()}
+    for k, lemmas in texts[:7]:
+        held = lemmas + [f"{a} {b}" for a, b in zip(lemmas, lemmas[1:])]
+        want = [float(len(set(terms) & set(held)) if kind == "synset" else held.count(terms[0])) for _, kind, terms in kinds]
+        assert found[k] == (want, [min(n, 1.0) for n in want])
+    assert found[7] == (None, None)
+    none = features.feature_sets(rows, table.limit(0)).collect()
+    assert {r.doc_id: (r.count_feature_set, r.presence_feature_set) for r in none} == {k: ([], []) for k in range(7)} | {7: (None, None)}
+
+
 def test_presence_clips_counts(spark):
     row = spark.createDataFrame([([0.0, 2.0, 0.0, 4.0],)], "c array<double>").select(features.presence(F.col("c")).alias("p"))
     assert row.first().p == [0.0, 1.0, 0.0, 1.0]
@@ -465,6 +486,12 @@ def test_rouge_l(spark):
     assert counts(evaluate.rouge_l(p, g, "doc_id", drop_stop=False), "doc_id", "score") == {0: 0.75, 1: 1.0}
 
 
+def test_rouge_l_keeps_texts_without_golden_words(spark):
+    p, g = docs(spark, "storm hit coast", "storm", "storm", None), docs(spark, "storm hit", "!", None, "storm")
+    g = g.filter("doc_id <> 1").unionByName(spark.createDataFrame([(9, "storm")], "doc_id bigint, text string"), True)
+    assert counts(evaluate.rouge_l(p, g, "doc_id", drop_stop=False), "doc_id", "score") == {0: 1.0, 1: None, 2: None, 3: 0.0}
+
+
 def test_lcs_against_table():
     import random
     rng = random.Random(3)

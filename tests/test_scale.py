@@ -122,3 +122,19 @@ def test_summary_of_a_very_long_text(spark):
     rows = rows.unionByName(spark.createDataFrame([(1, None), (2, ""), (3, "the of and."), (4, "Coast. Coast storm. Rain")], "doc_id long, text string"))
     found = {r.doc_id: r.summary for r in summary.doc_summary(rows, "storm").collect()}
     assert set(found) == {0, 4} and found[4] == "Coast. Coast storm. Rain" and found[0].count(".") == 5
+
+
+def test_scratch_deletes_its_tables(spark):
+    import os
+    from gleaner.sources.staging import FREE_SHUFFLES, scratch, stage
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    with scratch(spark) as keep:
+        small = keep(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "small")
+        path = small.inputFiles()[0].removeprefix("file:").lstrip("/")
+        assert os.path.exists("/" + path)
+        kept = stage(small.filter("k < 3").groupBy().count(), "kept")
+    assert not os.path.exists("/" + path) and kept.first()[0] == 3
+    assert spark.conf.get(FREE_SHUFFLES, None) == before
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        1 / 0
+    assert spark.conf.get(FREE_SHUFFLES, None) == before
