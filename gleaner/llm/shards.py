@@ -53,7 +53,7 @@ def range_of(column: str, bounds: list[int]) -> F.Column:
 
 
 def place(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
-          overfull: float = 2.0) -> DataFrame:
+          overfull: float = 2.0, bytes_per_range: int = 128 * 1024 * 1024) -> DataFrame:
     """The whole records with their shard and slot, in the partitions of their ranges.
 
     Shard s holds the records whose first byte, in key order, is in the s-th of `shards` equal parts of all bytes.
@@ -62,7 +62,7 @@ def place(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "t
     rows = stage(sized(docs, key, text).withColumn("tie", F.monotonically_increasing_id())
                  .withColumn("range_key", F.coalesce("key", lowest)), "sized")
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = max(shards, math.ceil(n / rows_per_range))
+    ranges = max(shards, math.ceil(n / rows_per_range), math.ceil(total / bytes_per_range))
     bounds = splitters(rows, ranges, total)
     ranged = rows.withColumn("range", range_of("range_key", bounds))
 
@@ -93,9 +93,9 @@ def place(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "t
 
 
 def shard(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
-          overfull: float = 2.0) -> DataFrame:
+          overfull: float = 2.0, bytes_per_range: int = 128 * 1024 * 1024) -> DataFrame:
     """Digests of the placed records: key, size, text_crc32, shard, slot."""
-    return place(docs, shards, key, text, rows_per_range, overfull).select(
+    return place(docs, shards, key, text, rows_per_range, overfull, bytes_per_range).select(
         F.col(key).cast("long").alias(key), *_size_and_checksum(F.col(text)), "shard", "slot")
 
 

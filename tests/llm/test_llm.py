@@ -404,6 +404,14 @@ def test_shards_of_a_hot_key(spark):
     check_shards(rows, shards.shard(frame, 8, rows_per_range=100).collect(), 8)
 
 
+def test_ranges_are_bounded_by_bytes(spark):
+    """Few rows with long texts make as many ranges as their bytes need."""
+    rows = [(k, "y" * (2000 if k % 5 else 40_000)) for k in range(300)]
+    placed = shards.place(spark.createDataFrame(rows, "doc_id long, text string"), 3, bytes_per_range=100_000)
+    check_shards(rows, shards.shard(spark.createDataFrame(rows, "doc_id long, text string"), 3, bytes_per_range=100_000).collect(), 3)
+    assert sorted((r.doc_id, r.text) for r in placed.collect()) == rows
+
+
 def test_whole_records_reach_their_shards(spark, docs, tmp_path):
     placed = shards.place(docs, 4)
     assert placed.columns == [*docs.columns, "shard", "slot"]
