@@ -5,7 +5,9 @@ from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
+# Sizes of the hidden layers, and the columns dropped when relevant records are saved.
 HIDDEN_LAYERS = (100, 50, 10)
+NOT_SAVED = ["count_feature_set", "feature_count", "label", "presence_feature_set", "record", "features"]
 
 
 def with_vectors(features: DataFrame, column: str = "presence_feature_set") -> DataFrame:
@@ -96,5 +98,4 @@ def select_features(predicted: DataFrame, labels: DataFrame, k: int = 50) -> Dat
 
 def saved_columns(merged: DataFrame) -> DataFrame:
     """The columns kept when relevant records are saved; the text goes back to its source name."""
-    return (merged.withColumn("Sentences_t", F.col("record"))
-            .drop("count_feature_set", "feature_count", "label", "presence_feature_set", "record", "features"))
+    return merged.withColumn("Sentences_t", F.col("record")).drop(*NOT_SAVED)
