@@ -6,13 +6,15 @@ shard boundaries fall at equal shares of all bytes: shards differ by the size of
 written once with their row number and shuffled once, to their ranges; `save` writes a folder of each shard.
 
 Null text counts as empty, a null key sorts first. Rows with equal keys are ordered by checksum and size; rows that
-equal each other in those too may swap slots. An empty table gives an empty result. All columns are kept.
+equal each other in those too may swap slots. An empty table gives an empty result. All columns are kept; where the
+table has a column `shard` or `slot`, the operator's own gets underscores appended (`names`).
 """
 
 import math
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from gleaner.llm.names import free_name
 from gleaner.sources.staging import stage
 
 OVERHEAD = 16  # fixed value: bytes that each record takes besides its text
@@ -52,6 +54,11 @@ def range_of(column: str, bounds: list[int]) -> F.Column:
     return F.expr(found)
 
 
+def names(docs: DataFrame) -> tuple[str, str]:
+    """The columns of shard and slot that `place` adds to a table."""
+    return free_name("shard", docs.columns), free_name("slot", docs.columns)
+
+
 def place(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
           overfull: float = 2.0, bytes_per_range: int = 128 * 1024 * 1024) -> DataFrame:
     """The whole records with their shard and slot, in the partitions of their ranges.
@@ -87,18 +94,21 @@ def place(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "t
                           F.lit(shards - 1)).cast("int").alias("shard"),
         (F.col("records_before") + F.col("rank")).alias("rank"))
     first = placed.groupBy("shard").agg(F.min("rank").alias("first"))  # one row per shard, from the narrow columns alone
-    kept = [F.col("record")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    kept = [F.col("record")[c].alias(c) for c in docs.columns]
+    shard_name, slot_name = names(docs)
     return placed.join(F.broadcast(first), "shard").select(
-        *kept, "shard", (F.col("rank") - F.col("first")).cast("long").alias("slot"))
+        *kept, F.col("shard").alias(shard_name), (F.col("rank") - F.col("first")).cast("long").alias(slot_name))
 
 
 def shard(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text", rows_per_range: int = 1_000_000,
           overfull: float = 2.0, bytes_per_range: int = 128 * 1024 * 1024) -> DataFrame:
     """Digests of the placed records: key, size, text_crc32, shard, slot."""
+    shard_name, slot_name = names(docs)
     return place(docs, shards, key, text, rows_per_range, overfull, bytes_per_range).select(
-        F.col(key).cast("long").alias(key), *_size_and_checksum(F.col(text)), "shard", "slot")
+        F.col(key).cast("long").alias(key), *_size_and_checksum(F.col(text)),
+        F.col(shard_name).alias("shard"), F.col(slot_name).alias("slot"))
 
 
-def save(placed: DataFrame, path: str) -> None:
-    """Write the records, one folder for each shard, in order of slot within each file."""
-    placed.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+def save(placed: DataFrame, path: str, shard: str = "shard", slot: str = "slot") -> None:
+    """Write the records, one folder for each shard, in order of slot within each file; see `names` for the columns."""
+    placed.sortWithinPartitions(shard, slot).write.mode("overwrite").partitionBy(shard).parquet(path)
