@@ -11,7 +11,8 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
         around = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         around = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    least = around.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+    # Written, so that adaptive execution can split the join at the centre of a large star.
+    least = stage(around.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
     joined = around.join(least, "a")
     if larger:
         moved = joined.filter("b > a").select(F.col("m").alias("a"), "b")

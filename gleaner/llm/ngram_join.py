@@ -250,26 +250,28 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     firsts = named.join(texts, "set_key").filter("id = text_id and text_hash = first_hash")
 
     banded = firsts.select("set_key", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last")).filter("first < last")
-    near = banded.join(buckets.select("band", "first"), "band").select(F.col("first").alias("a"), F.col("set_key").alias("b"))
+    # The aggregated side of each join is written, so that adaptive execution can split a hot band, family, id or set.
+    buckets = stage(banded.groupBy("band").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
+                    .filter("first < last").select("band", "first"), "buckets")
+    near = banded.join(buckets, "band").select(F.col("first").alias("a"), F.col("set_key").alias("b"))
     families = stage(components(near).withColumnRenamed("id", "set_key"), "families")
 
     sized = families.join(firsts.select("id", "text_hash", "set_key", "copies", "n_grams"), "set_key")
-    loads = sized.groupBy("root").agg(F.ceil(F.sum(F.col("n_grams") + VALUES) / BLOCK).cast("int").alias("blocks"))
+    loads = stage(sized.groupBy("root").agg(F.ceil(F.sum(F.col("n_grams") + VALUES) / BLOCK).cast("int").alias("blocks")), "loads")
     members = sized.join(loads, "root").drop("n_grams")
     found = stage(_verified(members, docs, key, text, n, threshold, tolerance), "verified")
 
     # An id with several texts is one document: its texts are linked.
     shared = named.join(texts, "set_key").filter("id <> text_id").groupBy("id", "text_id").count()
-    twice = named.groupBy("id").agg(F.countDistinct("set_key").alias("n")).filter("n > 1").select("id")
+    twice = stage(named.groupBy("id").agg(F.countDistinct("set_key").alias("n")).filter("n > 1").select("id"), "twice")
     same_id = shared.join(twice, "id").select(F.col("id").alias("a"), F.col("text_id").alias("b"))
-    roots = components(found.filter("b is not null").select("a", "b").union(same_id))
+    roots = stage(components(found.filter("b is not null").select("a", "b").union(same_id)), "roots")
     links = found.filter("b is null").groupBy("set_key").agg(F.sum("links").alias("links"))
-    marked = (texts.join(roots.withColumnRenamed("id", "text_id"), "text_id", "left")
-              .join(links, "set_key", "left")
-              .select("set_key", "text_id", F.coalesce("root", "text_id").alias("root"),
-                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-              .filter("n_links > 0 or root <> text_id"))
+    marked = stage(texts.join(roots.withColumnRenamed("id", "text_id"), "text_id", "left")
+                   .join(links, "set_key", "left")
+                   .select("set_key", "text_id", F.coalesce("root", "text_id").alias("root"),
+                           (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+                   .filter("n_links > 0 or root <> text_id"), "marked")
     linked = rows.select("id", F.when(F.col("id").isNotNull(), F.col("set_key")).alias("set_key")).join(marked, "set_key", "left")
     return linked.select(F.col("id").alias(key), F.coalesce("root", "id").alias("class_id"),
                          F.coalesce("text_id", "id").alias("text_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
