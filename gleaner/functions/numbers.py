@@ -11,6 +11,13 @@ MONTH = "|".join("Sept?(?:ember)?" if m == "September" else m if len(m) == 3 els
 # Month and day, month and year, or all three; day first or month first, with or without point and comma.
 DATE = (rf"\b(?:[0-9]{{1,2}} (?:{MONTH})\b[.]?(?:,? [0-9]{{4}})?"
         rf"|(?:{MONTH})\b[.]? (?:[0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{4}}|[0-9]{{1,2}}))")
+_DAYS = r"[0-9]{1,2}(?: ?(?:-|–|to|through) ?[0-9]{1,2}\b)?"
+_PLAIN_MONTH = "|".join(m for m in MONTH.split("|") if m not in ("May", "Mar(?:ch)?"))  # those two are words, too
+_TIME = "(?:[Ii]n|[Oo]f|[Ss]ince|[Dd]uring|[Uu]ntil|[Bb]y|[Ee]arly|[Ll]ate)"
+_FULL = (rf"(?:{_DAYS} (?:{MONTH})\b(?:[.]?,? [0-9]{{4}}\b)?"
+         rf"|(?:{MONTH})\b[.]? (?:{_DAYS},? [0-9]{{4}}\b|[0-9]{{4}}\b|{_DAYS}\b))")
+# A date or a part of one: days of a month with or without year, a month, or what follows a word of time: any month or a year.
+PERIOD = rf"\b(?:{_TIME} (?:{_FULL}|(?:{MONTH})\b|(?:19|20)[0-9]{{2}}\b)|{_FULL}|(?:{_PLAIN_MONTH})\b)"
 KPH_TO_MPH = 0.62137
 CM_PER_INCH = 2.54
 SPEED_UNITS = {"mph": ("mph", "miles per hour", "mile per hour"),
@@ -97,6 +104,32 @@ def date_of(text: str) -> Column:
     return parts.try_cast("date")
 
 
+def periods_of(text: Column) -> Column:
+    """Array of the dates and parts of dates in a text, without the word of time before them."""
+    return F.transform(find_all(text, PERIOD), lambda x: F.regexp_replace(x, f"^{_TIME} ", ""))
+
+
+def interval_of(text: str) -> Column:
+    """First and last day that a date text may mean, as (first_day, last_day); null without a year or with an impossible day.
+
+    A year alone is all its days, a month with a year all of the month, "14-16 September 2018" three days. The smallest and the
+    largest number from 1 to 31 are the days, the last number above 1900 is the year.
+    """
+    value, month, days = F.col(text), month_of(text), days_of(F.col(text))
+    year = last(years_of(value)).cast("string")
+
+    def day(month, number):
+        return F.concat(F.lpad(year, 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"),
+                        F.lpad(number.cast("string"), 2, "0")).try_cast("date")
+    one = F.lit(1)
+    # A number beside no month is no day: a year stands alone then.
+    first = (F.when(month.isNull(), day(one, one)).when(F.size(days) == 0, day(month, one))
+             .otherwise(day(month, F.array_min(days))))
+    end = (F.when(month.isNull(), day(F.lit(12), F.lit(31))).when(F.size(days) == 0, F.last_day(day(month, one)))
+           .otherwise(day(month, F.array_max(days))))
+    return F.when(first.isNotNull() & end.isNotNull(), F.struct(first.alias("first_day"), end.alias("last_day")))
+
+
 def month_name(month: Column) -> Column:
     """Full name of a month number."""
     return F.get(F.array(*[F.lit(m) for m in vocab.MONTHS]), month - 1)

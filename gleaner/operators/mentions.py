@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.functions import text as tx
-from gleaner.functions.joins import fits
+from gleaner.functions.joins import fits, lookup_join
 from gleaner.functions.numbers import DATE, LENGTH_UNITS, NUMBER, OTHER_UNITS, SPEED_UNITS
 from gleaner.sources.staging import stage
 
@@ -99,6 +99,25 @@ def sentences_with_place(sentences: DataFrame, gazetteer: DataFrame, kind: str,
     return sentences.join(found.select(*key).distinct(), list(key), "left_semi")
 
 
+RUN = r"(?:[Tt]he )?[A-Z][a-z]+(?: [A-Z][a-z]+)+"
+
+
+def organisations(texts: DataFrame, keep=("doc_id",), min_share: float = 0.5, min_runs: int = 2) -> DataFrame:
+    """One row per mention of an organisation: (*keep, type, ord, mention), by evidence of the whole corpus.
+
+    A capitalised run of two words or more counts when its last word ends runs often enough: `min_runs` times, `min_share` of
+    them after "the", as in "the Red Cross", "the Coast Guard". People, storms and most places go without the article. The
+    texts are read twice, for the evidence and for the mentions.
+    """
+    runs = texts.select(*keep, F.posexplode(tx.find_all(F.col("text"), RUN)).alias("ord", "_run"))
+    runs = runs.select(*keep, "ord", F.rlike("_run", F.lit("^[Tt]he ")).alias("_the"),
+                       F.regexp_replace("_run", "^[Tt]he ", "").alias("mention"))
+    runs = runs.withColumn("_head", F.element_at(F.split("mention", " "), -1)).filter("mention LIKE '% %'")
+    heads = (runs.groupBy("_head").agg(F.count(F.lit(1)).alias("n"), F.count_if("_the").alias("after"))
+             .filter((F.col("n") >= min_runs) & (F.col("after") >= min_share * F.col("n"))).select("_head"))
+    return lookup_join(runs, heads, "_head").select(*keep, F.lit("ORG").alias("type"), "ord", "mention")
+
+
 def mentions_of(mentions: DataFrame, kind: str) -> DataFrame:
     """Mentions of one type, everything but letters and digits replaced by spaces."""
     cleaned = F.regexp_replace("mention", "[^a-zA-Z0-9]", " ")

@@ -178,22 +178,60 @@ def consensus_dates(facts: DataFrame, slot: str = "landfall_date", by: str = "ev
         F.concat(name, F.lit(" "), "year").alias("month_year"))
 
 
+def periods(sentences: DataFrame, by: str = "event_key") -> DataFrame:
+    """Dates and parts of dates that sentences mention, as spans of days: (by, value, month, first_day, last_day, n).
+
+    A month without a year has no days. Each distinct text is counted first and read once.
+    """
+    texts = (sentences.select(by, F.explode(nb.periods_of(F.col("text"))).alias("value"))
+             .groupBy(by, "value").agg(F.count(F.lit(1)).alias("n")))
+    span = texts.select(by, "value", nb.month_of("value").alias("month"), nb.interval_of("value").alias("span"), "n")
+    return span.select(by, "value", "month", "span.first_day", "span.last_day", "n")
+
+
+def likely_period(periods: DataFrame, by: str = "event_key") -> DataFrame:
+    """The days that most mentions of an event allow, the earliest such stretch: (by, first_day, last_day, n).
+
+    Spans are added up at their first day and taken off after their last, so an event has at most a row a day from there on.
+    """
+    ends = periods.filter("first_day IS NOT NULL").select(by, F.inline(F.array(
+        F.struct(F.col("first_day").alias("day"), F.col("n").alias("change")),
+        F.struct(F.date_add("last_day", 1).alias("day"), (-F.col("n")).alias("change")))))
+    days = ends.groupBy(by, "day").agg(F.sum("change").alias("change")).filter("change <> 0")
+    order = Window.partitionBy(by).orderBy("day")
+    running = days.select(by, "day", F.sum("change").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("n"),
+                          F.lead("day").over(order).alias("next"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("day").alias("first_day"), F.date_sub("next", 1).alias("last_day")))
+    return (running.filter("n > 0").groupBy(by).agg(best.alias("best"))
+            .select(by, "best.first_day", "best.last_day", (-F.col("best.n")).alias("n")))
+
+
 def first_dates(sentences: DataFrame, names: DataFrame, by: str = "event_key") -> DataFrame:
-    """Earliest complete date in the sentences that hold the event's name, from names(by, value): (by, first_date)."""
-    dated = (sentences.select(by, "text", tx.find_all(F.col("text"), nb.DATE).alias("dates"))
+    """Earliest complete date in the sentences that hold the event's name, from names(by, value): (by, first_date).
+
+    Of a range of days the first one counts.
+    """
+    dated = (sentences.select(by, "text", nb.periods_of(F.col("text")).alias("dates"))
              .filter(F.size("dates") > 0))
     named = lookup_join(dated, names.select(by, F.col("value").alias("_name")), by)
     # Distinct date texts are counted out first, so each is parsed once.
     texts = (named.filter(F.contains("text", F.col("_name"))).select(by, F.explode("dates").alias("value")).distinct())
-    return (texts.withColumn("date", nb.date_of("value")).groupBy(by).agg(F.min("date").alias("first_date"))
+    complete = nb.month_of("value").isNotNull() & (F.size(nb.days_of(F.col("value"))) > 0)
+    first = F.when(complete, nb.interval_of("value")["first_day"])
+    return (texts.withColumn("date", first).groupBy(by).agg(F.min("date").alias("first_date"))
             .filter("first_date IS NOT NULL"))
 
 
 def mentions_by_type(sentences: DataFrame, gazetteer: DataFrame, keywords=None, patterns=None,
-                     by: str = "event_key") -> DataFrame:
-    """Mentions of each type in the sentences with a keyword: (by, type, mention, n)."""
+                     by: str = "event_key", organisations: bool = False) -> DataFrame:
+    """Mentions of each type in the sentences with a keyword: (by, type, mention, n).
+
+    With `organisations` those too, as type ORG; the evidence for them comes from the same sentences.
+    """
     near = relevant_sentences(sentences, keywords or KEYWORDS["restoration"])
     found = mn.mentions(near, patterns or mn.EVENT_PATTERNS, gazetteer, keep=(by,))
+    if organisations:
+        found = found.unionByName(mn.organisations(near, keep=(by,)))
     return found.groupBy(by, "type", "mention").agg(F.count(F.lit(1)).alias("n"))
 
 

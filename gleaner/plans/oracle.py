@@ -442,6 +442,64 @@ part("modes", mode_sql("(SELECT * FROM @named UNION ALL SELECT * FROM @heads UNI
 part("firsts", "SELECT event_key, min(date) AS first_date FROM @datedfull JOIN (SELECT event_key, value AS nm FROM @modes "
                "WHERE slot = 'name') USING (event_key) WHERE contains(text, nm) AND date IS NOT NULL GROUP BY event_key")
 oracle("slot_first_date", "SELECT * FROM firsts", "firsts")
+# Losses, help and times. Patterns and words are written out here, apart from those of the operators.
+part("bulletins", """SELECT event_key, CASE (ok // 4) % 6
+  WHEN 0 THEN concat('Damage of $', price, ' was reported in ', n_name, ' during ', mon, ' ', yr, '.')
+  WHEN 1 THEN concat(k, ' people were injured in ', n_name, ' on ', d, '-', greatest(d, least(d + 2, 28)), ' ', mon, ' ', yr,
+    ', and damages reached $', k, '.5 million.')
+  WHEN 2 THEN concat('The toll rose to two deaths and ', k, ' injuries in ', yr, '.')
+  WHEN 3 THEN concat('The Red Cross opened a shelter in ', n_name, ' with aid of ', k, ' million dollars on ', mon, ' ', d, ', ', yr, '.')
+  WHEN 4 THEN concat('Damages of ', k, ' billion dollars and 1,', lpad(CAST(k AS VARCHAR), 3, '0'), ' injuries were counted by ', mon, '.')
+  ELSE concat('Power was restored after three hundred injuries, said John ', list_aggregate(list_transform(string_split(n_name, ' '),
+    lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' '), ' of the Coast Guard.') END AS text, ok
+FROM (SELECT r.r_name AS event_key, o.o_orderkey AS ok, n.n_name, CAST(CAST(floor(o.o_totalprice) AS BIGINT) AS VARCHAR) AS price,
+  o.o_orderkey % 97 + 2 AS k, day(o.o_orderdate) AS d, strftime(o.o_orderdate, '%B') AS mon, strftime(o.o_orderdate, '%Y') AS yr
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)""")
+MONTH_NAMES = "January|February|March|April|May|June|July|August|September|October|November|December"
+TIMES = (f"\\b(?:[0-9]+-[0-9]+ (?:{MONTH_NAMES}) [0-9]{{4}}|(?:{MONTH_NAMES}) [0-9]+, [0-9]{{4}}|(?:{MONTH_NAMES}) [0-9]{{4}}"
+         f"|by (?:{MONTH_NAMES})|in [0-9]{{4}})\\b")
+# Words as rows: a number with the scale word after it, the nearest cue of its kind by distance, the later one on ties.
+part("lossword", f"SELECT event_key, ok, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM (SELECT event_key, ok, "
+                 f"regexp_extract_all(lower(regexp_replace(text, '{TIMES}', '', 'g')), '[$]?[0-9][0-9,]*([.][0-9]+)?|[a-z_][a-z0-9_]*', 0) AS ws "
+                 "FROM @bulletins)")
+part("lossnext", "SELECT *, lead(w) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM @lossword WINDOW o AS (PARTITION BY ok ORDER BY i)")
+part("lossamount", "SELECT event_key, ok, i AS a, i + CASE WHEN s > 1 THEN 1 ELSE 0 END AS b, CAST(round(v * s) AS BIGINT) AS value, "
+                   "starts_with(w, '$') OR (s > 1 AND w2 = 'dollars') AS money FROM (SELECT *, CASE w WHEN 'two' THEN 2 WHEN 'three' "
+                   "THEN 3 ELSE TRY_CAST(replace(replace(w, '$', ''), ',', '') AS DOUBLE) END AS v, CASE w1 WHEN 'hundred' THEN 100 "
+                   "WHEN 'million' THEN 1000000 WHEN 'billion' THEN 1000000000 ELSE 1 END AS s FROM @lossnext) WHERE v IS NOT NULL")
+part("losscue", "SELECT ok, i, CASE WHEN w IN ('damage', 'damages') THEN 'damage' WHEN w IN ('injured', 'injuries') THEN 'injuries' "
+                "ELSE 'deaths' END AS slot FROM @lossword WHERE w IN ('damage', 'damages', 'injured', 'injuries', 'death', 'deaths')")
+part("losses", "SELECT event_key, slot, value, count(*) AS n FROM (SELECT m.*, slot, row_number() OVER (PARTITION BY ok, a ORDER BY CASE "
+               "WHEN i > b THEN i - b ELSE a - i END, i < a) AS r FROM @lossamount m JOIN @losscue c USING (ok) WHERE (slot = 'damage') "
+               "= money) WHERE r = 1 GROUP BY ALL")
+oracle("slot_amounts", "SELECT * FROM losses", "losses")
+for query, slot in (("slot_damage", "damage"), ("slot_injuries", "injuries")):
+    oracle(query, "SELECT event_key, min(value) AS low, quantile_cont(CAST(value AS DOUBLE), 0.5) AS median, max(value) AS high, count(*) AS n FROM "
+           f"(SELECT event_key, value, unnest(range(n)) FROM losses WHERE slot = '{slot}') GROUP BY event_key", "losses")
+part("spans", "SELECT event_key, value, month, CASE WHEN year IS NULL THEN NULL WHEN month IS NULL THEN make_date(year, 1, 1) ELSE "
+              "make_date(year, month, coalesce(d1, 1)) END AS first_day, CASE WHEN year IS NULL THEN NULL WHEN month IS NULL THEN "
+              "make_date(year, 12, 31) WHEN d1 IS NULL THEN last_day(make_date(year, month, 1)) ELSE make_date(year, month, coalesce(d2, "
+              "d1)) END AS last_day, n FROM (SELECT event_key, value, n, CAST(nullif(list_position(string_split('" + MONTH_NAMES + "', '|'), "
+              "regexp_extract(value, '[A-Z][a-z]+')), 0) AS INTEGER) AS month, TRY_CAST(regexp_extract(value, '[0-9]{4}') AS INTEGER) AS "
+              "year, TRY_CAST(nums[1] AS INTEGER) AS d1, TRY_CAST(nums[2] AS INTEGER) AS d2 FROM (SELECT event_key, value, count(*) AS n, "
+              "regexp_extract_all(regexp_replace(value, '[0-9]{4}', ''), '[0-9]+') AS nums FROM (SELECT event_key, regexp_replace(unnest("
+              f"regexp_extract_all(text, '{TIMES}')), '^(by|in) ', '') AS value FROM @bulletins) GROUP BY event_key, value))")
+oracle("date_intervals", "SELECT * FROM spans", "spans")
+oracle("slot_likely_period", "SELECT event_key, first_day, last_day, n FROM (SELECT *, row_number() OVER (PARTITION BY event_key ORDER BY n "
+       "DESC, first_day) AS r FROM (SELECT event_key, day AS first_day, CAST(lead(day) OVER o - INTERVAL 1 DAY AS DATE) AS last_day, "
+       "CAST(sum(change) OVER o AS BIGINT) AS n FROM (SELECT event_key, day, sum(change) AS change FROM (SELECT event_key, first_day AS "
+       "day, n AS change FROM spans WHERE first_day IS NOT NULL UNION ALL SELECT event_key, CAST(last_day + INTERVAL 1 DAY AS DATE), -n "
+       "FROM spans WHERE first_day IS NOT NULL) GROUP BY ALL HAVING sum(change) <> 0) WINDOW o AS (PARTITION BY event_key ORDER BY day)) "
+       "WHERE n > 0) WHERE r = 1", "spans")
+# Months stand without year in no help sentence, and "Coast Guard" and "Red Cross" are the only runs after "the".
+part("help", "SELECT event_key, text FROM @bulletins WHERE " + contains_sql(("restored", "restoration", "aid", "shelter")))
+part("helpname", "SELECT event_key, unnest([x FOR x IN ['Red Cross', 'Coast Guard'] IF contains(text, 'he ' || x)]) AS mention FROM @help")
+part("helptime", f"SELECT event_key, unnest(regexp_extract_all(text, '(?:{MONTH_NAMES}) [0-9]+, [0-9]{{4}}')) AS mention FROM @help")
+part("helpplace", "SELECT event_key, n_name AS mention FROM @help JOIN nation ON regexp_matches(text, '\\b' || n_name || '\\b')")
+oracle("slot_restoration", "SELECT event_key, type, mention, count(*) AS n FROM (SELECT event_key, 'ORG' AS type, mention FROM helpname "
+       "UNION ALL SELECT event_key, 'DATE', mention FROM helptime UNION ALL SELECT event_key, 'GPE', mention FROM helpplace) GROUP BY ALL",
+       "helpname", "helptime", "helpplace")
 part("filled", """SELECT event_key, m.name, m.storm, m.category, m.landfall_category, m.headcount,
   p.landfall_place_1, p.landfall_place_2, p.evacuation_place_1, p.evacuation_place_2, p.evacuation_place_3,
   winds.low AS wind_low, winds.high AS wind_high, winds.mean AS wind_mean,

@@ -4,7 +4,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from gleaner.functions import numbers as nb
-from gleaner.operators import (cluster, evaluate, features, groups, label, mentions, model, slots, summary, text,
+from gleaner.operators import (amounts, cluster, evaluate, features, groups, label, mentions, model, slots, summary, text,
                                weights)
 from gleaner.plans import tables as t
 from gleaner.sources import records as src
@@ -558,6 +558,41 @@ def slot_mentions_by_type(spark, sf):
     return slots.mentions_by_type(t.reports(spark, sf), t.gazetteer(spark, sf), t.KEYWORDS["restoration"])
 
 
+@query
+def slot_amounts(spark, sf):
+    return amounts.amount_facts(t.bulletins(spark, sf))
+
+
+def _losses(spark, sf, slot):
+    facts = amounts.amount_facts(t.bulletins(spark, sf)).filter(F.col("slot") == slot)
+    return amounts.amount_summary(facts).select("event_key", "low", "median", "high", "n")
+
+
+@query
+def slot_damage(spark, sf):
+    return _losses(spark, sf, "damage")
+
+
+@query
+def slot_injuries(spark, sf):
+    return _losses(spark, sf, "injuries")
+
+
+@query
+def slot_restoration(spark, sf):
+    return slots.mentions_by_type(t.bulletins(spark, sf), t.gazetteer(spark, sf), organisations=True)
+
+
+@query
+def date_intervals(spark, sf):
+    return slots.periods(t.bulletins(spark, sf))
+
+
+@query
+def slot_likely_period(spark, sf):
+    return slots.likely_period(slots.periods(t.bulletins(spark, sf)))
+
+
 @query
 def slot_date_consensus(spark, sf):
     return slots.consensus_dates(_facts(spark, sf, "landfall_date")).select("event_key", "date_text")

@@ -123,5 +123,31 @@ def reports(spark, sf) -> DataFrame:
     return joined.select(F.col("r_name").alias("event_key"), sentence.alias("text"))
 
 
+def bulletins(spark, sf) -> DataFrame:
+    """(event_key, text): one sentence on losses, help and times per order, in six forms."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    joined = (orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+              .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+              .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    date, place, number = F.col("o_orderdate"), F.col("n_name"), F.col("o_orderkey")
+    price, people = F.floor("o_totalprice").cast("string"), (number % 97 + 2).cast("string")
+    day, until = F.dayofmonth(date), F.greatest(F.dayofmonth(date), F.least(F.dayofmonth(date) + 2, F.lit(28))).cast("string")
+    month, year = F.date_format(date, "MMMM"), F.date_format(date, "yyyy")
+
+    def say(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    kind = F.floor(number / 4) % 6
+    sentence = (
+        F.when(kind == 0, say("Damage of $", price, " was reported in ", place, " during ", month, " ", year, "."))
+        .when(kind == 1, say(people, " people were injured in ", place, " on ", day.cast("string"), "-", until, " ", month, " ", year,
+                             ", and damages reached $", people, ".5 million."))
+        .when(kind == 2, say("The toll rose to two deaths and ", people, " injuries in ", year, "."))
+        .when(kind == 3, say("The Red Cross opened a shelter in ", place, " with aid of ", people, " million dollars on ", month, " ",
+                             day.cast("string"), ", ", year, "."))
+        .when(kind == 4, say("Damages of ", people, " billion dollars and 1,", F.lpad(people, 3, "0"), " injuries were counted by ", month, "."))
+        .otherwise(say("Power was restored after three hundred injuries, said John ", F.initcap(place), " of the Coast Guard.")))
+    return joined.select(F.col("r_name").alias("event_key"), sentence.alias("text"))
+
+
 def gazetteer(spark, sf) -> DataFrame:
     return table(spark, sf, "nation").select(F.lit("GPE").alias("type"), F.col("n_name").alias("text"))
