@@ -9,18 +9,22 @@ def uniform(key: Column, seed: str = "") -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def poisson(key: Column, block: Column) -> Column:
-    """Four Poisson(1) draws fixed by key and block number, as an array, from one MD5.
-
-    Fixed-width hex compares like the number it spells, so a draw is the count of cumulative thresholds passed by eight
-    digits of the digest.
-    """
+def poisson_digits(key: Column, block: Column) -> Column:
+    """Four times eight hex digits fixed by key and block number, as an array, from one MD5."""
     digest = F.md5(F.concat(key.cast("string"), F.lit("/"), block.cast("string")))
+    return F.array(*[F.substring(digest, 8 * i + 1, 8) for i in range(4)])
+
 
-    def draw(i):
-        digits = F.substring(digest, 8 * i + 1, 8)
-        return sum((F.when(digits >= t, 1).otherwise(0) for t in POISSON_THRESHOLDS), F.lit(0))
-    return F.array(*[draw(i) for i in range(4)])
+def poisson(digits: Column) -> Column:
+    """The Poisson(1) draw of eight hex digits.
+
+    Fixed-width hex compares like the number it spells, so a draw is the count of cumulative thresholds passed. Few draws pass
+    many, so the first threshold not passed ends the search.
+    """
+    draw = F.when(digits < POISSON_THRESHOLDS[0], 0)
+    for n, threshold in enumerate(POISSON_THRESHOLDS[1:], start=1):
+        draw = draw.when(digits < threshold, n)
+    return draw.when(digits.isNotNull(), len(POISSON_THRESHOLDS)).otherwise(0)
 
 
 def _thresholds(limit: int = 12):

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gleaner.functions import text as tx, vocab
 from gleaner.functions.joins import lookup_join
-from gleaner.functions.sampling import poisson
+from gleaner.functions.sampling import POISSON_THRESHOLDS, poisson, poisson_digits
 from gleaner.sources.staging import stage
 
 SKIP_REACH = 5
@@ -82,13 +82,17 @@ def rouge_bootstrap(scores: DataFrame, replicates: int = 1000, key: str = "doc_i
     """Mean score and the 95 % interval of its bootstrap distribution, one row.
 
     Resampling weights are Poisson(1) draws fixed by key and replicate, so every replicate is a weighted mean and the
-    shuffle carries `replicates` rows per task.
+    shuffle carries `replicates` rows per task. The draws, not the few bytes of a score, are the work, so the scores are dealt
+    out to as many tasks as a shuffle has; sized by bytes, a task would hold tens of millions of draws.
     """
+    tasks = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))).alias("block")
-    drawn = scores.select(key, "score", blocks).select(
-        "score", "block", F.posexplode(poisson(F.col(key), F.col("block"))).alias("i", "w"))
-    means = (drawn.select((F.col("block") * 4 + F.col("i")).alias("replicate"), "score", "w")
-             .filter((F.col("w") > 0) & (F.col("replicate") < replicates))
+    drawn = scores.select(key, "score").repartition(tasks).select(key, "score", blocks).select(
+        "score", "block", F.posexplode(poisson_digits(F.col(key), F.col("block"))).alias("i", "digits"))
+    # A draw of zero is known from its first threshold, before any weight is made.
+    means = (drawn.filter(F.col("digits") >= POISSON_THRESHOLDS[0])
+             .select((F.col("block") * 4 + F.col("i")).alias("replicate"), "score", poisson(F.col("digits")).alias("w"))
+             .filter(F.col("replicate") < replicates)
              .groupBy("replicate").agg((F.sum(F.col("score") * F.col("w")) / F.sum("w")).alias("mean")))
     cuts = means.agg(F.percentile("mean", F.array(F.lit(0.025), F.lit(0.975))).alias("cuts"),
                      F.avg("mean").alias("mean"))
