@@ -1,5 +1,7 @@
 """Entity mentions from typed patterns and a gazetteer, and their counts."""
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.functions import text as tx
@@ -26,10 +28,15 @@ def mentions(texts: DataFrame, patterns: dict, gazetteer: DataFrame = None, keep
         return F.transform(found, lambda m, i: F.struct(F.lit(kind).alias("type"), i.alias("ord"), m.alias("mention")))
     found = F.concat(*[typed(kind, tx.find_all(F.col("text"), p)) for kind, p in patterns.items()])
     if gazetteer is None:
-        return texts.select(*keep, F.inline(found))
-    index = place_index(gazetteer)
+        return _inlined(texts, found, keep)
+    index = stage(place_index(gazetteer), "index")
+    listed = listed_places(index)
+    if listed is not None:
+        # Null where the text is, as the patterns' matches are.
+        return _inlined(texts, F.concat(found, F.transform(F.expr(listed), lambda x: F.struct(
+            x["type"].alias("type"), x["ord"].alias("ord"), x["mention"].alias("mention")))), keep)
     if not fits(index):
-        return texts.select(*keep, F.inline(found)).unionByName(_places_of_many(texts, index, keep))
+        return _inlined(texts, found, keep).unionByName(_places_of_many(texts, index, keep))
     # Words are cells like the pattern's matches, so the text is read once; a cell without type is a word.
     words = typed(None, F.col("_words"))
     cells = F.concat(F.transform(found, lambda x: F.struct(x["type"].alias("_type"), x["ord"].alias("_at"), x["mention"].alias("_cell"))),
@@ -43,6 +50,11 @@ def mentions(texts: DataFrame, patterns: dict, gazetteer: DataFrame = None, keep
                        F.when(F.col("_type").isNull(), F.col("mention")).otherwise(F.col("_cell")).alias("mention"))
 
 
+def _inlined(texts, cells, keep):
+    # The outer form: for the inner one Spark adds a size filter that finds the cells a second time.
+    return texts.select(*keep, F.inline_outer(cells)).filter("ord IS NOT NULL")
+
+
 #: Whether the entry of a row stands in `_words` with its anchor at place `_at`.
 STANDS = "_at >= _offset AND slice(_words, _at - _offset + 1, size(_entry)) = _entry"
 
@@ -68,6 +80,27 @@ def place_index(gazetteer: DataFrame) -> DataFrame:
             .select("_best._anchor", "_best._offset", "_entry", "type", "mention"))
 
 
+LISTED_PLACES = 1000  # rows of an index that an expression may list
+
+
+def listed_places(index: DataFrame, text: str = "text") -> str | None:
+    """SQL for the array of (type, ord, mention) of an index of at most `LISTED_PLACES` rows in a text; None for a larger one.
+
+    Found inside the row: words that are anchors meet their entries, no other word leaves the row.
+    """
+    rows = index.limit(LISTED_PLACES + 1).collect()
+    if not rows or len(rows) > LISTED_PLACES:
+        return None
+    entries = json.dumps([{"a": r["_anchor"], "o": r["_offset"], "e": r["_entry"], "t": r["type"], "m": r["mention"]} for r in rows])
+    entries = f"from_json({tx.quote(entries)}, 'array<struct<a: string, o: int, e: array<string>, t: string, m: string>>')"
+    anchors = ", ".join(tx.quote(a) for a in sorted({r["_anchor"] for r in rows}))
+    at = f"filter(transform(ws, (w, i) -> if(w IN ({anchors}), named_struct('w', w, 'i', i), NULL)), x -> x IS NOT NULL)"
+    stands = "e.a = x.w AND x.i >= e.o AND slice(ws, x.i - e.o + 1, size(e.e)) = e.e"
+    found = (f"flatten(transform({at}, x -> transform(filter({entries}, e -> {stands}), "
+             "e -> named_struct('type', e.t, 'ord', x.i - e.o, 'mention', e.m))))")
+    return f"element_at(transform(array(regexp_extract_all({text}, {tx.quote(PLACE_WORD)}, 0)), ws -> {found}), 1)"
+
+
 def _places_of_many(texts, index, keep):
     # An index too large for every task: words travel with their place alone, and meet the words around them by row.
     rows = stage(texts.select(*keep, place_words().alias("_words")).withColumn("_row", F.monotonically_increasing_id()), "words")
@@ -80,7 +113,10 @@ def _places_of_many(texts, index, keep):
 
 def place_mentions(texts: DataFrame, gazetteer: DataFrame, keep=("doc_id",)) -> DataFrame:
     """One row per mention of a gazetteer entry: (*keep, type, ord, mention)."""
-    index = place_index(gazetteer)
+    index = stage(place_index(gazetteer), "index")
+    listed = listed_places(index)
+    if listed is not None:
+        return _inlined(texts, F.expr(listed), keep)
     if not fits(index):
         return _places_of_many(texts, index, keep)
     rows = texts.withColumn("_words", place_words()).select(*keep, "_words", F.posexplode("_words").alias("_at", "_anchor"))
@@ -95,8 +131,12 @@ def sentences_with_type(sentences: DataFrame, kind: str, patterns: dict) -> Data
 
 def sentences_with_place(sentences: DataFrame, gazetteer: DataFrame, kind: str, key) -> DataFrame:
     """Keep sentences that mention a gazetteer entry of the given type; `key` names the sentence id columns."""
-    found = place_mentions(sentences, gazetteer.filter(F.col("type") == kind), key)
-    return sentences.join(found.select(*key).distinct(), list(key), "left_semi")
+    chosen, key = gazetteer.filter(F.col("type") == kind), list(key)
+    listed = listed_places(place_index(chosen)) if "text" in key else None
+    if listed is not None:
+        # A row's text is part of its key, so the row itself decides; a null key holds no mention, as in the join.
+        return sentences.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in key)).filter(F.size(F.expr(listed)) > 0)
+    return sentences.join(place_mentions(sentences, chosen, key).select(*key).distinct(), key, "left_semi")
 
 
 RUN = r"(?:[Tt]he )?[A-Z][a-z]+(?: [A-Z][a-z]+)+"

@@ -14,6 +14,7 @@ from gleaner.functions.joins import fits, lookup_join
 from gleaner.functions.text import quote
 from gleaner.operators import mentions as mn
 from gleaner.operators.text import relevant_sentences
+from gleaner.sources.staging import stage
 
 # Topic words, and the patterns of names and categories.
 KEYWORDS = {
@@ -77,8 +78,10 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
     found = sentences.select(by, "text", tx.find_all(text, mn.QUANTITY).alias("quantities"),
                              tx.find_all(text, nb.DATE).alias("dates"))
     placed = [s for s in slots if s in PLACES]
-    index = mn.place_index(gazetteer.withColumn("type", F.lit("place"))) if placed else None
-    if placed and not fits(index):
+    index = stage(mn.place_index(gazetteer.withColumn("type", F.lit("place"))), "index") if placed else None
+    listed = mn.listed_places(index) if placed else None
+    looked_up = placed and listed is None  # by a join of all words, not inside the row
+    if looked_up and not fits(index):
         # The words of a gazetteer too large for every task are looked up apart.
         others = [s for s in slots if s not in PLACES]
         said = relevant_sentences(sentences, (*words["landfall"], *words["evacuation"]))
@@ -89,15 +92,17 @@ def facts(sentences: DataFrame, gazetteer: DataFrame = None, slots=SLOTS, keywor
         return facts(sentences, None, others, keywords, by).unionByName(counted_places) if others else counted_places
     if placed:
         words["place"] = (*words["landfall"], *words["evacuation"])
-        found = found.withColumn("_words", F.expr(near("place", f"regexp_extract_all(text, {quote(mn.PLACE_WORD)}, 0)")))
+        said = f"regexp_extract_all(text, {quote(mn.PLACE_WORD)}, 0)" if looked_up else f"transform({listed}, p -> p.mention)"
+        found = found.withColumn("_words", F.expr(near("place", said)))
 
     def cell(slot):
-        at = "i" if slot in placed else "cast(NULL AS int)"
+        at = "i" if looked_up and slot in placed else "cast(NULL AS int)"
         return f"transform({values[slot]}, (v, i) -> named_struct('slot', {quote(slot)}, 'value', v, '_at', {at}))"
 
     cells = ", ".join(cell(s) for s in slots)
-    rows = found.select(by, *(["_words"] if placed else []), F.expr(f"inline(concat({cells}))"))
-    if placed:
+    # The outer form: for the inner one Spark adds a size filter that finds all values a second time.
+    rows = found.select(by, *(["_words"] if looked_up else []), F.expr(f"inline_outer(concat({cells}))")).filter("slot IS NOT NULL")
+    if looked_up:
         # A word becomes the places that it anchors, before the shuffle, so that only real ones are counted.
         rows = rows.withColumn("_anchor", F.when(F.col("_at").isNotNull(), F.col("value")))
         rows = (rows.join(F.broadcast(index), "_anchor", "left").filter(F.col("_at").isNull() | F.expr(mn.STANDS))
@@ -115,9 +120,11 @@ def modes(facts: DataFrame, slots=MODAL, by: str = "event_key") -> DataFrame:
 def top_values(facts: DataFrame, limits: dict, by: str = "event_key") -> DataFrame:
     """The most frequent values of each slot, `limits` maps slot to k: (by, slot, rank, value, n)."""
     order = Window.partitionBy(by, "slot").orderBy(F.desc("n"), "value")
-    parts = [facts.filter(F.col("slot") == s).withColumn("rank", F.row_number().over(order))
-             .filter(F.col("rank") <= k) for s, k in limits.items()]
-    return reduce(DataFrame.unionByName, parts).select(by, "slot", "rank", "value", "n")
+    slot = F.col("slot")
+    # One pass for all slots: the facts may cost a scan of all sentences.
+    limit = reduce(lambda c, s: c.when(slot == s, limits[s]), limits, F.when(F.lit(False), 0))
+    return (facts.filter(slot.isin(*limits)).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+            .select(by, "slot", "rank", "value", "n"))
 
 
 def ranges(facts: DataFrame, slots=NUMERIC, floors=None, by: str = "event_key") -> DataFrame:
@@ -211,11 +218,12 @@ def first_dates(sentences: DataFrame, names: DataFrame, by: str = "event_key") -
 
     Of a range of days the first one counts.
     """
-    dated = (sentences.select(by, "text", nb.periods_of(F.col("text")).alias("dates"))
-             .filter(F.size("dates") > 0))
-    named = lookup_join(dated, names.select(by, F.col("value").alias("_name")), by)
-    # Distinct date texts are counted out first, so each is parsed once.
-    texts = (named.filter(F.contains("text", F.col("_name"))).select(by, F.explode("dates").alias("value")).distinct())
+    # Written out, as the names may cost a scan of all sentences and the join reads them twice.
+    names = stage(names.select(by, F.col("value").alias("_name")), "names")
+    named = lookup_join(sentences.select(by, "text"), names, by).filter(F.contains("text", F.col("_name")))
+    # Dates are sought in the sentences with the name alone, once (the inner form of explode would add a size filter that
+    # seeks them again). Distinct date texts are counted out first, so each is parsed once.
+    texts = (named.select(by, F.explode_outer(nb.periods_of(F.col("text"))).alias("value")).filter("value IS NOT NULL").distinct())
     complete = nb.month_of("value").isNotNull() & (F.size(nb.days_of(F.col("value"))) > 0)
     first = F.when(complete, nb.interval_of("value")["first_day"])
     return (texts.withColumn("date", first).groupBy(by).agg(F.min("date").alias("first_date"))
