@@ -118,13 +118,27 @@ def rouge_words(text: str, stop=None, stem: bool = True, length: int = None) ->
     return F.expr(out)
 
 
+def _aside(abbreviations) -> list[tuple[str, str]]:
+    """(pattern, replacement) for the rules of `kept_marks`, the same places found from the mark, which is rare, by looking around.
+
+    Abbreviations that are no plain words stay with the patterns of `kept_marks`: a look behind needs a known length.
+    """
+    inside, acronym, short = [(rf"[{m}](?=[\p{{L}}\p{{N}}])", a) for m, a in zip(MARKS, ASIDE)], kept_marks(())[-1], []
+    if abbreviations and all(a.isalpha() for a in abbreviations):
+        # U+10000 is a letter and changes nothing, but with it a look behind counts letters of two units as one.
+        short = [(r"[.](?<=(?:^|[^\p{L}\p{N}" + "\U00010000" + rf"])(?:{'|'.join(abbreviations)})[.])", ASIDE[0])]
+    elif abbreviations:
+        short = [(kept_marks(abbreviations)[-1][0], f"$1{ASIDE[0]}")]
+    return [*inside, (acronym[0], f"$1{acronym[1]}"), *short]
+
+
 def split_sentences(text: Column, abbreviations=ABBREVIATIONS) -> Column:
     """Array of trimmed sentences; a mark ends one before anything but a letter or digit, unless it closes an abbreviation.
 
     The private characters U+E000 to U+E002 in a text come out as the marks that they stand for.
     """
-    for pattern, aside in kept_marks(abbreviations):
-        text = F.regexp_replace(text, pattern, f"$1{aside}$2")
+    for pattern, replacement in _aside(abbreviations):
+        text = F.regexp_replace(text, pattern, replacement)
     return F.transform(find_all(text, SENTENCE), lambda s: F.trim(F.translate(s, ASIDE, MARKS)))
 
 

@@ -77,7 +77,8 @@ def _ranked(summaries: DataFrame, key: str):
 
     Sorted ranges of keys are numbered inside each partition; the offsets come from one count per partition.
     """
-    ordered = summaries.repartitionByRange(key).sortWithinPartitions(key)
+    # Written out first: the sampling of the ranges would make every summary a second time.
+    ordered = stage(summaries, "summaries").repartitionByRange(key).sortWithinPartitions(key)
     numbered = stage(ordered.withColumn("_id", F.monotonically_increasing_id()), "ranked")
     part, place = F.shiftright("_id", 33).cast("int"), F.col("_id").bitwiseAND((1 << 33) - 1)
     numbered = numbered.withColumn("_part", part).withColumn("_place", place)
