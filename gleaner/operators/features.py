@@ -12,15 +12,20 @@ from gleaner.sources.staging import stage
 
 
 def feature_labels(lists: DataFrame, thesaurus: DataFrame, num_words: int = 20, num_bigrams: int = 10,
-                   min_share: float = 0.1) -> DataFrame:
+                   min_share: float = 0.1, stats: DataFrame = None) -> DataFrame:
     """The feature vocabulary: (feature_id, kind, term), kind is 'bigram', 'word' or 'synset' (one row per member).
 
     Built from the `num_words` most important words and the `num_bigrams` most frequent bigrams, so it is small
-    whatever the size of the corpus.
+    whatever the size of the corpus. `stats` are the written rows of `weights.term_stats` on written lists: with them the
+    words need no scan, and the bigrams only those of frequent words.
     """
     # A list of num_words rows with four readers, so it is written out once.
-    words = stage(weights.important_words(lists, num_words, min_share=min_share), "words")
-    merged = groups.merge_collocations(weights.top_bigrams(lists, num_bigrams), words, num_bigrams, num_words,
+    words = stage(weights.important_words(lists, num_words, min_share=min_share, stats=stats), "words")
+    if stats is None:
+        bigrams = weights.top_bigrams(lists, num_bigrams)
+    else:
+        bigrams = weights.frequent_bigrams(lists, stats, num_bigrams)
+    merged = groups.merge_collocations(bigrams, words, num_bigrams, num_words,
                                        word_value="score")
     synonyms = groups.synonym_groups(words, thesaurus, "score").select(F.col("word").alias("item"), "members")
     joined = merged.join(synonyms, "item", "left")

@@ -9,6 +9,11 @@ def _count(items: DataFrame, name: str) -> DataFrame:
     return items.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _exploded(lists, items, name):
+    # The outer form: for the inner one Spark adds a size filter that computes the items, and the lists below, again.
+    return lists.select(F.posexplode_outer(items).alias("_pos", name)).filter("_pos IS NOT NULL").select(name)
+
+
 def word_count(lists: DataFrame) -> DataFrame:
     """Occurrences of each lemma: (lemma, n)."""
     # The outer form: for the inner one Spark adds a size filter that computes the lists a second time.
@@ -17,12 +22,12 @@ def word_count(lists: DataFrame) -> DataFrame:
 
 def bigram_count(lists: DataFrame) -> DataFrame:
     """Occurrences of each pair of neighbouring lemmas: (bigram, n)."""
-    return _count(lists.select(F.explode(tx.pairs(F.col("lemmas"))).alias("bigram")), "bigram")
+    return _count(_exploded(lists, tx.pairs(F.col("lemmas")), "bigram"), "bigram")
 
 
 def cooccurrence(lists: DataFrame, window: int = 5) -> DataFrame:
     """Ordered pairs of lemmas less than `window` places apart: (bigram, n). A window of 2 is `bigram_count`."""
-    return _count(lists.select(F.explode(tx.skip_pairs(F.col("lemmas"), window - 1)).alias("bigram")), "bigram")
+    return _count(_exploded(lists, tx.skip_pairs(F.col("lemmas"), window - 1), "bigram"), "bigram")
 
 
 def doc_frequency(lists: DataFrame) -> DataFrame:
@@ -36,14 +41,20 @@ def term_stats(lists: DataFrame, by=()) -> DataFrame:
 
     The row with records > 0 counts the records themselves (n = df = 0), so that their number needs no second scan.
     """
-    marker = F.struct(F.lit("").alias("item"), F.lit(None).cast("int").alias("first"))
-    cells = F.concat(F.array(marker), tx.histogram("lemmas"))
-    return (lists.select(*by, F.explode(cells).alias("cell"))
-            .select(*by, F.col("cell.item").alias("lemma"), F.col("cell.first").alias("first"))
-            .groupBy(*by, "lemma").agg(
-                F.count("first").alias("n"),
-                F.coalesce(F.sum("first"), F.lit(0)).cast("bigint").alias("df"),
-                (F.count(F.lit(1)) - F.count("first")).alias("records")))
+    # A marker, every lemma, then each different one: the place tells which, so no array is sorted or taken apart by a lambda.
+    # The outer form, as in `word_count`.
+    cells = F.concat(F.array(F.lit("")), F.col("lemmas"), F.array_distinct("lemmas"))
+    place, held = F.col("_place"), F.col("_size")
+    return (lists.select(*by, F.size("lemmas").alias("_size"), F.posexplode_outer(cells).alias("_place", "lemma"))
+            .filter("_place IS NOT NULL").groupBy(*by, "lemma").agg(
+                F.count_if((place > 0) & (place <= held)).alias("n"),
+                F.count_if((place > held) & F.col("lemma").isNotNull()).alias("df"),
+                F.count_if(place == 0).alias("records")))
+
+
+def counts_of(stats: DataFrame) -> DataFrame:
+    """The counts of `word_count` from the rows of `term_stats`: (lemma, n)."""
+    return stats.filter("lemma IS NOT NULL AND n > 0").select("lemma", "n")
 
 
 def with_totals(stats: DataFrame) -> DataFrame:
@@ -64,8 +75,8 @@ def term_frequency(lists: DataFrame) -> DataFrame:
     return counts.withColumn("tf", F.col("n") / total)
 
 
-def _frequent(lists, min_share):
-    return with_totals(term_stats(lists)).filter(F.col("df") > F.col("size") * F.lit(min_share))
+def _frequent(lists, min_share, stats=None):
+    return with_totals(term_stats(lists) if stats is None else stats).filter(F.col("df") > F.col("size") * F.lit(min_share))
 
 
 def idf(lists: DataFrame, min_share: float = 0.1) -> DataFrame:
@@ -73,10 +84,13 @@ def idf(lists: DataFrame, min_share: float = 0.1) -> DataFrame:
     return _frequent(lists, min_share).select("lemma", "df", F.log10(F.col("size") / F.col("df")).alias("idf"))
 
 
-def tf_idf(lists: DataFrame, min_share: float = 0.1) -> DataFrame:
-    """Corpus TF-IDF of lemmas in more than `min_share` of the records: (lemma, n, df, score)."""
+def tf_idf(lists: DataFrame, min_share: float = 0.1, stats: DataFrame = None) -> DataFrame:
+    """Corpus TF-IDF of lemmas in more than `min_share` of the records: (lemma, n, df, score).
+
+    `stats` are the rows of `term_stats` on these lists where they have been written out.
+    """
     score = F.col("n") / F.col("total") * F.log10(F.col("size") / F.col("df"))
-    return _frequent(lists, min_share).select("lemma", "n", "df", F.round(score, 12).alias("score"))
+    return _frequent(lists, min_share, stats).select("lemma", "n", "df", F.round(score, 12).alias("score"))
 
 
 def top(df: DataFrame, value: str, item: str, k: int = None) -> DataFrame:
@@ -96,9 +110,40 @@ def top_bigrams(lists: DataFrame, k: int = 10, window: int = 2) -> DataFrame:
     return top(bigram_count(lists) if window == 2 else cooccurrence(lists, window), "n", "bigram", k)
 
 
-def important_words(lists: DataFrame, k: int = 20, scores: bool = True, min_share: float = 0.1) -> DataFrame:
+PILOT_WORDS, LISTED_WORDS = 200, 2000  # words of the first count of `frequent_bigrams`, and words that a plan may list
+
+
+def frequent_bigrams(lists: DataFrame, stats: DataFrame, k: int = 10) -> DataFrame:
+    """The rows of `top_bigrams` for written lists and their written `term_stats`, without counting all bigrams.
+
+    Exact: a bigram occurs no more often than either of its words. The k-th largest count among pairs of the most frequent
+    words is a bound that the k best bigrams reach, so only words that reach it can be in them. All bigrams are counted where
+    that leaves too many words, or where a lemma is null or holds a space, as then a
+    bigram's words aren't known.
+    """
+    def among(words):
+        listed = f"IN ({', '.join(map(tx.quote, words))})"
+        rest = "greatest(size(lemmas) - 1, 0)"
+        pairs = (f"filter(zip_with(slice(lemmas, 1, {rest}), slice(lemmas, 2, {rest}), "
+                 f"(a, b) -> if(a {listed} AND b {listed}, concat(a, ' ', b), NULL)), p -> p IS NOT NULL)")
+        return _count(_exploded(lists, F.expr(pairs), "bigram"), "bigram")
+    counts = counts_of(stats)
+    words = [r.lemma for r in top(counts, "n", "lemma", PILOT_WORDS).collect()]
+    if not words:
+        return top_bigrams(lists, k)
+    best = top(among(words), "n", "bigram", k).collect()
+    bound = best[-1].n if len(best) == k else 1
+    odd = F.col("lemma").isNull() | F.contains("lemma", F.lit(" "))
+    reach, others = stats.filter("n > 0").agg(F.count_if(F.col("n") >= bound), F.count_if(odd)).first()
+    if others or reach > LISTED_WORDS:
+        return top_bigrams(lists, k)
+    words = [r.lemma for r in counts.filter(F.col("n") >= bound).select("lemma").collect()]
+    return top(among(words), "n", "bigram", k)
+
+
+def important_words(lists: DataFrame, k: int = 20, scores: bool = True, min_share: float = 0.1, stats: DataFrame = None) -> DataFrame:
     """The k lemmas with the largest TF-IDF."""
-    best = top(tf_idf(lists, min_share), "score", "lemma", k)
+    best = top(tf_idf(lists, min_share, stats), "score", "lemma", k)
     return best if scores else best.select("lemma")
 
 

@@ -237,8 +237,7 @@ def merge_collocations(spark, sf):
 
 @query
 def feature_labels(spark, sf):
-    lists = t.staged_lists(spark, sf)
-    return features.feature_labels(lists, t.thesaurus(lists))
+    return t.feature_labels(t.staged_lists(spark, sf))
 
 
 @query

@@ -56,12 +56,12 @@ def lexicon(spark, sf) -> DataFrame:
             .select("token", kind.alias("tag"), F.left(word, F.length(word) - 2).alias("lemma")))
 
 
-def thesaurus(lemma_lists: DataFrame) -> DataFrame:
-    """Words related by stem: (word, related).
+def thesaurus(lemma_lists: DataFrame, counts: DataFrame = None) -> DataFrame:
+    """Words related by stem: (word, related); `counts` are the lists' word counts where they have been written out.
 
     A stem has at most one word per suffix and one without, so a group holds at most six words.
     """
-    counts = weights.word_count(lemma_lists)
+    counts = weights.word_count(lemma_lists) if counts is None else counts
     stem = F.regexp_replace("lemma", "(tion|ing|ed|ly|ble)$", "")
     grouped = (counts.select("lemma", stem.alias("stem"))
                .filter(F.length("stem") >= 2).groupBy("stem").agg(F.collect_list("lemma").alias("words")))
@@ -74,10 +74,16 @@ def staged_lists(spark, sf, keep=()) -> DataFrame:
     return stage(lists(spark, sf, ("lang", *keep)), "lemmas")
 
 
+def feature_labels(lemma_lists: DataFrame) -> DataFrame:
+    """The feature vocabulary of written lists, from one written count of their words."""
+    stats = stage(weights.term_stats(lemma_lists), "stats")
+    return features.feature_labels(lemma_lists, thesaurus(lemma_lists, weights.counts_of(stats)), stats=stats)
+
+
 def feature_table(spark, sf, keep=()) -> DataFrame:
     """(doc_id, *keep, lemmas, count_feature_set, presence_feature_set); the vocabulary is written out for reuse."""
     lemma_lists = staged_lists(spark, sf, keep)
-    labels = stage(features.feature_labels(lemma_lists, thesaurus(lemma_lists)), "labels")
+    labels = stage(feature_labels(lemma_lists), "labels")
     return features.feature_sets(lemma_lists.drop("lang"), labels)
 
 
