@@ -34,7 +34,9 @@ def rouge(predicted: DataFrame, golden: DataFrame, kind=1, by=(), key: str = "do
     by, tokens, grams = list(by), rouge_tokens("text", **options), _grams(F.col("_tokens"), kind)
     gold = (golden.select(*by, tokens.alias("_tokens")).select(*by, F.explode(grams).alias("gram"))
             .groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("gold_n")))
-    rows = predicted.select(key, *by, tokens.alias("_tokens")).select(key, *by, F.explode(grams).alias("gram"))
+    # The outer form: for the inner one Spark adds a size filter that makes tokens and grams a second time.
+    rows = (predicted.select(key, *by, tokens.alias("_tokens")).select(key, *by, F.explode_outer(grams).alias("gram"))
+            .filter("gram IS NOT NULL"))
     matched = lookup_join(rows, gold, [*by, "gram"])
     shared = (matched.groupBy(key, *by, "gram", "gold_n").agg(F.count(F.lit(1)).alias("n"))
               .select(key, *by, F.least("n", "gold_n").alias("hits")))
@@ -106,7 +108,8 @@ def _bags(tokens: DataFrame, kind) -> DataFrame:
     The k-th occurrence of a gram is an item of its own, so that shared items count like shared occurrences. Sentences that
     are equal as bags become one row with the first key: copies cost nothing later.
     """
-    sorted_grams = tokens.select("key", F.sort_array(_grams(F.col("tokens"), kind)).alias("s")).filter(F.size("s") > 0)
+    # Exploded from an array of one, so that the filter can't repeat the sorting.
+    sorted_grams = tokens.select("key", F.explode_outer(F.array(F.sort_array(_grams(F.col("tokens"), kind)))).alias("s")).filter(F.size("s") > 0)
     same = F.sha2(F.array_join("s", "\u0001"), 256)
     once = sorted_grams.groupBy(same.alias("digest")).agg(F.min(F.struct("key", "s")).alias("x")).select("x.key", "x.s")
     # Runs of equal grams in the sorted array, each from its start to the next one's.

@@ -24,7 +24,9 @@ def whitespace_tokens(records: DataFrame, key: str = "doc_id") -> DataFrame:
 def sentences(records: DataFrame, min_length: int = 20, key: str = "doc_id") -> DataFrame:
     """One row per sentence of at least `min_length` characters: (key, sent_no, text), plus the url when present."""
     carried = [key] + [c for c in ("url",) if c in records.columns]
-    return (records.select(*carried, F.posexplode(tx.split_sentences(F.col("text"))).alias("sent_no", "text"))
+    # The outer form: for the inner one Spark adds a size filter that splits the text a second time.
+    return (records.select(*carried, F.posexplode_outer(tx.split_sentences(F.col("text"))).alias("sent_no", "text"))
+            .filter("sent_no IS NOT NULL")
             .filter(F.length("text") >= min_length))
 
 
