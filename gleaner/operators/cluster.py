@@ -1,7 +1,5 @@
 """Clusters and topics on Spark ML, with distances, exemplars and sizes."""
 
-from functools import reduce
-
 from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
 from pyspark.ml.feature import HashingTF, IDF, Tokenizer
 from pyspark.ml.linalg import VectorUDT
@@ -10,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from gleaner.functions import text as tx
 from gleaner.functions.numbering import numbered
 from gleaner.operators import weights
+from gleaner.operators.topics import sweep
 from gleaner.sources.staging import new_path, stage
 
 FEATURE_TYPES = ("count", "tfidf")
@@ -206,17 +205,11 @@ def topic_sweep(lists: DataFrame, ks=(10, 9, 8, 7, 6), num_words: int = 2, vocab
                 seed: int = 7, key: str = "doc_id") -> DataFrame:
     """Topic models for several k on lemma lists: (k, topic, rank, term, weight); without `vocab_size` on all lemmas.
 
-    Fitted by expectation-maximisation on the graph of records and words, where the weights of a word are held beside it:
-    neither the words nor the topics' weights come to the driver, only the strongest `num_words` of each topic.
+    Fitted by expectation-maximisation on blocks of records, all models in the same passes: neither the words nor the topics'
+    weights come to the driver, only the strongest `num_words` of each topic.
     """
     terms = doc_terms(lists, key=key)
     numbers = term_numbers(terms, vocab_size)
-    vectors = sparse_vectors(terms, numbers, key).select("features").persist()
-    try:
-        parts = []
-        for k in ks:
-            model = LDA(k=k, featuresCol="features", maxIter=passes, seed=seed, optimizer="em").fit(vectors)
-            parts.append(topics(model, numbers, num_words).select(F.lit(k).alias("k"), "*"))
-    finally:
-        vectors.unpersist()
-    return reduce(DataFrame.unionByName, parts)
+    found = sweep(terms, numbers, ks, num_words, passes, seed, key)
+    return (numbers.select("number", F.col("lemma").alias("term")).join(F.broadcast(found), "number")
+            .select("k", "topic", "rank", "term", "weight"))
