@@ -24,7 +24,7 @@ from gleaner.sources.staging import stage
 
 AXES, BITS = 4, 10
 BLOCK = 8192  # rows of a curve that are met together
-BATCH = 512  # queries that are multiplied at a time
+CELLS = 1 << 18  # scores that a task holds at a time
 SALTS = 64
 
 
@@ -83,7 +83,7 @@ def ordered(found: DataFrame, size: int, curves: int, axes: int = AXES, bits: in
 
     def project(batches):
         for batch in batches:
-            data = np.array(batch.column(1).to_pylist(), float).reshape(-1, size)
+            data = batch.column(1).flatten().to_numpy().reshape(-1, size)  # all are of this length and without null
             scaled = data / np.linalg.norm(data, axis=1, keepdims=True)
             for curve, (turn, shift) in enumerate(projections):
                 # Projections of unit vectors have a spread of 1 / sqrt(size): four of them fill half of the grid, and the
@@ -118,6 +118,24 @@ def ordered(found: DataFrame, size: int, curves: int, axes: int = AXES, bits: in
         "curve", (F.col("start") + F.col("at")).alias("number"), "item", "vec")
 
 
+def scored(asked_numbers, asked_items, asked, numbers, stored_items, data, window, keep):
+    """(asked, item, score) of the `keep` best rows of a block for each query within `window` places, with all that tie with the last.
+
+    The queries pass in batches of at most `CELLS` scores, so the memory needed does not grow with them.
+    """
+    place, at_once = min(keep, len(numbers)), max(1, CELLS // max(1, len(numbers)))
+    for at in range(0, len(asked), at_once):
+        end = at + at_once
+        scores = asked[at:end] @ data.T
+        near = asked_numbers[at:end, None]
+        scores[(numbers < near - window) | (numbers > near + window)] = -np.inf
+        cutoff = np.partition(scores, scores.shape[1] - place, axis=1)[:, scores.shape[1] - place, None]
+        q, c = np.nonzero((scores >= cutoff) & (scores > -np.inf))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(asked_items[at:end][q], pa.int64()), pa.array(stored_items[c], pa.int64()), pa.array(scores[q, c], pa.float64())],
+            names=["asked", "item", "score"])
+
+
 def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding",
                curves: int = 8, reach: float = 0.13, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k best others found."""
@@ -159,21 +177,7 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec
                 if open_block:
                     numbers, stored_items = (np.concatenate([h[j] for h in held]) for j in (0, 1))
                     data, held, open_block = np.concatenate([h[2] for h in held]), [], False
-                for at in range(a, b, BATCH):
-                    end = min(at + BATCH, b)
-                    asked_numbers, asked_items = columns[3][at:end], columns[4][at:end]
-                    scores = part[at - a:end - a] @ data.T
-                    scores[np.abs(asked_numbers[:, None] - numbers[None, :]) > window] = -np.inf
-                    yield best(asked_items, stored_items, scores)
-
-    def best(asked_items, stored_items, scores):
-        # The k + 1 best, with all that tie with the last of them.
-        place = min(k + 1, scores.shape[1])
-        cutoff = -np.partition(-scores, place - 1, axis=1)[:, place - 1:place]
-        q, c = np.nonzero((scores >= cutoff) & (scores > -np.inf))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(asked_items[q], pa.int64()), pa.array(stored_items[c], pa.int64()), pa.array(scores[q, c], pa.float64())],
-            names=["asked", "item", "score"])
+                yield from scored(columns[3][a:b], columns[4][a:b], part, numbers, stored_items, data, window, k + 1)
 
     dealt = stored.unionByName(sought).repartition("curve", "block").sortWithinPartitions("curve", "block", "kind", "number")
     met = dealt.mapInArrow(meet, "asked bigint, item bigint, score double")
