@@ -6,6 +6,7 @@ from gleaner.functions import vocab
 
 # A word with inner hyphens, points or commas; a contraction ending; or one punctuation mark.
 WORD = r"'\p{L}+|[\p{L}\p{N}]+(?:[.,-][\p{L}\p{N}]+)*|[^\s\p{L}\p{N}]"
+TERM = WORD[:WORD.rindex("|")]  # no punctuation
 SENTENCE = r"[^.!?\n]+[.!?]*"
 # Marks that end no sentence are set aside as private characters while a text is split: (pattern, replacement).
 ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Mt", "Ft", "Gen", "Gov", "Sen", "Rep", "Sgt", "Capt", "Lt", "Col",
@@ -32,6 +33,11 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+def among(token: str, words) -> str:
+    """SQL for whether the token is one of the words."""
+    return f"{token} IN {_among(sorted(words))}" if words else "false"
+
+
 def quote(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -44,19 +50,20 @@ def _among(words) -> str:
 # The word rules are SQL text, as one expression with a few hundred literals parses much faster than it is put together
 # from Column objects. `token` and `text` are names of columns or lambda variables.
 
-def _words(text, lowercase):
+def _words(text, lowercase, pattern=WORD):
     plain = f"CASE WHEN contains({text}, '’') THEN replace({text}, '’', {quote(chr(39))}) ELSE {text} END"
-    return f"regexp_extract_all({f'lower({plain})' if lowercase else plain}, {quote(WORD)}, 0)"
+    return f"regexp_extract_all({f'lower({plain})' if lowercase else plain}, {quote(pattern)}, 0)"
 
 
 def _stop(token, stop, lowered):
     return f"{token if lowered else f'lower({token})'} IN {_among(stop)}"
 
 
-def _content(token, stop, lowered):
-    word = (f"(rlike({token}, {quote(LETTER)}) OR (rlike({token}, {quote(DIGIT)}) AND "
-            f"NOT rlike({token}, {quote(NUMERIC)})))")
-    return f"{word} AND NOT ({_stop(token, stop, lowered)})"
+def _content(text, stop, lowercase):
+    # A word that is no punctuation has a letter or is made of numbers, so only the plain numbers are left to drop. These begin
+    # with a digit, which sorts before the colon.
+    number = f"(t < ':' AND rlike(t, {quote(NUMERIC)}))"
+    return f"filter({_words(text, lowercase, TERM)}, t -> NOT {number} AND NOT ({_stop('t', stop, lowercase)}))"
 
 
 def _tag(token, suffix_tags=None, default=vocab.DEFAULT_TAG):
@@ -85,7 +92,7 @@ def words(text: str = "text", lowercase: bool = True) -> Column:
 
 def content_words_sql(text: str, stop, lowercase: bool = True) -> str:
     """SQL for the array of the words that are no punctuation, plain number or stop word."""
-    return f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})"
+    return _content(text, stop, lowercase)
 
 
 def content_words(text: str, stop, lowercase: bool = True) -> Column:
@@ -95,13 +102,13 @@ def content_words(text: str, stop, lowercase: bool = True) -> Column:
 
 def content_lemmas(text: str, stop, lowercase: bool = True) -> Column:
     """Array of the lemmas of the content words, by rule."""
-    found = f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})"
+    found = _content(text, stop, lowercase)
     return F.expr(f"transform({found}, t -> {_lemma('t', _tag('t'))})")
 
 
 def tagged_lemmas(text: str, stop, lowercase: bool = True) -> Column:
     """Array of (lemma, tag) of the content words, by rule."""
-    found = f"filter({_words(text, lowercase)}, t -> {_content('t', stop, lowercase)})"
+    found = _content(text, stop, lowercase)
     tagged = f"transform({found}, t -> named_struct('token', t, 'tag', {_tag('t')}))"
     return F.expr(f"transform({tagged}, x -> named_struct('lemma', {_lemma('x.token', 'x.tag')}, 'tag', x.tag))")
 

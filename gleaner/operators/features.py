@@ -11,13 +11,14 @@ from gleaner.operators import groups, text, weights
 from gleaner.sources.staging import stage
 
 
-def feature_labels(lists: DataFrame, thesaurus: DataFrame, num_words: int = 20, num_bigrams: int = 10,
+def feature_labels(lists: DataFrame, thesaurus, num_words: int = 20, num_bigrams: int = 10,
                    min_share: float = 0.1, stats: DataFrame = None) -> DataFrame:
     """The feature vocabulary: (feature_id, kind, term), kind is 'bigram', 'word' or 'synset' (one row per member).
 
     Built from the `num_words` most important words and the `num_bigrams` most frequent bigrams, so it is small
     whatever the size of the corpus. `stats` are the written rows of `weights.term_stats` on written lists: with them the
-    words need no scan, and the bigrams only those of frequent words.
+    words need no scan, and the bigrams only those of frequent words. `thesaurus` is a table, or a function that gives the table
+    for the listed words.
     """
     # A list of num_words rows with four readers, so it is written out once.
     words = stage(weights.important_words(lists, num_words, min_share=min_share, stats=stats), "words")
@@ -27,6 +28,7 @@ def feature_labels(lists: DataFrame, thesaurus: DataFrame, num_words: int = 20,
         bigrams = weights.frequent_bigrams(lists, stats, num_bigrams)
     merged = groups.merge_collocations(bigrams, words, num_bigrams, num_words,
                                        word_value="score")
+    thesaurus = thesaurus(words) if callable(thesaurus) else thesaurus
     synonyms = groups.synonym_groups(words, thesaurus, "score").select(F.col("word").alias("item"), "members")
     joined = merged.join(synonyms, "item", "left")
     synset = (F.col("kind") == "word") & (F.size("members") > 1)
@@ -52,7 +54,12 @@ def feature_sets(lists: DataFrame, labels: DataFrame) -> DataFrame:
         return lists.withColumns({"count_feature_set": none, "presence_feature_set": none})
     at = {term: k for k, term in enumerate(vocabulary)}
     slots = [{"synset": kind == "synset", "at": [at[t] for t in sorted(terms)]} for (_, kind), terms in sorted(features.items())]
-    terms = F.coalesce(F.concat("lemmas", tx.pairs(F.col("lemmas"))), F.array().cast("array<string>"))
+    # Only what can be a term is handed on: listed lemmas, and pairs whose halves are those of a term, parted at any of its spaces.
+    halves = [(t[:i], t[i + 1:]) for t in vocabulary for i, c in enumerate(t) if c == " "]
+    first, second = ({h[i] for h in halves} for i in (0, 1))
+    terms = F.coalesce(F.expr(f"concat(filter(lemmas, t -> {tx.among('t', vocabulary)}), filter(zip_with(lemmas, slice(lemmas, 2, "
+                              f"greatest(size(lemmas), 0)), (a, b) -> if({tx.among('a', first)} AND {tx.among('b', second)}, "
+                              "concat(a, ' ', b), NULL)), p -> p IS NOT NULL))"), F.array().cast("array<string>"))
     counted = CountVectorizerModel.from_vocabulary(vocabulary, "_terms", "_counts").transform(lists.withColumn("_terms", terms))
     df = counted.select(*columns, vector_to_array("_counts").alias("_counts"))
     counts = F.transform(F.from_json(F.lit(json.dumps(slots)), "array<struct<synset: boolean, at: array<int>>>"), lambda f: F.when(

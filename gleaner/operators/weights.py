@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gleaner.functions import text as tx, vocab
+from gleaner.sources.staging import stage
 
 
 def _count(items: DataFrame, name: str) -> DataFrame:
@@ -110,33 +111,37 @@ def top_bigrams(lists: DataFrame, k: int = 10, window: int = 2) -> DataFrame:
     return top(bigram_count(lists) if window == 2 else cooccurrence(lists, window), "n", "bigram", k)
 
 
-PILOT_WORDS, LISTED_WORDS = 200, 2000  # words of the first count of `frequent_bigrams`, and words that a plan may list
+PILOT_WORDS, LISTED_WORDS = 500, 2000  # words of the first count of `frequent_bigrams`, and words that a plan may list
 
 
 def frequent_bigrams(lists: DataFrame, stats: DataFrame, k: int = 10) -> DataFrame:
     """The rows of `top_bigrams` for written lists and their written `term_stats`, without counting all bigrams.
 
     Exact: a bigram occurs no more often than either of its words. The k-th largest count among pairs of the most frequent
-    words is a bound that the k best bigrams reach, so only words that reach it can be in them. All bigrams are counted where
+    words is a bound that the k best bigrams reach, so only words that reach it can be in them; they are counted again only where
+    there are more of them than the most frequent words of the first count. All bigrams are counted where
     that leaves too many words, or where a lemma is null or holds a space, as then a
     bigram's words aren't known.
     """
     def among(words):
         listed = f"IN ({', '.join(map(tx.quote, words))})"
-        rest = "greatest(size(lemmas) - 1, 0)"
-        pairs = (f"filter(zip_with(slice(lemmas, 1, {rest}), slice(lemmas, 2, {rest}), "
+        # The last lemma meets null, which is not listed.
+        pairs = ("filter(zip_with(lemmas, slice(lemmas, 2, greatest(size(lemmas), 0)), "
                  f"(a, b) -> if(a {listed} AND b {listed}, concat(a, ' ', b), NULL)), p -> p IS NOT NULL)")
         return _count(_exploded(lists, F.expr(pairs), "bigram"), "bigram")
     counts = counts_of(stats)
     words = [r.lemma for r in top(counts, "n", "lemma", PILOT_WORDS).collect()]
     if not words:
         return top_bigrams(lists, k)
-    best = top(among(words), "n", "bigram", k).collect()
+    found = stage(top(among(words), "n", "bigram", k), "bigrams")
+    best = sorted(found.collect(), key=lambda r: -r.n)
     bound = best[-1].n if len(best) == k else 1
     odd = F.col("lemma").isNull() | F.contains("lemma", F.lit(" "))
     reach, others = stats.filter("n > 0").agg(F.count_if(F.col("n") >= bound), F.count_if(odd)).first()
     if others or reach > LISTED_WORDS:
         return top_bigrams(lists, k)
+    if reach <= len(words):  # the words of the first count are all that matter
+        return top(found, "n", "bigram")
     words = [r.lemma for r in counts.filter(F.col("n") >= bound).select("lemma").collect()]
     return top(among(words), "n", "bigram", k)
 

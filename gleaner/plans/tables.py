@@ -56,15 +56,19 @@ def lexicon(spark, sf) -> DataFrame:
             .select("token", kind.alias("tag"), F.left(word, F.length(word) - 2).alias("lemma")))
 
 
-def thesaurus(lemma_lists: DataFrame, counts: DataFrame = None) -> DataFrame:
+def thesaurus(lemma_lists: DataFrame, counts: DataFrame = None, listed: DataFrame = None) -> DataFrame:
     """Words related by stem: (word, related); `counts` are the lists' word counts where they have been written out.
 
+    With a short list of words `listed`(lemma), only the words that have the stem of one of them are grouped.
+
     A stem has at most one word per suffix and one without, so a group holds at most six words.
     """
     counts = weights.word_count(lemma_lists) if counts is None else counts
     stem = F.regexp_replace("lemma", "(tion|ing|ed|ly|ble)$", "")
-    grouped = (counts.select("lemma", stem.alias("stem"))
-               .filter(F.length("stem") >= 2).groupBy("stem").agg(F.collect_list("lemma").alias("words")))
+    stems = counts.select("lemma", stem.alias("stem")).filter(F.length("stem") >= 2)
+    if listed is not None:
+        stems = stems.join(F.broadcast(listed.select(stem.alias("stem")).distinct()), "stem", "left_semi")
+    grouped = (stems.groupBy("stem").agg(F.collect_list("lemma").alias("words")))
     return (grouped.select(F.explode("words").alias("word"), "words")
             .select("word", F.explode("words").alias("related")).filter("word <> related"))
 
@@ -77,7 +81,7 @@ def staged_lists(spark, sf, keep=()) -> DataFrame:
 def feature_labels(lemma_lists: DataFrame) -> DataFrame:
     """The feature vocabulary of written lists, from one written count of their words."""
     stats = stage(weights.term_stats(lemma_lists), "stats")
-    return features.feature_labels(lemma_lists, thesaurus(lemma_lists, weights.counts_of(stats)), stats=stats)
+    return features.feature_labels(lemma_lists, lambda words: thesaurus(lemma_lists, weights.counts_of(stats), words), stats=stats)
 
 
 def feature_table(spark, sf, keep=()) -> DataFrame:
