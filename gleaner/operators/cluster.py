@@ -13,6 +13,7 @@ from gleaner.sources.staging import new_path, stage
 
 FEATURE_TYPES = ("count", "tfidf")
 METHODS = ("kmeans", "bisecting", "lda")
+HEAD, LONGEST = 100_000, 64  # words that are looked up by broadcast, and their longest in bytes
 
 
 def _min_df(df: DataFrame, share: float) -> int:
@@ -31,7 +32,9 @@ def doc_terms(lists: DataFrame, column: str = "lemmas", key: str = "doc_id") ->
     """(key, lemma, n), written out: the words of each record with their counts, and a row without lemma for the record itself."""
     none = F.array(F.lit(None).cast("string"))
     words = F.explode(F.concat(none, F.coalesce(F.col(column), F.array().cast("array<string>"))))
-    return stage(lists.select(key, words.alias("lemma")).groupBy(key, "lemma").agg(F.count(F.lit(1)).alias("n")), "doc-terms")
+    # Whole lists travel to their key's partition, which also holds all of the key's words: one shuffle, of the lists.
+    dealt = lists.select(key, column).repartition(key)
+    return stage(dealt.select(key, words.alias("lemma")).groupBy(key, "lemma").agg(F.count(F.lit(1)).alias("n")), "doc-terms")
 
 
 def term_numbers(terms: DataFrame, limit: int = None, min_share: float = None) -> DataFrame:
@@ -53,16 +56,24 @@ def term_numbers(terms: DataFrame, limit: int = None, min_share: float = None) -
 def sparse_vectors(terms: DataFrame, numbers: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, features): the counts of each record as a sparse vector along the numbers, written out.
 
-    Records and words meet in a join of (key, lemma, n) rows with the numbers, so no task holds the vocabulary. Both sides
-    are written tables, and a word that most records hold is split by its measured size.
+    The `HEAD` most frequent words, most of all rows, are looked up where the rows lie; only rows of other words meet their numbers
+    in a join by shuffle. Entries travel as one number, packed by record in each task.
     """
-    entry = F.when(F.col("number").isNotNull(),
-                   F.struct(F.col("number").cast("int").alias("number"), F.col("n").cast("double").alias("n")))
-    rows = (terms.join(numbers.select("lemma", "number"), "lemma", "left")
-            .groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries")))  # the words of one record
-    size = max(1, numbers.count())
-    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
-                      F.col("_entries").getField("number").alias("indices"), F.col("_entries").getField("n").alias("values"))
+    size = numbers.count()
+    # A word of any length may be in the list, so long ones are left to the shuffle.
+    common = (F.col("number") < HEAD) & (F.octet_length("lemma") <= LONGEST)
+    words = numbers.select("lemma", "number")
+    found = terms.join(F.broadcast(words.filter(common)), "lemma", "left")
+    rows = found.filter("number IS NOT NULL OR lemma IS NULL").select(key, "number", "n")
+    rare = words.filter(~common)
+    if not rare.isEmpty():
+        others = found.filter("number IS NULL AND lemma IS NOT NULL").select(key, "lemma", "n")
+        rows = rows.unionByName(others.join(rare, "lemma").select(key, "number", "n"))
+    entry = F.shiftleft("number", 32).bitwiseOR(F.col("n"))  # null for the row of the record itself
+    rows = rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))  # the words of one record
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(max(1, size)).alias("size"),
+                      F.transform("_entries", lambda e: F.shiftright(e, 32).cast("int")).alias("indices"),
+                      F.transform("_entries", lambda e: e.bitwiseAND(F.lit((1 << 32) - 1)).cast("double")).alias("values"))
     path = new_path(terms.sparkSession, "vectors")
     rows.select(key, vector.alias("features")).write.parquet(path)
     # The struct is how Spark stores a vector, so it is read back as one.
