@@ -422,7 +422,9 @@ def cluster_exemplars_kmeans(spark, sf):
 @query
 def cluster_exemplars_lda(spark, sf):
     vectors = cluster.compute_features(t.records(spark, sf), "count").select("doc_id", "features")
-    return cluster.exemplars(cluster.lda(vectors, 5)[0].select("doc_id", "cluster", "closeness"), "lda")
+    # Read twice, and the topics of a record cost as much as a pass of the fit.
+    clustered = stage(cluster.lda(vectors, 5)[0].select("doc_id", "cluster", "closeness"), "clustered")
+    return cluster.exemplars(clustered, "lda")
 
 
 def _given_clusters(spark, sf):
