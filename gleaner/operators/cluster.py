@@ -1,5 +1,7 @@
 """Clusters and topics on Spark ML, with distances, exemplars and sizes."""
 
+from contextlib import ExitStack
+
 from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
 from pyspark.ml.feature import HashingTF, IDF, Tokenizer
 from pyspark.ml.linalg import VectorUDT
@@ -9,7 +11,7 @@ from gleaner.functions import text as tx
 from gleaner.functions.numbering import numbered
 from gleaner.operators import weights
 from gleaner.operators.topics import sweep
-from gleaner.sources.staging import new_path, stage
+from gleaner.sources.staging import new_path, scratch, stage
 
 FEATURE_TYPES = ("count", "tfidf")
 METHODS = ("kmeans", "bisecting", "lda")
@@ -28,13 +30,13 @@ def count_vocabulary(records: DataFrame, vocab_size: int = 10_000, min_share: fl
     return weights.top(kept.select(F.col("lemma").alias("term"), "n", "df"), "n", "term", vocab_size)
 
 
-def doc_terms(lists: DataFrame, column: str = "lemmas", key: str = "doc_id") -> DataFrame:
+def doc_terms(lists: DataFrame, column: str = "lemmas", key: str = "doc_id", write=stage) -> DataFrame:
     """(key, lemma, n), written out: the words of each record with their counts, and a row without lemma for the record itself."""
     none = F.array(F.lit(None).cast("string"))
     words = F.explode(F.concat(none, F.coalesce(F.col(column), F.array().cast("array<string>"))))
     # Whole lists travel to their key's partition, which also holds all of the key's words: one shuffle, of the lists.
     dealt = lists.select(key, column).repartition(key)
-    return stage(dealt.select(key, words.alias("lemma")).groupBy(key, "lemma").agg(F.count(F.lit(1)).alias("n")), "doc-terms")
+    return write(dealt.select(key, words.alias("lemma")).groupBy(key, "lemma").agg(F.count(F.lit(1)).alias("n")), "doc-terms")
 
 
 def term_numbers(terms: DataFrame, limit: int = None, min_share: float = None) -> DataFrame:
@@ -216,11 +218,14 @@ def topic_sweep(lists: DataFrame, ks=(10, 9, 8, 7, 6), num_words: int = 2, vocab
                 seed: int = 7, key: str = "doc_id") -> DataFrame:
     """Topic models for several k on lemma lists: (k, topic, rank, term, weight); without `vocab_size` on all lemmas.
 
-    Fitted by expectation-maximisation on blocks of records, all models in the same passes: neither the words nor the topics'
-    weights come to the driver, only the strongest `num_words` of each topic.
+    Fitted by expectation-maximisation on blocks of records, several models in the same passes: neither the words nor the topics'
+    weights come to the driver, only the strongest `num_words` of each topic. The words of the records are deleted when they
+    are in the blocks.
     """
-    terms = doc_terms(lists, key=key)
-    numbers = term_numbers(terms, vocab_size)
-    found = sweep(terms, numbers, ks, num_words, passes, seed, key)
+    spark = lists.sparkSession
+    with scratch(spark), ExitStack() as read:
+        terms = doc_terms(lists, key=key, write=read.enter_context(scratch(spark)))
+        numbers = term_numbers(terms, vocab_size)
+        found = sweep(terms, numbers, ks, num_words, passes, seed, key, packed=read.close)
     return (numbers.select("number", F.col("lemma").alias("term")).join(F.broadcast(found), "number")
             .select("k", "topic", "rank", "term", "weight"))

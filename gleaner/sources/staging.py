@@ -59,10 +59,10 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
     """
     made, before = [], spark.conf.get(FREE_SHUFFLES, None)
 
-    def keep(df: DataFrame, name: str = "scratch") -> DataFrame:
+    def keep(df: DataFrame, name: str = "scratch", **options) -> DataFrame:
         path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
         made.append(path)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     spark.conf.set(FREE_SHUFFLES, "true")
